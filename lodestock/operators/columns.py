@@ -27,7 +27,7 @@ def keep_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 def align_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """These columns in this order; a missing one is added as null."""
-    return df.select([F.col(quoted(n)) if n in df.columns else F.lit(None).alias(n) for n in names])
+    return df.select([F.col(quoted(n)) if n in df.columns else F.lit(None).cast("string").alias(n) for n in names])
 
 
 def combine_aligned(frames: Sequence[DataFrame], names: Sequence[str] | None = None) -> DataFrame:
