@@ -61,58 +61,62 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
 
 
-def value_at_rank(values: DataFrame, rank: int, low: float, high: float, small: int = 1_000_000, buckets: int = 4096) -> float:
-    """The value of the given rank (from zero) among column ``v``.
-
-    Each round counts rows per equal-width bucket and keeps the one bucket that
-    holds the rank, as a range filter that reaches the scan.  Rounds go on
-    until the survivors are few or equal, so no task ever holds the distinct
-    values of the whole column.
+def values_at_ranks(
+    values: DataFrame, ranks: Sequence[int], n: int, low: float, high: float, below: int = 0,
+    small: int = 1_000_000, buckets: int = 4096,
+) -> dict[int, float]:
+    """The values of the given ranks (from zero) in column ``v``.
+
+    ``n`` values lie between ``low`` and ``high`` and ``below`` values before
+    them.  While they are many, one pass counts them per equal-width bucket and
+    each rank goes on inside its bucket, as a range filter that reaches the
+    scan.  So no task ever holds the distinct values of the whole column.
     """
-    below = 0
-    before = Window.orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
-    while low < high:
-        inside = values.filter((F.col("v") >= low) & (F.col("v") <= high))
-        width = (high - low) / buckets
-        index = F.least(F.floor((F.col("v") - low) / F.lit(width)), F.lit(buckets - 1)) if width > 0 else F.lit(0)
-        histogram = inside.groupBy(index.alias("i")).agg(
-            F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high")
-        )
-        # At most ``buckets`` rows reach this window.
-        running = histogram.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)) + below)
-        hit = running.filter((F.col("start") <= rank) & (F.col("start") + F.col("n") > rank)).first()
-        below, low, high = hit["start"], hit["low"], hit["high"]
-        if hit["n"] <= small:
-            break
     if low == high:
-        return low
-    up_to = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    counts = (
-        values.filter((F.col("v") >= low) & (F.col("v") <= high))
-        .groupBy("v")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("end", F.sum("n").over(up_to) + below)
+        return {r: low for r in ranks}
+    inside = values.filter((F.col("v") >= low) & (F.col("v") <= high))
+    if n <= small:
+        up_to = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        counts = inside.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+        ends = counts.withColumn("end", F.sum("n").over(up_to) + below)
+        found = ends.agg(*[F.min(F.when(F.col("end") > r, F.col("v"))) for r in ranks]).first()
+        return dict(zip(ranks, found))
+    # Scaled before subtracting, so that an extreme range cannot overflow.
+    share = (F.col("v") / buckets - low / buckets) / (high / buckets - low / buckets)
+    index = F.least(F.floor(share * buckets), F.lit(buckets - 1))
+    histogram = inside.groupBy(index.alias("i")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high")
     )
-    return counts.filter(F.col("end") > rank).agg(F.min("v")).first()[0]
-
-
-def exact_quantile(df: DataFrame, column: str, p: float) -> float | None:
-    """Exact interpolated quantile of a numeric column; null and NaN are skipped."""
+    # At most ``buckets`` rows reach this window.
+    before = Window.orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
+    running = histogram.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)) + below)
+    bucket = F.struct("start", "n", "low", "high")
+    holds = [(F.col("start") <= r) & (F.col("start") + F.col("n") > r) for r in ranks]
+    hits = running.agg(*[F.max(F.when(h, bucket)) for h in holds]).first()
+    out: dict[int, float] = {}
+    for hit in set(hits):
+        mine = [r for r, h in zip(ranks, hits) if h == hit]
+        out.update(values_at_ranks(values, mine, hit["n"], hit["low"], hit["high"], hit["start"], small, buckets))
+    return out
+
+
+def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float]) -> list[float | None]:
+    """Exact interpolated quantiles of a numeric column; null and NaN are skipped."""
     values = df.select(F.col(quoted(column)).cast("double").alias("v"))
     values = values.filter(F.col("v").isNotNull() & ~F.isnan("v"))
     n, low, high = values.agg(F.count("v"), F.min("v"), F.max("v")).first()
     if n == 0:
-        return None
-    at = p * (n - 1)
-    rank = math.floor(at)
-    first = value_at_rank(values, rank, low, high)
-    if at == rank:
-        return first
-    covered, following = values.agg(
-        F.count_if(F.col("v") <= first), F.min(F.when(F.col("v") > first, F.col("v")))
-    ).first()
-    second = first if covered > rank + 1 else following
-    return first + (second - first) * (at - rank)
+        return [None] * len(probabilities)
+    places = [p * (n - 1) for p in probabilities]
+    ranks = sorted({math.floor(at) for at in places} | {math.ceil(at) for at in places})
+    found = values_at_ranks(values, ranks, n, low, high)
+    return [
+        found[math.floor(at)] + (found[math.ceil(at)] - found[math.floor(at)]) * (at - math.floor(at)) for at in places
+    ]
+
+
+def exact_quantile(df: DataFrame, column: str, p: float) -> float | None:
+    return exact_quantiles(df, column, [p])[0]
 
 
 def fill_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -126,7 +130,7 @@ def quantile_bins(df: DataFrame, column: str, probabilities: Sequence[float], la
 
     The lowest edge belongs to the first bin.
     """
-    edges = [exact_quantile(df, column, p) for p in probabilities[1:]]
+    edges = exact_quantiles(df, column, probabilities[1:])
     c = F.col(quoted(column))
     out = F.when(c <= edges[0], labels[0])
     for edge, label in zip(edges[1:], labels[1:]):

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def read_documents(spark: SparkSession, path: str, suffix: str = ".txt") -> DataFrame:
-    """File name without suffix and whole text."""
+    """File name without suffix, whole text, and any folder columns."""
     files = spark.read.option("pathGlobFilter", f"*{suffix}").text(path, wholetext=True)
     name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
-    return files.select(F.regexp_replace(name, suffix.replace(".", r"\.") + "$", "").alias("doc"), F.col("value").alias("text"))
+    doc = F.regexp_replace(name, suffix.replace(".", r"\.") + "$", "")
+    folders = [c for c in files.columns if c != "value"]
+    return files.select(doc.alias("doc"), F.col("value").alias("text"), *folders)

@@ -8,8 +8,8 @@ STAMP_PATTERN = r"(\d{4}\.\d{2}\.\d)"
 
 
 def file_stamp(path: Column) -> Column:
-    """Load stamp ``YYYY.WW.D`` from a file name; null where it has none."""
-    return F.nullif(F.regexp_extract(path, STAMP_PATTERN + r"[^/]*$", 1), F.lit(""))
+    """Last load stamp ``YYYY.WW.D`` in a path; null where it has none."""
+    return F.nullif(F.regexp_extract(path, ".*" + STAMP_PATTERN, 1), F.lit(""))
 
 
 def newer_than_stamp(df: DataFrame, path: str, last_stamp: str) -> DataFrame:
