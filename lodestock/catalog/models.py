@@ -1 +1,264 @@
-"""Placeholder."""
+"""Feature preparation and models.
+
+Results of trained models have no SQL counterpart; their tests check invariants.
+"""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.feature import PCA, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.regression import LinearRegression
+from pyspark.ml.stat import ChiSquareTest
+from pyspark.ml.tuning import ParamGridBuilder
+from pyspark.sql import functions as F
+
+from ..functions.numbers import box_cox
+from ..ml import features, models, text as words
+from ..operators import profiling
+from ..session import cut_lineage
+from .plans import lateness_frame
+from .registry import query, table
+
+SHARE_SQL = "CAST('0x' || substr(md5(concat_ws('|', {key}, '{seed}')), 1, 8) AS BIGINT) / 4294967296.0"
+
+
+@query(
+    "train_test_split",
+    "O-102",
+    f"""
+    SELECT o_orderkey, CASE WHEN {SHARE_SQL.format(key="CAST(o_orderkey AS VARCHAR)", seed=1)} < 0.7 THEN 'train' ELSE 'test' END AS part FROM orders
+    """,
+)
+def train_test_split(spark, sf):
+    train, test = features.train_test(table(spark, sf, "orders", "o_orderkey"), ["o_orderkey"], 0.7, seed=1)
+    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+
+
+@query(
+    "imputed_and_scaled",
+    "O-103 O-36",
+    """
+    WITH c AS (SELECT c_custkey, CASE WHEN c_acctbal > 0 THEN c_acctbal END AS x, c_nationkey AS y FROM customer),
+    i AS (SELECT c_custkey, coalesce(x, (SELECT median(x) FROM c)) AS x, y FROM c)
+    SELECT c_custkey, round((x - (SELECT avg(x) FROM i)) / (SELECT stddev_pop(x) FROM i), 7) AS standard,
+           round((y - (SELECT min(y) FROM i)) / (SELECT max(y) - min(y) FROM i), 9) AS ranged FROM i
+    """,
+)
+def imputed_and_scaled(spark, sf):
+    df = table(spark, sf, "customer", "c_custkey", "c_acctbal", "c_nationkey").select(
+        "c_custkey", F.when(F.col("c_acctbal") > 0, F.col("c_acctbal")).alias("standard"), F.col("c_nationkey").cast("double").alias("ranged")
+    )
+    df = features.standard_scale(profiling.fill_median(df, ["standard"]), ["standard"])
+    df = features.min_max_scale(df, ["ranged"])
+    return df.withColumns({"standard": F.round("standard", 7), "ranged": F.round("ranged", 9)})
+
+
+@query(
+    "one_hot_priorities",
+    "O-104",
+    """
+    WITH r AS (SELECT o_orderkey, o_orderpriority, dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS i FROM orders)
+    SELECT o_orderkey, CAST(i AS DOUBLE) AS label_index,
+      array_to_string(list_transform([0, 1, 2, 3, 4], lambda x: CASE WHEN x = i THEN '1.0' ELSE '0.0' END), ',') AS hot FROM r
+    """,
+)
+def one_hot_priorities(spark, sf):
+    df = table(spark, sf, "orders", "o_orderkey", "o_orderpriority")
+    indexer = StringIndexer(inputCol="o_orderpriority", outputCol="label_index", stringOrderType="alphabetAsc", handleInvalid="keep")
+    encoder = OneHotEncoder(inputCol="label_index", outputCol="hot_vector", dropLast=True)
+    out = models.fit(df, [indexer, encoder]).transform(df)
+    hot = F.array_join(vector_to_array("hot_vector").cast("array<string>"), ",")
+    return out.select("o_orderkey", "label_index", hot.alias("hot"))
+
+
+@query(
+    "binned_and_transformed",
+    "O-105",
+    """
+    WITH q AS (SELECT quantile_cont(o_totalprice, 0.25) AS a, quantile_cont(o_totalprice, 0.5) AS b, quantile_cont(o_totalprice, 0.75) AS c FROM orders)
+    SELECT o_orderkey, CASE WHEN o_totalprice <= a THEN '0-25Q' WHEN o_totalprice <= b THEN '25-50Q' WHEN o_totalprice <= c THEN '50-75Q' ELSE '75-100Q' END AS quartile,
+      CASE WHEN o_totalprice <= 1000 THEN NULL WHEN o_totalprice <= 100000 THEN 'low' WHEN o_totalprice <= 250000 THEN 'mid' WHEN o_totalprice <= 1000000 THEN 'high' END AS fixed,
+      round(ln(1 + o_totalprice), 9) AS log_price, round((pow(o_totalprice, 0.5) - 1) / 0.5, 6) AS box_cox
+    FROM orders, q
+    """,
+)
+def binned_and_transformed(spark, sf):
+    df = table(spark, sf, "orders", "o_orderkey", "o_totalprice")
+    df = profiling.quantile_bins(df, "o_totalprice", [0, 0.25, 0.5, 0.75, 1.0], ["0-25Q", "25-50Q", "50-75Q", "75-100Q"], "quartile")
+    return df.select(
+        "o_orderkey",
+        "quartile",
+        features.fixed_bins("o_totalprice", [1000, 100000, 250000, 1000000], ["low", "mid", "high"]).alias("fixed"),
+        F.round(features.log_one_plus("o_totalprice"), 9).alias("log_price"),
+        F.round(box_cox("o_totalprice", 0.5), 6).alias("box_cox"),
+    )
+
+
+@query("best_box_cox_exponent", "O-105")
+def best_box_cox_exponent(spark, sf):
+    df = table(spark, sf, "lineitem", "l_quantity")
+    lam = features.box_cox_lambda(df, "l_quantity")
+    shaped = df.select(box_cox("l_quantity", lam).alias("v"))
+    return shaped.agg(F.lit(lam).alias("exponent"), F.count("v").alias("n"), F.avg("v").alias("mean"), F.skewness("v").alias("skew"))
+
+
+@query("two_components", "O-105")
+def two_components(spark, sf):
+    columns = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    df = features.standard_scale(table(spark, sf, "lineitem", "l_returnflag", *columns), columns)
+    assembler = VectorAssembler(inputCols=columns, outputCol="features")
+    model = models.fit(df, [assembler, PCA(k=2, inputCol="features", outputCol="components")])
+    parts = model.transform(df).select("l_returnflag", vector_to_array("components").alias("c"))
+    return parts.groupBy("l_returnflag").agg(F.avg(F.col("c")[0]).alias("first"), F.avg(F.col("c")[1]).alias("second"), F.count("c").alias("n"))
+
+
+@query("balanced_labels", "O-106")
+def balanced_labels(spark, sf):
+    df = table(spark, sf, "labels", "doc_id", "toxic")
+    return features.over_sample(df, "toxic", seed=3).groupBy("toxic").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("documents"))
+
+
+LATE_NUMBERS = ["lead_time", "amount", "quantity", "open_count", "open_amount", "event_count", "change_count"]
+LATE_CATEGORIES = ["week_due", "carriers", "supplier_text"]
+
+
+def lateness_training(spark, sf):
+    """Complete order lines with a label, written once: every fit reads them many times."""
+    df = lateness_frame(spark, sf, "1995-01-01").withColumn("supplier_text", F.col("supplier_id").cast("string"))
+    df = df.filter("status = 'COMPLETE' AND days_late IS NOT NULL")
+    df = features.min_max_scale(
+        df.select(
+            "order_id", "line_id", "days_late", (F.col("days_late") > 0).cast("double").alias("label"),
+            *[F.col(c).cast("double").alias(c) for c in LATE_NUMBERS], *LATE_CATEGORIES,
+        ),
+        LATE_NUMBERS,
+    )
+    return cut_lineage(df)
+
+
+def _scores(spark, sf, kinds):
+    df = lateness_training(spark, sf)
+    train, test = features.train_test(df, ["order_id", "line_id"], 0.7, seed=1)
+    encoder = models.fit(train, features.encoding_stages(train, LATE_CATEGORIES, LATE_NUMBERS))
+    ready, held_out = cut_lineage(encoder.transform(train).select("label", "features")), encoder.transform(test)
+    cards = []
+    for kind, params in kinds.items():
+        model = models.classifier(kind, **params).fit(ready)
+        cards.append(models.score_card(model.transform(held_out)).withColumn("model", F.lit(kind)))
+    return reduce(lambda a, b: a.unionByName(b), cards)
+
+
+@query("lateness_classifier_scores", "O-107 O-102 O-104 O-110")
+def lateness_classifier_scores(spark, sf):
+    kinds = {
+        "random_forest": {"numTrees": 10, "maxDepth": 5},
+        "logistic": {"maxIter": 20},
+        "naive_bayes": {},
+        "decision_tree": {"maxDepth": 5},
+        "linear_svm": {"maxIter": 10},
+    }
+    return _scores(spark, sf, kinds)
+
+
+@query("lateness_boosting_scores", "O-108")
+def lateness_boosting_scores(spark, sf):
+    return _scores(spark, sf, {"boosting": {"maxIter": 5, "maxDepth": 4}})
+
+
+@query(
+    "days_late_regression",
+    "O-109",
+    """
+    WITH d AS (SELECT date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) AS y, l_quantity AS x FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+    SELECT round(regr_slope(y, x), 6) AS slope, round(regr_intercept(y, x), 5) AS intercept, count(*) AS n FROM d
+    """,
+)
+def days_late_regression(spark, sf):
+    lines = table(spark, sf, "lineitem", "l_orderkey", "l_quantity", "l_shipdate")
+    orders = table(spark, sf, "orders", "o_orderkey", "o_orderdate")
+    df = lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
+        F.datediff("l_shipdate", "o_orderdate").cast("double").alias("label"), F.col("l_quantity").alias("x")
+    )
+    df = VectorAssembler(inputCols=["x"], outputCol="features").transform(df)
+    model = LinearRegression(solver="normal").fit(df)
+    return df.agg(
+        F.lit(round(float(model.coefficients[0]), 6)).alias("slope"),
+        F.lit(round(float(model.intercept), 5)).alias("intercept"),
+        F.count(F.lit(1)).alias("n"),
+    )
+
+
+@query("lateness_grid_search", "O-110 O-107")
+def lateness_grid_search(spark, sf):
+    df = lateness_training(spark, sf)
+    train, test = features.train_test(df, ["order_id", "line_id"], 0.7, seed=1)
+    tree = models.classifier("decision_tree", seed=1)
+    grid = ParamGridBuilder().addGrid(tree.maxDepth, [2, 4]).addGrid(tree.minInstancesPerNode, [5, 50]).build()
+    best = models.grid_search(train, [*features.encoding_stages(train, ["carriers"], LATE_NUMBERS), tree], grid, ["order_id", "line_id"], folds=2)
+    return models.confusion(best.transform(test))
+
+
+@query("open_lines_scored", "O-111 O-10")
+def open_lines_scored(spark, sf):
+    df = lateness_training(spark, sf)
+    stages = [*features.encoding_stages(df, ["carriers"], LATE_NUMBERS), models.classifier("logistic", maxIter=10)]
+    model = models.fit(df, stages)
+    scored = models.apply_threshold(model.transform(df), 0.44)
+    return scored.groupBy("decision").agg(F.count(F.lit(1)).alias("lines"), F.min("p_positive").alias("lowest"), F.max("p_positive").alias("highest"))
+
+
+@query(
+    "chi_square_scores",
+    "O-112",
+    """
+    WITH d AS (SELECT CASE WHEN o_totalprice > 250000 THEN 1 ELSE 0 END AS y, o_orderstatus AS a, o_orderpriority AS b FROM orders),
+    n AS (SELECT count(*)::DOUBLE AS n FROM d),
+    s AS (SELECT 'o_orderstatus' AS feature, a AS v, y, count(*)::DOUBLE AS o FROM d GROUP BY ALL UNION ALL SELECT 'o_orderpriority', b, y, count(*)::DOUBLE FROM d GROUP BY ALL),
+    e AS (SELECT *, sum(o) OVER (PARTITION BY feature, v) * sum(o) OVER (PARTITION BY feature, y) / n AS x FROM s, n)
+    SELECT feature, round(sum((o - x) * (o - x) / x), 6) AS statistic, CAST((count(DISTINCT v) - 1) * (count(DISTINCT y) - 1) AS INTEGER) AS degrees FROM e GROUP BY 1
+    """,
+)
+def chi_square_scores(spark, sf):
+    columns = ["o_orderstatus", "o_orderpriority"]
+    df = table(spark, sf, "orders", "o_totalprice", *columns).withColumn("label", (F.col("o_totalprice") > 250000).cast("double"))
+    indexed = [f"{c}_index" for c in columns]
+    stages = [StringIndexer(inputCols=columns, outputCols=indexed), VectorAssembler(inputCols=indexed, outputCol="features")]
+    tests = ChiSquareTest.test(models.fit(df, stages).transform(df), "features", "label", flatten=True)
+    name = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("featureIndex") + 1)
+    return tests.select(name.alias("feature"), F.round("statistic", 6).alias("statistic"), F.col("degreesOfFreedom").alias("degrees"))
+
+
+@query(
+    "token_counts",
+    "O-113",
+    """
+    WITH t AS (SELECT doc_id, unnest(regexp_extract_all(regexp_replace(text, '[0-9]', '_', 'g'), '[\\p{L}\\p{M}\\p{N}_]+|[^\\s\\p{L}\\p{M}\\p{N}_]')) AS w FROM documents)
+    SELECT doc_id, count(*) AS tokens, count(DISTINCT w) AS kinds FROM t
+    WHERE w NOT IN ('"', '''', '(', ')', '*', '`', '{', '|', '}', '~', '/') AND w NOT IN ('the', 'of', 'and') GROUP BY 1
+    """,
+)
+def token_counts(spark, sf):
+    df = table(spark, sf, "documents", "doc_id", "text").select("doc_id", words.tokens("text").alias("tokens"))
+    kept = words.stop_words("tokens", "kept", ["the", "of", "and"]).transform(df).filter(F.size("kept") > 0)
+    return kept.select("doc_id", F.size("kept").cast("long").alias("tokens"), F.size(F.array_distinct("kept")).cast("long").alias("kinds"))
+
+
+@query("document_quality_scores", "O-113 O-107")
+def document_quality_scores(spark, sf):
+    texts = table(spark, sf, "documents", "doc_id", "text").join(table(spark, sf, "labels", "doc_id", "quality"), "doc_id")
+    df = texts.select("doc_id", words.tokens("text").alias("tokens"), F.col("quality").cast("double").alias("label"))
+    train, test = features.train_test(cut_lineage(df), ["doc_id"], 0.7, seed=1)
+    stages = [words.stop_words("tokens", "kept"), *words.hashed_stages("kept", 1 << 12), models.classifier("logistic", maxIter=10)]
+    return models.score_card(models.fit(train, stages).transform(test))
+
+
+@query("clustered_vectors", "O-114")
+def clustered_vectors(spark, sf):
+    df = table(spark, sf, "embeddings", "vec_id", "embedding", "label")
+    groups = df.agg(F.count_distinct("label")).first()[0]
+    vectors = df.select("vec_id", "label", array_to_vector("embedding").alias("features"))
+    model = KMeans(k=max(2, round(groups * 0.75)), seed=1, maxIter=10).fit(vectors)
+    return model.transform(vectors).groupBy(F.col("prediction").alias("cluster")).agg(F.count(F.lit(1)).alias("n"))

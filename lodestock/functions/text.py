@@ -130,3 +130,22 @@ def keyword_label(c: Column | str, rules: Sequence[tuple[str, str]]) -> Column:
     """First label whose keyword occurs in the text (case-sensitive)."""
     c = _col(c)
     return reduce(lambda acc, kv: acc.when(c.contains(kv[0]), kv[1]), rules[1:], F.when(c.contains(rules[0][0]), rules[0][1]))
+
+
+def memory_name_parts(c: Column | str) -> Column:
+    """Struct (tech, tech2, width) from a product name such as ``8GB DDR4 UDIMM 1Gx8``.
+
+    ``tech`` is the first word that starts with a letter, or the second word;
+    of the words from the third on, the last holding an ``x`` gives the width
+    and the last other one starting with a letter gives ``tech2``.
+    """
+    words = F.filter(F.split(_col(c), r"\s+"), lambda w: w != "")
+    is_word = lambda w: w.rlike("^[A-Za-z]")
+    tech = F.coalesce(F.get(F.filter(words, is_word), F.lit(0)), F.get(words, F.lit(1)))
+    rest = F.slice(words, 3, F.greatest(F.size(words), F.lit(1)))
+    widths = F.filter(rest, lambda w: w.contains("x"))
+    others = F.filter(rest, lambda w: ~w.contains("x") & is_word(w) & (w != tech))
+    last = lambda a: F.get(a, F.size(a) - 1)
+    tech2 = F.regexp_replace(F.replace(last(others), F.lit("LR/RDIMM"), F.lit("LRDIMM")), "[/-]", "")
+    width = F.concat(F.lit("x"), F.regexp_extract(last(widths), r"x([^x]*)$", 1))
+    return F.struct(tech.alias("tech"), tech2.alias("tech2"), width.alias("width"))
