@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import cut_lineage
+
 
 def flatten_tree(
     edges: DataFrame,
@@ -15,26 +19,29 @@ def flatten_tree(
 ) -> DataFrame:
     """Every edge below each root, with its depth, down to ``max_depth``.
 
-    ``roots`` has one column ``root``.  One equi-join per level: the plan is
-    as deep as the bound, so lineage needs no cut.  With ``guard_cycles`` a
-    path never enters a node twice.
+    ``roots`` has one column ``root``.  One equi-join per level.  The edges and
+    each level are written to the shared folder as they are found: otherwise
+    the union of the levels would compute the first one again for every level
+    below it.  With ``guard_cycles`` a path never enters a node twice.
     """
-    steps = edges.withColumnsRenamed({parent: "_parent", child: "_child"})
+    steps = cut_lineage(edges.withColumnsRenamed({parent: "_parent", child: "_child"}))
     extra = [c for c in edges.columns if c not in (parent, child)]
     level = roots.select(
         F.col("root"), F.col("root").alias("_node"), F.array("root").alias("_path")
     )
-    found = None
+    found = []
     for depth in range(1, max_depth + 1):
         below = level.join(steps, F.col("_node") == F.col("_parent"))
         if guard_cycles:
             below = below.filter(~F.array_contains("_path", F.col("_child")))
-        row = below.select(
-            "root", F.col("_parent").alias(parent), F.col("_child").alias(child), *extra, F.lit(depth).alias("depth")
+        path = F.concat("_path", F.array("_child")) if depth < max_depth else F.col("_path")
+        below = cut_lineage(
+            below.select("root", "_parent", F.col("_child").alias("_node"), *extra, path.alias("_path"))
         )
-        found = row if found is None else found.unionByName(row)
-        level = below.select("root", F.col("_child").alias("_node"), F.concat("_path", F.array("_child")).alias("_path"))
-    return found
+        found.append(below.withColumn("depth", F.lit(depth)))
+        level = below.select("root", "_node", "_path")
+    columns = ["root", F.col("_parent").alias(parent), F.col("_node").alias(child), *extra, "depth"]
+    return reduce(DataFrame.unionByName, found).select(columns)
 
 
 def first_matching_level(
@@ -52,7 +59,8 @@ def first_matching_level(
     """
     flagged = edges.select(
         F.col(parent).alias("_p"), F.col(child).alias("_c"), F.col(child).alias("node")
-    ).withColumn("_hit", wanted).drop("node")
+    ).withColumn("_hit", wanted)
+    flagged = cut_lineage(flagged.drop("node"))  # read once per level
     path = flagged.select(
         F.col("_p").alias("root"), F.col("_c").alias("_node"), F.when(F.col("_hit"), F.col("_c")).alias(name)
     )

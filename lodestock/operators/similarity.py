@@ -11,7 +11,7 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from ..session import cut_lineage
 
@@ -91,71 +91,67 @@ def short_name_edges(names: DataFrame, threshold: int) -> DataFrame:
     return edges.distinct()
 
 
-def _segments(length: int, parts: int) -> list[tuple[int, int]]:
-    """Even cut of a length into parts: (start, size)."""
-    base, extra = divmod(length, parts)
-    sizes = [base + (i >= parts - extra) for i in range(parts)]
-    starts = [sum(sizes[:i]) for i in range(parts)]
-    return list(zip(starts, sizes))
-
-
-def segment_keys(name: str, budget: int) -> set[str]:
-    """Keys under which a name is found: each pair of its segments."""
-    cut = _segments(len(name), budget + 2)
-    pieces = [name[s : s + n] for s, n in cut]
-    return {f"{budget}:{len(name)}:{i}:{j}:{pieces[i]}\x01{pieces[j]}" for i, j in combinations(range(len(cut)), 2)}
-
-
-def probe_keys(name: str, budget: int) -> set[str]:
-    """Keys of all names up to ``budget`` shorter that could be within ``budget`` edits.
-
-    Of ``budget + 2`` segments at least two survive the edits, each moved by
-    no more than the edits on either side allow.
-    """
-    out = set()
-    for length in range(len(name) - budget, len(name) + 1):
-        gap = len(name) - length
-        moves = range(-((budget - gap) // 2), (budget + gap) // 2 + 1)
-        found = [
-            {name[s + m : s + m + n] for m in moves if 0 <= s + m and s + m + n <= len(name)}
-            for s, n in _segments(length, budget + 2)
-        ]
-        for i, j in combinations(range(len(found)), 2):
-            out.update(f"{budget}:{length}:{i}:{j}:{p}\x01{q}" for p in found[i] for q in found[j])
-    return out
-
-
-def _key_rows(batches: Iterator[pd.DataFrame], threshold: int, probing: bool) -> Iterator[pd.DataFrame]:
-    def keys(name: str) -> set[str]:
-        if probing:
-            b = edit_budget(len(name), threshold)
-            return probe_keys(name, b) if b > STAR_BUDGET else set()
-        budgets = [b for b in _budgets(len(name), threshold) if b > STAR_BUDGET]
-        return set().union(*[segment_keys(name, b) for b in budgets])
-
-    for batch in batches:
-        for part in range(0, len(batch), FORM_BATCH):
-            names = batch["name"].iloc[part : part + FORM_BATCH]
-            yield pd.DataFrame([(n, k) for n in names for k in keys(n)], columns=["name", "key"])
+def _piece(name: Column, length: Column, parts: Column, i: Column, move: Column) -> Column:
+    """Piece of ``name`` at the place of the i-th of even parts, moved."""
+    start = F.floor(i * length / parts)
+    return F.substring(name, (start + move + 1).cast("int"), (F.floor((i + 1) * length / parts) - start).cast("int"))
 
 
 def long_name_edges(names: DataFrame, threshold: int) -> DataFrame:
-    """Similar pairs that need three edits or more to tell apart.
-
-    Candidates share two exact segments; each is checked by edit distance.
+    """Similar pairs that may be three edits or more apart.
+
+    The shorter name is cut into ``2 (b + 1)`` parts for a budget of ``b``
+    edits, so at least ``b + 2`` parts survive the edits and at least one of
+    any ``b + 1`` parts does.  Only its ``b + 1`` rarest parts are indexed: a
+    prefix shared by a third of all names is a key for none of them, as long as
+    it fills less than half of the name.  The longer name looks up every part a
+    name of each length in reach could leave in it.  Pairs that meet are
+    checked by edit distance.
     """
-    schema = "name string, key string"
-    index = names.mapInPandas(lambda b: _key_rows(b, threshold, False), schema)
-    probe = names.mapInPandas(lambda b: _key_rows(b, threshold, True), schema)
+    length, budget = F.col("length"), F.col("budget")
+    sized = names.select("name", F.length("name").alias("length"))
+    loss = 100 - threshold
+    parts = 2 * (budget + 1)
+
+    # Budgets of the pairs in which this is the shorter name: the longer one
+    # has between ceil(100 b / loss) and length + b characters.
+    most = F.floor(length * loss / threshold)
+    shorter = (
+        sized.withColumn("budget", F.explode(F.sequence(F.floor(length * loss / 100), F.greatest(most, F.floor(length * loss / 100)))))
+        .filter((budget > STAR_BUDGET) & (F.ceil(budget * 100 / loss) <= length + budget))
+        .withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+        .withColumn("piece", _piece(F.col("name"), length, parts, F.col("part"), F.lit(0)))
+    )
+    key = ["budget", "length", "part", "piece"]
+    counted = shorter.join(shorter.groupBy(*key).agg(F.count(F.lit(1)).alias("names")), key)
+    rarest = Window.partitionBy("name", "budget").orderBy("names", "part")
+    index = counted.withColumn("_rank", F.row_number().over(rarest)).filter(F.col("_rank") <= budget + 1)
+
+    gap = F.col("full") - length
+    longer = (
+        sized.select("name", F.col("length").alias("full"), F.floor(F.col("length") * loss / 100).alias("budget"))
+        .filter(budget > STAR_BUDGET)
+        .withColumn("length", F.explode(F.sequence((F.col("full") - budget).cast("int"), F.col("full"))))
+        .withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+        .withColumn("move", F.explode(F.sequence(-F.floor((budget - gap) / 2), F.floor((budget + gap) / 2))))
+    )
+    at = F.floor(F.col("part") * length / parts) + F.col("move")
+    end = F.floor((F.col("part") + 1) * length / parts) + F.col("move")
+    probe = longer.filter((at >= 0) & (end <= F.col("full"))).select(
+        F.col("name").alias("a"),
+        "budget",
+        "length",
+        "part",
+        _piece(F.col("name"), length, parts, F.col("part"), F.col("move")).alias("piece"),
+    )
     pairs = (
-        probe.select(F.col("name").alias("a"), "key")
-        .join(index.select(F.col("name").alias("b"), "key"), "key")
+        probe.join(index.select(F.col("name").alias("b"), *key), key)
         .filter(F.col("a") != F.col("b"))
         .select("a", "b")
         .distinct()
     )
-    longer = F.greatest(F.length("a"), F.length("b"))
-    return pairs.filter(F.levenshtein("a", "b") <= F.floor(longer * (100 - threshold) / 100))
+    reach = F.floor(F.greatest(F.length("a"), F.length("b")) * loss / 100)
+    return pairs.filter(F.levenshtein("a", "b") <= reach)
 
 
 def similar_edges(names: DataFrame, threshold: int = 90) -> DataFrame:
@@ -181,8 +177,14 @@ def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a != b").distinct()
         lowest = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b")
-        current = cut_lineage(small.unionByName(lowest.select("a", F.col("m").alias("b"))).distinct())
-        state = current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        watch = Observation()
+        current = cut_lineage(
+            small.unionByName(lowest.select("a", F.col("m").alias("b"))).distinct(),
+            watch,
+            n=F.count(F.lit(1)),
+            mark=F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")),
+        )
+        state = watch.get
         if state == seen:
             break
         seen = state

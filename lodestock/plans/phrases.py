@@ -7,17 +7,32 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators.reshape import unpack_map
+from ..operators.columns import quoted
+
+
+# Letters, marks and digits of any script, and the underscore.
+WORD = r"[\p{L}\p{M}\p{N}_]"
+
+
+def whole_word(phrase: str) -> str:
+    """Pattern of a phrase not touching another word character.
+
+    The literal comes first and both checks after it: the matcher then searches
+    for plain text and looks around only where it occurs.
+    """
+    literal = re.escape(phrase.lower())
+    return f"{literal}(?!{WORD})(?<!{WORD}{literal})"
 
 
 def phrase_counts(documents: DataFrame, key: str, text: str, phrases: Sequence[str], total: str = "total") -> DataFrame:
     """Whole-word counts of each phrase, lower case, for documents with any.
 
-    Words and phrases are counted alike and independently.  Letters of any
-    script are word characters.
+    Words and phrases are counted alike and independently.
     """
     low = F.lower(text)
-    counts = F.create_map(
-        *[x for p in phrases for x in (F.lit(p), F.regexp_count(low, F.lit(rf"(?U)\b{re.escape(p.lower())}\b")))]
-    )
-    return unpack_map(documents.select(key, counts.alias("_counts")), "_counts", list(phrases), total)
+    counts = F.struct(*[F.regexp_count(low, F.lit(whole_word(p))).alias(p) for p in phrases])
+    # Unfolding the one-element array keeps the total's filter from being pushed
+    # below the counts, where every pattern would run a second time.
+    counted = documents.select(key, F.inline(F.array(counts)))
+    row_sum = sum((F.col(quoted(p)) for p in phrases[1:]), F.col(quoted(phrases[0])))
+    return counted.withColumn(total, row_sum).filter(F.col(total) > 0)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 # Settings every job needs.  Sizing settings (executor memory, shuffle
 # partitions) belong to the cluster; adaptive execution coalesces from there.
@@ -48,11 +48,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/lodestock/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, watch: Observation | None = None, **measures) -> DataFrame:
     """Write ``df`` to the shared folder and continue from the files.
 
-    The files outlive lost executors, so loops can restart from them.
+    The files outlive lost executors, so loops can restart from them.  Named
+    aggregates are measured during the write, for ``watch`` to report.
     """
     path = scratch_path(df.sparkSession, "cut")
-    df.write.mode("overwrite").parquet(path)
+    out = df if watch is None else df.observe(watch, *[c.alias(n) for n, c in measures.items()])
+    out.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
