@@ -39,7 +39,8 @@ def money(c: Column | str) -> Column:
 
 def id_text(c: Column | str) -> Column:
     """A numeric id as digits, without exponent or decimals."""
-    return F.format_string("%.0f", _col(c).cast("double"))
+    c = _col(c)
+    return F.when(c.isNotNull(), F.format_string("%.0f", c.cast("double")))
 
 
 def nan_to_null(c: Column | str) -> Column:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from ..session import cut_lineage
 from .audit import append_audit, error_row, success_row
 from .columns import quoted
 from .contract import ContractError, assert_fits, conform
@@ -79,16 +80,14 @@ def load_table(
     """Conform, check, write and audit.  A contract error is audited, not raised."""
     spark = df.sparkSession
     try:
-        ready = assert_fits(conform(df, target, columns, categorical), target)
+        # Staged once: the checks, the count and the load all read the stage.
+        ready = cut_lineage(conform(df, target, columns, categorical))
+        assert_fits(ready, target)
     except ContractError as error:
         append_audit(error_row(spark, scope, log_source, data_area, error, entry_date), audit_path)
         return False
-    # The count rides on the write; the data is not read again for it.
-    written = Observation()
-    counted = ready.observe(written, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("overwrite" if truncate else "append").parquet(path)
-    rows = written.get["rows"]
-    append_audit(success_row(spark, scope, log_source, data_area, rows, entry_date), audit_path)
+    ready.write.mode("overwrite" if truncate else "append").parquet(path)
+    append_audit(success_row(spark, scope, log_source, data_area, ready.count(), entry_date), audit_path)
     return True
 
 
