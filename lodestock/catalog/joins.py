@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import hierarchy, joins, picks, scopes
 from ..operators.similarity import group_similar
 from ..plans.lateness import late_lines_by_supplier
+from ..session import known_size
 from .registry import day_text, query, table
 
 
@@ -259,9 +260,10 @@ def values_at_weekly_rates(spark, sf):
     )
     week = F.expr("extract(YEAROFWEEK FROM d)") * 100 + F.weekofyear("d")
     calendar = orders.select("d").distinct().select("d", week.cast("long").alias("year_week"))
+    calendar = known_size(calendar)  # one row per day
     dated = orders.join(calendar, "d")
     rates = dated.groupBy("year_week", "cur").agg((1 + F.avg("o_totalprice") / 1000000).alias("rate"))
-    priced = dated.join(rates, ["year_week", "cur"], "left")
+    priced = dated.join(known_size(rates), ["year_week", "cur"], "left")
     rate = F.when(F.col("cur") == "1-URGENT", 1.0).otherwise(F.col("rate"))
     return priced.groupBy("year_week").agg(
         F.count(F.lit(1)).alias("orders"), F.round(F.sum(F.col("o_totalprice") * rate), 2).alias("usd")
@@ -387,7 +389,7 @@ def machines_in_scope(spark, sf):
         F.floor(F.col("c_custkey") / 100).alias("sheet"),
         F.element_at(texts, (F.col("c_custkey") % 11 + 1).cast("int")).alias("scope"),
     )
-    return scopes.expand_scopes(requests, machines, "c_custkey", "scope", "machine", ["sheet"]).drop("sheet")
+    return scopes.expand_scopes(requests, machines, "scope", "machine", ["sheet"]).drop("sheet")
 
 
 @query(

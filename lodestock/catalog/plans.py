@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..plans import availability, contracts, costs, incidents, issues, lateness, phrases, stock, survey, tools
+from ..session import known_size
 from .registry import day_text, query, table
 
 AS_OF = "2001-11-10"
@@ -191,6 +192,7 @@ def unit_cost_by_model(spark, sf):
         F.col("l_shipdate").alias("as_of"),
     )
     rates = lines.groupBy("year_week").agg((1 + F.avg("quantity") / 100).alias("rate")).withColumn("currency", F.lit("EUR"))
+    rates = known_size(rates)  # one row per week
     standard = lines.filter("l_returnflag <> 'R'").select(
         "plant", "item", (F.col("amount") / F.col("quantity")).alias("price"), F.lit(10).alias("price_unit"),
         F.when(F.col("l_returnflag") == "A", "USD").otherwise("EUR").alias("currency"), "year_week", "as_of",
@@ -335,8 +337,7 @@ def decoded_survey_answers(spark, sf):
     """,
 )
 def contract_price_columns(spark, sf):
-    labelled = contracts.price_column_labels(*contract_frames(spark, sf))
-    return labelled.select("document", "table", "column", F.size(F.split("values", r"\|")).cast("long").alias("n_values"), "label")
+    return contracts.price_column_labels(*contract_frames(spark, sf))
 
 
 def contract_frames(spark, sf):
@@ -360,6 +361,20 @@ def contract_frames(spark, sf):
     return cells, prices
 
 
+@query(
+    "contract_column_values",
+    "O-76 O-98",
+    """
+    WITH l AS (SELECT 'D' || l_suppkey AS document, l_linenumber AS "table", l_partkey, l_extendedprice, l_quantity, l_returnflag FROM lineitem)
+    SELECT document, "table", 1 AS "column", CAST(l_partkey AS VARCHAR) AS value FROM l
+    UNION SELECT document, "table", 2, '$' || CAST(l_extendedprice AS VARCHAR) FROM l WHERE l_returnflag <> 'A'
+    UNION SELECT document, "table", 3, CAST(CASE WHEN l_returnflag = 'A' THEN l_extendedprice ELSE l_quantity END AS VARCHAR) FROM l
+    """,
+)
+def contract_column_values(spark, sf):
+    return contracts.column_values(contract_frames(spark, sf)[0])
+
+
 PHRASES = ["the", "of the", "de", "und", "on"]
 
 

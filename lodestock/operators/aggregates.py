@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import known_size
 from .columns import quoted
 
 SALT_BUCKETS = 64
@@ -66,11 +67,21 @@ def join_texts(
 def value_sets(df: DataFrame, keys: Sequence[str], value: str, name: str, sep: str = "|") -> DataFrame:
     """Sorted distinct values of each key as one text.
 
-    Values are made distinct by a map-side aggregate on key and value before
-    any key is gathered.
+    For values of a small domain: the cell holds all of a key's values.  Where
+    the domain grows with the data, keep the distinct rows (``distinct``) or
+    count them (``distinct_counts``) instead.
     """
-    pairs = df.select(*keys, value).distinct()
-    return pairs.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_set(value)), sep).alias(name))
+    return df.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_set(value)), sep).alias(name))
+
+
+def distinct_counts(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
+    """Number of distinct values per key, by two aggregates.
+
+    The first is keyed by key and value, which spreads a hot key; the second
+    counts its rows with map-side sums.
+    """
+    pairs = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.lit(1).alias("_one"))
+    return pairs.groupBy(*keys).agg(F.count("_one").alias(name))
 
 
 def weighted_average(df: DataFrame, keys: Sequence[str], price: str, quantity: str, name: str) -> DataFrame:
@@ -92,6 +103,7 @@ def group_total(df: DataFrame, keys: Sequence[str], value: str, name: str) -> Da
     totals = df.groupBy(*[F.col(quoted(k)).alias(f"_key_{i}") for i, k in enumerate(keys)]).agg(
         F.sum(value).alias(name)
     )
+    totals = known_size(totals)
     same = None
     for i, k in enumerate(keys):
         term = F.col(quoted(k)).eqNullSafe(F.col(f"_key_{i}"))

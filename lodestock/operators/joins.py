@@ -106,9 +106,8 @@ def per_key_totals(
 def within_period(df: DataFrame, column: str, periods: DataFrame, first: Column, last: Column) -> DataFrame:
     """Rows from the first period on and before the last one.
 
-    The bounds are scalar subqueries over a calendar: computed once, then
+    The bounds are a scalar subquery over a calendar: computed once, then
     compared as constants.
     """
-    low = periods.agg(first).scalar()
-    high = periods.agg(last).scalar()
-    return df.filter((F.col(column) >= low) & (F.col(column) < high))
+    bounds = periods.agg(F.struct(first.alias("low"), last.alias("high")).alias("b")).scalar()
+    return df.filter((F.col(column) >= bounds["low"]) & (F.col(column) < bounds["high"]))

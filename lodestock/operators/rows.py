@@ -36,33 +36,30 @@ def forward_fill(
 ) -> DataFrame:
     """Carry the last value down over nulls.
 
-    Within a block the carry is a window.  Between blocks it is a window over
-    one summary row per block that holds the block's last values, joined back,
-    so neither a long sheet nor one large group in ``by`` lands in one task.
+    Each block starts with a seed row holding the values carried into it: the
+    last values of the blocks before, from one summary row per block.  One
+    window per block then fills the rows, so neither a long sheet nor one large
+    group in ``by`` lands in one task.
     """
-    block = F.floor(F.col(position) / F.lit(block_rows)).alias("_block")
     keys = [F.col(quoted(k)) for k in by]
+    block = F.floor(F.col(quoted(position)) / F.lit(block_rows))
+    rows = df.withColumns({"_block": block, "_seed": F.lit(False)})
     last_in_block = [
-        F.max_by(F.col(quoted(c)), F.when(F.col(quoted(c)).isNotNull(), F.col(position))).alias(f"_last_{i}")
-        for i, c in enumerate(columns)
+        F.max_by(F.col(quoted(c)), F.when(F.col(quoted(c)).isNotNull(), F.col(quoted(position)))).alias(c) for c in columns
     ]
-    summary = df.groupBy(*keys, block).agg(*last_in_block)
-    before = Window.partitionBy(*by).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = summary.select(
-        *[F.col(quoted(k)).alias(f"_key_{i}") for i, k in enumerate(by)],
-        F.col("_block").alias("_at"),
-        *[F.last(f"_last_{i}", ignorenulls=True).over(before).alias(f"_carry_{i}") for i in range(len(columns))],
+    summary = rows.groupBy(*keys, "_block").agg(*last_in_block)
+    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    seeds = summary.select(
+        *keys,
+        "_block",
+        *[F.last(F.col(quoted(c)), ignorenulls=True).over(before).alias(c) for c in columns],
+        (F.col("_block") * block_rows - 1).cast(df.schema[position].dataType).alias(position),
+        F.lit(True).alias("_seed"),
     )
-    same = F.col("_block") == F.col("_at")
-    for i, k in enumerate(by):
-        same = same & F.col(quoted(k)).eqNullSafe(F.col(f"_key_{i}"))
-    joined = df.withColumn("_block", block).join(carried, same, "left")
-    within = Window.partitionBy(*by, "_block").orderBy(position).rowsBetween(Window.unboundedPreceding, 0)
-    filled = {
-        c: F.coalesce(F.last(F.col(quoted(c)), ignorenulls=True).over(within), F.col(f"_carry_{i}"))
-        for i, c in enumerate(columns)
-    }
-    return joined.withColumns(filled).select([quoted(c) for c in df.columns])
+    within = Window.partitionBy(*keys, "_block").orderBy(quoted(position)).rowsBetween(Window.unboundedPreceding, 0)
+    filled = {c: F.last(F.col(quoted(c)), ignorenulls=True).over(within) for c in columns}
+    seeded = rows.unionByName(seeds, allowMissingColumns=True)
+    return seeded.withColumns(filled).filter(~F.col("_seed")).select([quoted(c) for c in df.columns])
 
 
 def section_rows(
@@ -101,15 +98,21 @@ def section_rows(
 def running_total(
     df: DataFrame, value: str, name: str, position: str = "row_pos", block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
-    """Sum of ``value`` up to and with the row, block by block."""
+    """Sum of ``value`` up to and with the row, block by block, from seed rows."""
     block = F.floor(F.col(position) / F.lit(block_rows))
-    sums = df.groupBy(block.alias("_at")).agg(F.sum(value).alias("_sum"))
-    before = Window.orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select("_at", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
-    within = Window.partitionBy("_block").orderBy(position).rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        df.withColumn("_block", block)
-        .join(offsets, F.col("_block") == F.col("_at"))
-        .withColumn(name, F.sum(value).over(within) + F.col("_offset"))
-        .drop("_block", "_at", "_offset")
+    rows = df.withColumns({"_block": block, "_seed": F.lit(False)})
+    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per block reaches this window.
+    seeds = (
+        rows.groupBy("_block")
+        .agg(F.sum(value).alias("_sum"))
+        .select(
+            "_block",
+            F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias(value),
+            (F.col("_block") * block_rows - 1).cast(df.schema[position].dataType).alias(position),
+            F.lit(True).alias("_seed"),
+        )
     )
+    within = Window.partitionBy("_block").orderBy(position).rowsBetween(Window.unboundedPreceding, 0)
+    seeded = rows.unionByName(seeds, allowMissingColumns=True)
+    return seeded.withColumn(name, F.sum(value).over(within)).filter(~F.col("_seed")).drop("_block", "_seed")

@@ -50,19 +50,22 @@ def machine_terms(machine: Column) -> Column:
 
 
 def expand_scopes(
-    requests: DataFrame, machines: DataFrame, request_id: str, scope: str, machine: str, within: list[str]
+    requests: DataFrame, machines: DataFrame, scope: str, machine: str, within: list[str]
 ) -> DataFrame:
     """Requests with every machine their scope covers.
 
     Both sides unfold to (code, marked) pairs and meet in an equi-join on the
     sheet (``within``), code and mark, so no request is ever compared with a
-    machine it does not mean.  A machine owning two named codes counts once.
+    machine it does not mean.  A machine owning two named codes counts once: at
+    the first of the request's pairs that it owns.
     """
-    left = requests.withColumn("_term", F.explode(scope_terms(F.col(scope))))
-    right = machines.select(*within, machine).distinct().withColumn("_own", F.explode(machine_terms(F.col(machine))))
-    right = right.select(*[F.col(w).alias(f"_in_{i}") for i, w in enumerate(within)], machine, "_own")
+    left = requests.withColumn("_terms", scope_terms(F.col(scope))).withColumn("_term", F.explode("_terms"))
+    right = machines.select(*within, machine).distinct().withColumn("_owned", machine_terms(F.col(machine)))
+    right = right.select(
+        *[F.col(w).alias(f"_in_{i}") for i, w in enumerate(within)], machine, "_owned", F.explode("_owned").alias("_own")
+    )
     same = (F.col("_term.code") == F.col("_own.code")) & (F.col("_term.marked") == F.col("_own.marked"))
     for i, w in enumerate(within):
         same = same & (F.col(w) == F.col(f"_in_{i}"))
-    pairs = left.join(right, same)
-    return pairs.select(*requests.columns, machine).dropDuplicates([*within, request_id, machine])
+    first = F.get(F.filter("_terms", lambda t: F.array_contains("_owned", t)), F.lit(0))
+    return left.join(right, same).filter(F.col("_term") == first).select(*requests.columns, machine)

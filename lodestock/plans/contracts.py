@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.numbers import money
-from ..operators.aggregates import value_sets
+from ..operators.aggregates import distinct_counts
 from ..operators.picks import most_frequent
 
 TABLE = ["document", "table"]
@@ -17,7 +17,8 @@ def price_column_labels(cells: DataFrame, prices: DataFrame) -> DataFrame:
     A cell naming a known item makes the other cells of its row candidates; a
     candidate equal to the item's price votes for its column.  The column with
     most votes (ties: first column) is ``Price``, the others of such a table
-    are ``NotPrice``, columns of tables without votes are ``Other``.
+    are ``NotPrice``, columns of tables without votes are ``Other``.  The values
+    of a column stay as rows of ``column_values``: a column may be long.
 
     ``cells``: document, table, row, column, value; ``prices``: item, price.
     """
@@ -25,10 +26,15 @@ def price_column_labels(cells: DataFrame, prices: DataFrame) -> DataFrame:
     named = cells.join(prices, F.col("value") == F.col("item")).select(*rows, "price")
     votes = cells.join(named, rows).filter(money("value") == F.col("price")).select(*TABLE, "column")
     winners = most_frequent(votes, TABLE, "column").select(*TABLE, F.col("column").alias("winner"))
-    columns = value_sets(cells, [*TABLE, "column"], "value", "values")
+    columns = distinct_counts(cells, [*TABLE, "column"], "value", "n_values")
     label = (
         F.when(F.col("column") == F.col("winner"), "Price")
         .when(F.col("winner").isNotNull(), "NotPrice")
         .otherwise("Other")
     )
     return columns.join(winners, TABLE, "left").withColumn("label", label).drop("winner")
+
+
+def column_values(cells: DataFrame) -> DataFrame:
+    """The distinct values of every column, one per row."""
+    return cells.select(*TABLE, "column", "value").distinct()

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators.aggregates import join_texts
 from ..operators.joins import lookup, trailing_sum
+from ..session import known_size
 
 
 def late_lines_by_supplier(
@@ -49,6 +50,7 @@ def lateness_features(
         .groupBy("supplier_id")
         .agg(F.count(F.lit(1)).alias("open_count"), F.sum("amount").alias("open_amount"))
     )
+    per_supplier = known_size(per_supplier)  # few suppliers, many lines
     event_counts = events.groupBy("order_id").agg(F.count(F.lit(1)).alias("event_count"))
     change_counts = changes.groupBy("order_id", "line_id").agg(F.count(F.lit(1)).alias("change_count"))
     carriers = join_texts(

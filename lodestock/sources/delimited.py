@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..functions.text import na_to_null
+from ..session import known_size
 
 
 def read_csv(
@@ -49,6 +50,7 @@ def numbered_lines(spark: SparkSession, path: str, modified_after: str | None =
     blocks = lines.groupBy("file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
     before = Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = blocks.select("file", "_block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    starts = known_size(starts)
     return lines.join(starts, ["file", "_block"]).select(
         "file", (F.col("_before") + F.col("_id") - F.col("_first")).alias("row_pos"), "line"
     )

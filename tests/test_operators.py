@@ -252,7 +252,7 @@ def test_scopes(spark):
     }
     requests = frame(spark, "id int, sheet int, scope string", *[(i, 1, s) for i, s in enumerate(expected)])
     grid = frame(spark, "sheet int, machine string", *[(1, m) for m in machines], (2, "F1272"))
-    out = scopes.expand_scopes(requests, grid, "id", "scope", "machine", ["sheet"]).collect()
+    out = scopes.expand_scopes(requests, grid, "scope", "machine", ["sheet"]).collect()
     got = {s: sorted(r.machine for r in out if r.scope == s) for s in expected}
     assert got == {s: sorted(m) for s, m in expected.items()}
 
