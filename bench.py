@@ -14,7 +14,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from lodestock.catalog import QUERIES  # noqa: E402
-from lodestock.session import build_session  # noqa: E402
+from lodestock.session import build_session, drop_scratch  # noqa: E402
 
 HEADLINE = [
     "late_lines_by_supplier",
@@ -74,6 +74,7 @@ def main() -> None:
     for name in names:
         run(name)
         seconds[name] = round(run(name), 3)
+        drop_scratch(spark)
     print(
         json.dumps(
             {

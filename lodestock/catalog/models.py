@@ -105,6 +105,21 @@ def best_box_cox_exponent(spark, sf):
     return shaped.agg(F.lit(lam).alias("exponent"), F.count("v").alias("n"), F.avg("v").alias("mean"), F.skewness("v").alias("skew"))
 
 
+@query(
+    "box_cox_likelihoods",
+    "O-105",
+    """
+    WITH g AS (SELECT unnest([-1.0, 0.5, 1.0, 2.0])::DOUBLE AS exponent)
+    SELECT exponent, round((exponent - 1) * sum(ln(l_quantity)) - count(*) / 2 * ln(var_pop((pow(l_quantity, exponent) - 1) / exponent)), 3) AS likelihood
+    FROM lineitem, g GROUP BY exponent
+    """,
+)
+def box_cox_likelihoods(spark, sf):
+    grid = [-1.0, 0.5, 1.0, 2.0]
+    cells = [F.struct(F.lit(g).alias("exponent"), F.round(features.box_cox_likelihood("l_quantity", g), 3).alias("likelihood")) for g in grid]
+    return table(spark, sf, "lineitem", "l_quantity").agg(F.array(*cells).alias("c")).select(F.inline("c"))
+
+
 @query("two_components", "O-105")
 def two_components(spark, sf):
     columns = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -191,6 +206,41 @@ def days_late_regression(spark, sf):
     )
 
 
+RULE_SQL = """
+    WITH s AS (SELECT CAST(date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) > 60 AS INTEGER) AS label,
+                 CAST(l_quantity > 20 OR l_returnflag = 'R' AS INTEGER) AS prediction FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+"""
+
+
+def _ruled_lines(spark, sf):
+    """Order lines scored by a fixed rule, to check the measures exactly."""
+    lines = table(spark, sf, "lineitem", "l_orderkey", "l_quantity", "l_returnflag", "l_shipdate")
+    orders = table(spark, sf, "orders", "o_orderkey", "o_orderdate")
+    return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
+        (F.datediff("l_shipdate", "o_orderdate") > 60).cast("int").alias("label"),
+        ((F.col("l_quantity") > 20) | (F.col("l_returnflag") == "R")).cast("int").alias("prediction"),
+    )
+
+
+@query("confusion_of_a_rule", "O-110", RULE_SQL + "SELECT label, prediction, count(*) AS n FROM s GROUP BY ALL")
+def confusion_of_a_rule(spark, sf):
+    return models.confusion(_ruled_lines(spark, sf))
+
+
+@query(
+    "score_card_of_a_rule",
+    "O-110",
+    RULE_SQL
+    + """
+    SELECT count(*) AS rows, round(avg(CAST(label = prediction AS INTEGER)), 9) AS accuracy,
+      round(sum(label * prediction) / sum(prediction), 9) AS precision, round(sum(label * prediction) / sum(label), 9) AS recall FROM s
+    """,
+)
+def score_card_of_a_rule(spark, sf):
+    card = models.score_card(_ruled_lines(spark, sf))
+    return card.withColumns({c: F.round(c, 9) for c in ("accuracy", "precision", "recall")})
+
+
 @query("lateness_grid_search", "O-110 O-107")
 def lateness_grid_search(spark, sf):
     df = lateness_training(spark, sf)
@@ -246,6 +296,20 @@ def token_counts(spark, sf):
     return kept.select("doc_id", F.size("kept").cast("long").alias("tokens"), F.size(F.array_distinct("kept")).cast("long").alias("kinds"))
 
 
+@query(
+    "token_weights",
+    "O-113",
+    """
+    WITH t AS (SELECT doc_id, unnest(regexp_extract_all(regexp_replace(text, '[0-9]', '_', 'g'), '[\\p{L}\\p{M}\\p{N}_]+|[^\\s\\p{L}\\p{M}\\p{N}_]')) AS token FROM documents)
+    SELECT token, count(DISTINCT doc_id) AS documents, round(ln((1 + (SELECT count(*) FROM documents)) / (1 + count(DISTINCT doc_id))) + 1, 9) AS weight
+    FROM t WHERE token NOT IN ('"', '''', '(', ')', '*', '`', '{', '|', '}', '~', '/') GROUP BY 1
+    """,
+)
+def token_weights(spark, sf):
+    df = table(spark, sf, "documents", "doc_id", "text").select("doc_id", words.tokens("text").alias("tokens"))
+    return words.document_frequencies(df, "doc_id", "tokens").withColumn("weight", F.round("weight", 9))
+
+
 @query("document_quality_scores", "O-113 O-107")
 def document_quality_scores(spark, sf):
     texts = table(spark, sf, "documents", "doc_id", "text").join(table(spark, sf, "labels", "doc_id", "quality"), "doc_id")

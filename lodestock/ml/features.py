@@ -83,6 +83,12 @@ def log_one_plus(c: Column | str) -> Column:
     return F.log1p(c)
 
 
+def box_cox_likelihood(column: str, lam: float) -> Column:
+    """Aggregate: log-likelihood of the exponent for a positive column."""
+    x = F.col(quoted(column)).cast("double")
+    return (F.lit(float(lam)) - 1) * F.sum(F.log(x)) - F.count(x) / 2 * F.log(F.var_pop(box_cox(x, lam)))
+
+
 def box_cox_lambda(df: DataFrame, column: str, low: float = -2.0, high: float = 2.0, rounds: int = 5, steps: int = 10) -> float:
     """Exponent with the largest Box-Cox likelihood over the positive values.
 
@@ -93,10 +99,7 @@ def box_cox_lambda(df: DataFrame, column: str, low: float = -2.0, high: float =
     values = df.select(x.alias("x")).filter("x > 0")
     for _ in range(rounds):
         grid = [low + (high - low) * i / steps for i in range(steps + 1)]
-        scores = [
-            ((F.lit(lam) - 1) * F.sum(F.log("x")) - F.count("x") / 2 * F.log(F.var_pop(box_cox("x", lam)))).alias(str(i))
-            for i, lam in enumerate(grid)
-        ]
+        scores = [box_cox_likelihood("x", lam).alias(str(i)) for i, lam in enumerate(grid)]
         found = values.agg(*scores).first()
         best = max(range(len(grid)), key=lambda i: float("-inf") if found[i] is None else found[i])
         step = (high - low) / steps

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.ml import Estimator, Transformer
 from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, StopWordsRemover
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Single-character tokens that carry nothing.
 PUNCTUATION = list("\"'()*`{|}~/")
@@ -35,3 +35,14 @@ def hashed_stages(column: str, features: int = 1 << 14) -> list[Transformer | Es
         HashingTF(inputCol=column, outputCol="term_counts", numFeatures=features),
         IDF(inputCol="term_counts", outputCol="features"),
     ]
+
+
+def document_frequencies(df: DataFrame, key: str, tokens_column: str) -> DataFrame:
+    """Documents holding each token and its weight ``ln((1 + n) / (1 + documents)) + 1``.
+
+    One row per token, wherever the vocabulary ends: nothing of it is gathered.
+    """
+    held = df.select(key, F.explode(F.array_distinct(tokens_column)).alias("token"))
+    n = df.agg(F.count(F.lit(1))).scalar()
+    counts = held.groupBy("token").agg(F.count(F.lit(1)).alias("documents"))
+    return counts.withColumn("weight", F.log((1 + n) / (1 + F.col("documents"))) + 1)

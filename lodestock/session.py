@@ -43,9 +43,23 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """This application's own folder below the shared one."""
+    return f"{shared_folder(spark).rstrip('/')}/lodestock-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/lodestock/{label}-{uuid.uuid4().hex}"
+    """A fresh path in the application's folder."""
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove what this application wrote to the shared folder.
+
+    For the end of a job: frames that read those files stop working.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
