@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..plans import availability, contracts, costs, incidents, issues, lateness, phrases, stock, survey, tools
+from ..plans import availability, contracts, costs, incidents, issues, lateness, market, phrases, stock, survey, tools
 from ..session import known_size
 from .registry import day_text, query, table
 
@@ -438,3 +440,38 @@ def product_name_parts(spark, sf):
     name = F.concat_ws(" ", F.lit("8GB"), "p_type", F.concat(F.lit("1Gx"), "p_size"), F.concat("p_brand", F.lit("/")))
     parts = table(spark, sf, "part").select("p_partkey", text.memory_name_parts(name).alias("p"))
     return parts.select("p_partkey", "p.tech", "p.tech2", "p.width")
+
+
+@query(
+    "monthly_price_sheet",
+    "O-27 O-29 O-37 O-40 O-46 O-49 O-83",
+    """
+    WITH m AS (SELECT year(o_orderdate) AS y, month(o_orderdate) AS m, round(avg(o_totalprice) FILTER (o_orderpriority = '5-LOW'), 4) AS a,
+        round(max(o_totalprice) FILTER (o_orderpriority = '1-URGENT'), 2) AS b FROM orders GROUP BY ALL),
+    k AS (SELECT * FROM m WHERE y * 12 + m <= (SELECT max(y * 12 + m) - 3 FROM m))
+    SELECT '8GB DDR4 SODIMM 1Gx8' AS memory_full, 'DDR4' AS memory_tech, 'SODIMM' AS memory_tech2, 8.0::DOUBLE AS density_gb, 'x8' AS width,
+      'Low' AS price_type, strftime(make_date(y, m, 1), '%Y-%m-%d') AS month, a AS price FROM k
+    UNION ALL SELECT '4Gb DDR3', 'DDR3', NULL, 0.5, NULL, 'High', strftime(make_date(y, m, 1), '%Y-%m-%d'), b FROM k
+    """,
+)
+def monthly_price_sheet(spark, sf):
+    d = F.col("o_orderdate")
+    months = table(spark, sf, "orders", "o_orderdate", "o_orderpriority", "o_totalprice").groupBy(
+        F.year(d).alias("y"), F.month(d).alias("m"), F.date_format(d, "MMM").alias("Month")
+    )
+    price, priority = F.col("o_totalprice"), F.col("o_orderpriority")
+    wide = months.agg(
+        F.round(F.avg(F.when(priority == "5-LOW", price)), 4).cast("string").alias("8GB DDR4 SO/DIMM 1Gx8|Low"),
+        F.round(F.max(F.when(priority == "1-URGENT", price)), 2).cast("string").alias("4Gb DDR3|High"),
+    )
+    sheet = wide.select(
+        (F.col("y") * 12 + F.col("m")).alias("row_pos"),
+        F.when(F.col("m") == 1, F.col("y").cast("string")).alias("Year"),
+        "Month",
+        *[f"`{c}`" for c in wide.columns if "|" in c],
+        F.when(F.col("y") < 0, "x").alias("Unnamed: 5"),
+    )
+    out = market.price_table(sheet, "Year", "Month", "orders", date(2024, 1, 1))
+    return out.select(
+        "memory_full", "memory_tech", "memory_tech2", "density_gb", "width", "price_type", day_text("forecast_dt").alias("month"), "price"
+    )
