@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.numbers import box_cox
 from ..ml import features, models, text as words
 from ..operators import profiling
-from ..session import cut_lineage
+from ..session import cut_wide
 from .plans import lateness_frame
 from .registry import query, table
 
@@ -151,14 +151,15 @@ def lateness_training(spark, sf):
         ),
         LATE_NUMBERS,
     )
-    return cut_lineage(df)
+    # Written in as many parts as there are cores, so the fits read in parallel.
+    return cut_wide(df)
 
 
 def _scores(spark, sf, kinds):
     df = lateness_training(spark, sf)
     train, test = features.train_test(df, ["order_id", "line_id"], 0.7, seed=1)
     encoder = models.fit(train, features.encoding_stages(train, LATE_CATEGORIES, LATE_NUMBERS))
-    ready, held_out = cut_lineage(encoder.transform(train).select("label", "features")), encoder.transform(test)
+    ready, held_out = (cut_wide(encoder.transform(part).select("label", "features")) for part in (train, test))
     cards = []
     for kind, params in kinds.items():
         model = models.classifier(kind, **params).fit(ready)
@@ -313,8 +314,8 @@ def token_weights(spark, sf):
 @query("document_quality_scores", "O-113 O-107")
 def document_quality_scores(spark, sf):
     texts = table(spark, sf, "documents", "doc_id", "text").join(table(spark, sf, "labels", "doc_id", "quality"), "doc_id")
-    df = texts.select("doc_id", words.tokens("text").alias("tokens"), F.col("quality").cast("double").alias("label"))
-    train, test = features.train_test(cut_lineage(df), ["doc_id"], 0.7, seed=1)
+    df_columns = ["doc_id", words.tokens("text").alias("tokens"), F.col("quality").cast("double").alias("label")]
+    train, test = features.train_test(cut_wide(texts.select(*df_columns)), ["doc_id"], 0.7, seed=1)
     stages = [words.stop_words("tokens", "kept"), *words.hashed_stages("kept", 1 << 12), models.classifier("logistic", maxIter=10)]
     return models.score_card(models.fit(train, stages).transform(test))
 
@@ -323,6 +324,6 @@ def document_quality_scores(spark, sf):
 def clustered_vectors(spark, sf):
     df = table(spark, sf, "embeddings", "vec_id", "embedding", "label")
     groups = df.agg(F.count_distinct("label")).first()[0]
-    vectors = df.select("vec_id", "label", array_to_vector("embedding").alias("features"))
+    vectors = cut_wide(df).select("vec_id", "label", array_to_vector("embedding").alias("features"))
     model = KMeans(k=max(2, round(groups * 0.75)), seed=1, maxIter=10).fit(vectors)
     return model.transform(vectors).groupBy(F.col("prediction").alias("cluster")).agg(F.count(F.lit(1)).alias("n"))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numbers import box_cox
 from ..operators.columns import quoted
+from ..session import cut_wide
 
 
 def split_share(keys: Sequence[str], seed: int = 0) -> Column:
@@ -96,7 +97,7 @@ def box_cox_lambda(df: DataFrame, column: str, low: float = -2.0, high: float =
     neighbours of the best one; the grid moves on when the best is at an edge.
     """
     x = F.col(quoted(column)).cast("double")
-    values = df.select(x.alias("x")).filter("x > 0")
+    values = cut_wide(df.select(x.alias("x")).filter("x > 0"))
     for _ in range(rounds):
         grid = [low + (high - low) * i / steps for i in range(steps + 1)]
         scores = [box_cox_likelihood("x", lam).alias(str(i)) for i, lam in enumerate(grid)]

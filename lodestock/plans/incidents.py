@@ -35,15 +35,28 @@ def incident_fields(notices: DataFrame, key: str, body: str, ignored_links: Sequ
     place = F.regexp_extract(text, r"Lat/Lon:</td>\s*<td[^>]*>\s*(-?[\d.]+ , -?[\d.]+)", 1)
     point = F.split(F.nullif(place, F.lit("")), " , ")
     code = F.regexp_extract(text, r"GDACS ID</td>\s*<td[^>]*>\s*([A-Z]{2}) ", 1)
-    feed_type = F.try_element_at(F.create_map(*[F.lit(x) for kv in FEED_TYPES.items() for x in kv]), code)
-    return notices.select(
+    # Found once each, then read several times: a second projection keeps the
+    # patterns from being matched again for every use.
+    found = notices.select(
         key,
         title.alias("incident"),
         when.alias("time"),
         _cell(text, "Impact radius").alias("impact_radius"),
-        (outage.try_cast("double") / 100).alias("outage_probability"),
+        outage.alias("_outage"),
         link.alias("link"),
-        F.round(F.get(point, F.lit(0)).try_cast("double"), 4).alias("latitude"),
-        F.round(F.get(point, F.lit(1)).try_cast("double"), 4).alias("longitude"),
-        F.coalesce(feed_type, keyword_label(title, TYPE_WORDS)).alias("incident_type"),
+        point.alias("_point"),
+        code.alias("_code"),
+    )
+    feed_type = F.try_element_at(F.create_map(*[F.lit(x) for kv in FEED_TYPES.items() for x in kv]), F.col("_code"))
+    place = [F.round(F.get("_point", F.lit(i)).try_cast("double"), 4) for i in (0, 1)]
+    return found.select(
+        key,
+        "incident",
+        "time",
+        "impact_radius",
+        (F.col("_outage").try_cast("double") / 100).alias("outage_probability"),
+        "link",
+        place[0].alias("latitude"),
+        place[1].alias("longitude"),
+        F.coalesce(feed_type, keyword_label("incident", TYPE_WORDS)).alias("incident_type"),
     )

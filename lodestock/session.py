@@ -81,3 +81,15 @@ def known_size(df: DataFrame) -> DataFrame:
     ``spark.sql.autoBroadcastJoinThreshold``.
     """
     return cut_lineage(df)
+
+
+def cut_wide(df: DataFrame) -> DataFrame:
+    """``cut_lineage`` with at least one partition per core, for heavy readers.
+
+    A small result comes back in fewer partitions than there are cores and is
+    written once more, spread out; a large one is left as it is.
+    """
+    out = cut_lineage(df)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    # ``out`` is a plain file scan: its partitions are known without running it.
+    return out if out.rdd.getNumPartitions() >= cores else cut_lineage(out.repartition(cores))
