@@ -103,13 +103,13 @@ def attribute_columns(spark, sf):
     """,
 )
 def award_recipients(spark, sf):
-    base = F.concat_ws(", ", F.lit("GSC team"), "o_orderpriority", "o_orderstatus")
+    base = F.concat_ws(", ", F.lit("Team list"), "o_orderpriority", "o_orderstatus")
     names = F.when(F.col("o_orderstatus") == "P", base).otherwise(
         F.concat_ws(", ", base, F.concat(F.lit("x"), F.col("o_custkey").cast("string")), F.lit("y"))
     )
     df = table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus")
     df = df.select("o_orderkey", names.alias("recipient"))
-    return reshape.explode_parts(df, text.tokens_every("recipient", drop_prefix="GSC "), "recipient")
+    return reshape.explode_parts(df, text.tokens_every("recipient", drop_prefix="Team "), "recipient")
 
 
 @query(

@@ -95,7 +95,7 @@ def carriers_per_customer(spark, sf):
     "O-72",
     """
     SELECT l_suppkey, count(DISTINCT l_partkey) AS parts, coalesce(round(sum(CASE WHEN l_quantity > 50 THEN l_quantity END), 2), 0)
-      AS oversize, max(l_returnflag) AS last_flag, round(avg(l_discount), 6) AS discount FROM lineitem GROUP BY 1
+      AS oversize, max(l_returnflag) AS last_flag, round(avg(l_discount), 10) AS discount FROM lineitem GROUP BY 1
     """,
 )
 def mixed_aggregates(spark, sf):
@@ -104,7 +104,7 @@ def mixed_aggregates(spark, sf):
         F.count_distinct("l_partkey").alias("parts"),
         F.round(aggregates.sum_or_zero(F.when(F.col("l_quantity") > 50, F.col("l_quantity"))), 2).alias("oversize"),
         F.max("l_returnflag").alias("last_flag"),
-        F.round(F.avg("l_discount"), 6).alias("discount"),
+        F.round(F.avg("l_discount"), 10).alias("discount"),
     )
 
 

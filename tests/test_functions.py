@@ -46,7 +46,7 @@ def test_html(spark):
 
 
 def test_lists(spark):
-    got = one(spark, "string", ["GSC team, Doe, Ann, Roe, Bob", "Doe, Ann, Roe"], text.tokens_every("c", drop_prefix="GSC "))
+    got = one(spark, "string", ["Team list, Doe, Ann, Roe, Bob", "Doe, Ann, Roe"], text.tokens_every("c", drop_prefix="Team "))
     assert got == [["DOE, ANN", "ROE, BOB"], ["DOE, ANN", "ROE"]]
     got = one(spark, "string", ["Add CEID: AB, CD", "plain", None], text.listed_after("c", "CEID: "))
     assert got == [["Add CEID: AB", "Add CEID: CD"], ["plain"], [None]]
