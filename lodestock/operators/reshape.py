@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .aggregates import join_texts
 from .columns import quoted
 
 
@@ -28,19 +29,17 @@ def pivot_sum(df: DataFrame, keys: Sequence[str], column: str, values: Sequence[
 
 
 def pivot_texts(
-    df: DataFrame, keys: Sequence[str], column: str, values: Mapping[str, str], text: str, sep: str = ","
+    df: DataFrame, keys: Sequence[str], column: str, values: Mapping[str, str], text: str, sep: str = ",", max_chars: int = 3999
 ) -> DataFrame:
-    """Attribute rows to columns, several values joined in value order.
+    """Attribute rows to columns, distinct values of a cell joined in value order.
 
-    Duplicate rows are dropped first, which also bounds the list in a cell by
-    the attribute's distinct values.
+    Cells are joined first, one row per key and attribute within the column's
+    limit, so a key with many values is never gathered whole.
     """
-    pairs = df.select(*keys, column, text).distinct()
-    cells = [
-        F.array_join(F.array_sort(F.collect_list(F.when(F.col(column) == v, F.col(text)))), sep).alias(name)
-        for v, name in values.items()
-    ]
-    return pairs.groupBy(*keys).agg(*[F.nullif(c, F.lit("")).alias(n) for c, n in zip(cells, values.values())])
+    cells = join_texts(df, [*keys, column], text, [], "_cell", sep=sep, max_chars=max_chars, distinct=True)
+    return cells.groupBy(*[quoted(k) for k in keys]).agg(
+        *[F.max(F.when(F.col(quoted(column)) == v, F.col("_cell"))).alias(name) for v, name in values.items()]
+    )
 
 
 def explode_parts(df: DataFrame, parts: Column, name: str) -> DataFrame:

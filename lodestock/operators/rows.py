@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from .columns import quoted
 
-BLOCK_ROWS = 100_000
+BLOCK_ROWS = 1_000_000
 
 
 def drop_footer(df: DataFrame, rows: int, position: str = "row_pos") -> DataFrame:
