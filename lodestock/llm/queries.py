@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, quality, sequences, token_counts
+from . import decontaminate, line_dedup, pseudonyms, quality, sequences, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -79,3 +79,16 @@ def op8_quality_rules(spark, folder):
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@query()
+def op2_substring_dedup(spark, folder):
+    """Every document without lines that come earlier in the corpus; offsets of those cut."""
+    cut = line_dedup.remove_repeats(table(spark, folder, "documents", "doc_id", "text"))
+    return cut.select("doc_id", "text", "removed", "n_units", "n_removed")
+
+
+@query()
+def op5_pii_pseudonyms(spark, folder):
+    """Every document with pseudonyms for its validated numbers and dates."""
+    return pseudonyms.pseudonymise(table(spark, folder, "documents", "doc_id", "text"))
