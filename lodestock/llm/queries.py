@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, line_dedup, pseudonyms, quality, sequences, token_counts
+from . import decontaminate, jaccard_join, line_dedup, pseudonyms, quality, sequences, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -92,3 +92,9 @@ def op2_substring_dedup(spark, folder):
 def op5_pii_pseudonyms(spark, folder):
     """Every document with pseudonyms for its validated numbers and dates."""
     return pseudonyms.pseudonymise(table(spark, folder, "documents", "doc_id", "text"))
+
+
+@query()
+def op10_ngram_jaccard_join(spark, folder):
+    """Component of every document under links of 85 % of shared four-word shingles."""
+    return jaccard_join.components(table(spark, folder, "documents", "doc_id", "text"), size=4, percent=85)
