@@ -13,7 +13,7 @@ from itertools import combinations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, release
 
 WILDCARD = "\x00"
 STAR_BUDGET = 2
@@ -177,7 +177,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a != b").distinct()
         lowest = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b")
-        current = cut_lineage(small.unionByName(lowest.select("a", F.col("m").alias("b"))).distinct())
+        before, current = current, cut_lineage(small.unionByName(lowest.select("a", F.col("m").alias("b"))).distinct())
+        release(before)
         state = current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == seen:
             break

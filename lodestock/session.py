@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +20,11 @@ SESSION_SETTINGS = {
 }
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+# Files behind frames of ``cut_lineage``, by the frame's identity.
+_FILES: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
 def build_session(app_name: str = "lodestock", master: str | None = None, **extra: str) -> SparkSession:
     """Create or reuse a session carrying ``SESSION_SETTINGS``."""
     builder = SparkSession.builder.appName(app_name)
@@ -31,16 +38,16 @@ def build_session(app_name: str = "lodestock", master: str | None = None, **extr
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    A machine-local folder is used only where the setting is absent, which is
-    the case in tests on one machine.
+    A machine-local folder stands in for it only where driver and executors are
+    one process; on a cluster the setting is required.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="lodestock-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    if folder:
+        return folder
+    context = spark.sparkContext
+    if not re.fullmatch(r"local(\[[0-9*, ]+\])?", context.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return _LOCAL_FOLDERS.setdefault(context.applicationId, tempfile.mkdtemp(prefix="lodestock-"))
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -58,10 +65,22 @@ def drop_scratch(spark: SparkSession) -> None:
 
     For the end of a job: frames that read those files stop working.
     """
-    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    _delete(spark, scratch_root(spark))
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release(*frames: DataFrame) -> None:
+    """Remove the files of ``cut_lineage`` frames that no later step reads."""
+    for frame in frames:
+        folder = _FILES.pop(frame, None)
+        if folder:
+            _delete(frame.sparkSession, folder)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and continue from the files.
 
@@ -69,7 +88,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, "cut")
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _FILES[out] = path
+    return out
 
 
 def known_size(df: DataFrame) -> DataFrame:
