@@ -11,8 +11,9 @@ counted over all documents; any one order gives the same links, frequencies only
 keep buckets small.  The suffix filter compares how many shingles two sets have
 in each of 64 hash classes, which bounds their difference from below.
 
-Groups of copies.  In a bucket all members are first compared with one pivot,
-the member with most shared prefix entries, for two rounds; then the remaining
+Groups of copies.  Equal sets are linked by their digest.  In a bucket all
+members are first compared with one pivot, the member whose prefix is most
+frequent, for two rounds; then the remaining
 members of different components are joined with each other.  A group of copies
 hangs together after its pivots, so its pairs are never listed, and no pair of
 different components is left out.
@@ -34,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators.similarity import connected_components
-from ..session import cut_lineage
+from ..session import cut_lineage, release
 from .batches import as_bytes, blocks, id_and_text
 
 CLASSES = 64
@@ -136,7 +137,11 @@ def frequency_table(docs: DataFrame, size: int) -> np.ndarray:
 
 
 def prefix_entries(docs: DataFrame, size: int, percent: int, table: np.ndarray) -> DataFrame:
-    """Rarest shingles of each set, with the set's size and their place in its order."""
+    """Rarest shingles of each set, with the set's size, their place in its order, and a score.
+
+    The score is the mean frequency of the set's prefix: of a group of copies it
+    is highest for the one with fewest shingles of its own.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(table)
     shift = np.uint64(64 - TABLE_BITS)
 
@@ -144,12 +149,23 @@ def prefix_entries(docs: DataFrame, size: int, percent: int, table: np.ndarray)
         found = shingle_set(body, size)
         n = len(found)
         length = n - (percent * n + 99) // 100 + 1 if n and doc is not None else 0
-        order = np.lexsort((found, shared.value[(found >> shift).astype(np.int64)]))[:length]
+        often = shared.value[(found >> shift).astype(np.int64)]
+        order = np.lexsort((found, often))[:length]
         ids = np.full(length, doc if length else 0, np.int64)
-        return found[order].view(np.int64), ids, np.full(length, n, np.int32), np.arange(length, dtype=np.int32)
+        score = int(often[order].sum()) // max(1, length)
+        return (
+            found[order].view(np.int64),
+            ids,
+            np.full(length, n, np.int32),
+            np.arange(length, dtype=np.int32),
+            np.full(length, min(score, 1 << 30), np.int32),
+        )
 
     return _over_texts(
-        docs, "shingle long, doc long, n int, place int", row, [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+        docs,
+        "shingle long, doc long, n int, place int, score int",
+        row,
+        [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()],
     )
 
 
@@ -174,9 +190,7 @@ def _verified(docs: DataFrame, known: DataFrame, pairs: DataFrame, size: int, pe
     same = F.col("digest_a") == F.col("digest_b")
     left = cut_lineage(sized.filter(same | suffix).select("a", "b", same.alias("same")))
     ids = left.filter(~F.col("same")).select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    ids = cut_lineage(ids)
-    few = ids.count() <= BROADCAST_IDS  # else the texts are shuffled to the ids
-    wanted = docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+    wanted = docs.join(_limited(ids), "doc_id", "left_semi")
 
     def row(doc, body):
         return [doc], [shingle_set(body, size).view(np.int64)]
@@ -188,34 +202,40 @@ def _verified(docs: DataFrame, known: DataFrame, pairs: DataFrame, size: int, pe
     common = F.size(F.array_intersect("x", "y"))
     similar = common * 100 >= (F.size("x") + F.size("y") - common) * percent
     found = left.filter(~F.col("same")).join(a, "a").join(b, "b").filter(similar).select("a", "b")
-    return cut_lineage(found.unionByName(left.filter("same").select("a", "b")))
+    out = cut_lineage(found.unionByName(left.filter("same").select("a", "b")))
+    release(left, sets)
+    return out
+
 
+def links_and_components(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Row profiles, and (node, component) of every linked document.
 
-def links_and_components(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Row profiles, found links, and (node, component) of every linked document."""
+    Documents of one and the same set are linked to the first of them; only that
+    one takes part in the join.
+    """
     rows = cut_lineage(profiles(docs, size))
     known = rows.filter("n > 0 and doc_id is not null").dropDuplicates(["doc_id", "digest"])
-    entries = cut_lineage(prefix_entries(docs, size, percent, frequency_table(docs, size)))
+    heads = known.groupBy("digest").agg(F.min("doc_id").alias("head"))
+    copies = known.join(heads, "digest").filter("doc_id != head").select(F.col("doc_id").alias("a"), F.col("head").alias("b"))
+    copies = cut_lineage(copies)
+    alone = docs.join(_limited(copies.select(F.col("a").alias("doc_id")).distinct()), "doc_id", "left_anti")
+    entries = cut_lineage(prefix_entries(alone, size, percent, frequency_table(docs, size)))
     often = entries.groupBy("shingle").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("shingle")
     open_ = cut_lineage(entries.join(often, "shingle"))
-    score = open_.groupBy("doc").agg(F.count(F.lit(1)).alias("score"))
-    open_ = cut_lineage(open_.join(score, "doc"))
-    links: list[DataFrame] = []
-    parts = None
+    release(entries)
+    links, parts = [copies], None
     for turn in range(STAR_ROUNDS + 1):
-        if parts is None:
-            named = open_.withColumn("part", F.col("doc"))
-        else:
-            named = open_.join(parts, open_["doc"] == parts["node"], "left").withColumn(
-                "part", F.coalesce("component", "doc")
-            )
+        named = open_.withColumn("part", F.col("doc"))
+        if parts is not None:
+            named = open_.join(parts, open_["doc"] == parts["node"], "left").withColumn("part", F.coalesce("component", "doc"))
         named = named.select("shingle", "doc", "n", "place", "score", "part")
         mixed = named.groupBy("shingle").agg(
             F.min("part").alias("low"),
             F.max("part").alias("high"),
+            F.count(F.lit(1)).alias("k"),
             F.max(F.struct("score", (-F.col("doc")).alias("less"), "n", "place", "part")).alias("pivot"),
         )
-        mixed = mixed.filter("low < high").select("shingle", "pivot")
+        mixed = mixed.filter("low < high").select("shingle", "k", "pivot")
         if turn < STAR_ROUNDS:
             pivot = F.col("pivot")
             star = cut_lineage(named.join(mixed, "shingle").withColumn("head", -pivot["less"]))
@@ -223,25 +243,37 @@ def links_and_components(docs: DataFrame, size: int, percent: int) -> tuple[Data
                 F.col("n"), F.col("place"), pivot["n"], pivot["place"], percent
             )
             pairs = star.filter(wanted).select(F.col("head").alias("a"), F.col("doc").alias("b")).distinct()
-            open_ = star.filter("doc != head").select("shingle", "doc", "n", "place", "score")
+            before = open_
+            # The pivot has met all others: its bucket is done if it had two members.
+            open_ = cut_lineage(star.filter("doc != head and k > 2").select("shingle", "doc", "n", "place", "score"))
         else:
-            rest = cut_lineage(named.join(mixed.select("shingle"), "shingle"))
-            other = rest.select("shingle", *[F.col(c).alias(f"{c}2") for c in ("doc", "n", "place", "part")])
+            star, before = cut_lineage(named.join(mixed.select("shingle"), "shingle")), open_
+            other = star.select("shingle", *[F.col(c).alias(f"{c}2") for c in ("doc", "n", "place", "part")])
             wanted = (F.col("doc") < F.col("doc2")) & (F.col("part") != F.col("part2")) & _may_match(
                 F.col("n"), F.col("place"), F.col("n2"), F.col("place2"), percent
             )
-            pairs = rest.join(other, "shingle").filter(wanted).select(F.col("doc").alias("a"), F.col("doc2").alias("b")).distinct()
+            pairs = star.join(other, "shingle").filter(wanted).select(F.col("doc").alias("a"), F.col("doc2").alias("b")).distinct()
         links.append(_verified(docs, known, pairs, size, percent))
-        edges = reduce(DataFrame.unionByName, links)
-        parts = cut_lineage(connected_components(edges))
-    return rows, edges, parts
+        release(star, before)
+        older, parts = parts, connected_components(reduce(DataFrame.unionByName, links))
+        parts = cut_lineage(parts)
+        if older is not None:
+            release(older)
+    release(*links)
+    return rows, parts
+
+
+def _limited(ids: DataFrame) -> DataFrame:
+    """Ids to filter texts by: broadcast if they are few, else the texts are shuffled to them."""
+    ids = cut_lineage(ids)
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
 def components(
     docs: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """One row per document: ``doc_id``, ``n_shingles``, ``component_id`` (the smallest id reachable)."""
-    rows, _, parts = links_and_components(id_and_text(docs, key, text), size, percent)
+    rows, parts = links_and_components(id_and_text(docs, key, text), size, percent)
     joined = rows.join(parts, rows["doc_id"] == parts["node"], "left")
     return joined.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
