@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, jaccard_join, line_dedup, pseudonyms, quality, sequences, token_counts
+from . import decontaminate, jaccard_join, line_dedup, pseudonyms, quality, sequences, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -98,3 +98,16 @@ def op5_pii_pseudonyms(spark, folder):
 def op10_ngram_jaccard_join(spark, folder):
     """Component of every document under links of 85 % of shared four-word shingles."""
     return jaccard_join.components(table(spark, folder, "documents", "doc_id", "text"), size=4, percent=85)
+
+
+@query()
+def op4_toxicity(spark, folder):
+    """Toxicity score of every document, from labels outside the held-out third."""
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    scored = toxicity.score(docs, toxicity.train(docs, table(spark, folder, "labels", "doc_id", "toxic")))
+    return scored.select(
+        "doc_id",
+        toxicity.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
