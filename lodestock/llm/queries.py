@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, jaccard_join, line_dedup, pseudonyms, quality, sequences, token_counts, toxicity
+from . import decontaminate, jaccard_join, line_dedup, pseudonyms, quality, sequences, suffix_dedup, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -111,3 +111,17 @@ def op4_toxicity(spark, folder):
         "score",
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+@query()
+def op9_suffix_array_dedup(spark, folder):
+    """Bytes removed from every document as repeats of earlier 100-byte strings."""
+    cut = suffix_dedup.remove_repeats(table(spark, folder, "documents", "doc_id", "text"))
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        gone.alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
