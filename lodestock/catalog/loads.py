@@ -168,13 +168,14 @@ def last_refresh_per_area(spark, sf):
 def days_picked_up_by_stream(spark, sf):
     events = table(spark, sf, "events", "event_id", "ts", "value").select("event_id", "value", day_text("ts").alias("day"))
     landing, target, mark = (scratch_path(spark, k) for k in ("landing", "picked", "mark"))
-    # A drop holds whole days and a batch is a drop, so a day comes in one batch.
-    events.filter("day < '2024-01-16'").write.parquet(landing)
+    # Every day comes in two drops: the later one adds to its slice.
+    events.filter("event_id % 2 = 0").write.parquet(landing)
     pick_up_new_files(spark, landing, events.schema, mark, replace_slices(target, ["day"]))
-    events.filter("day >= '2024-01-16'").write.mode("append").parquet(landing)
+    events.filter("event_id % 2 = 1").write.mode("append").parquet(landing)
     pick_up_new_files(spark, landing, events.schema, mark, replace_slices(target, ["day"]))
     pick_up_new_files(spark, landing, events.schema, mark, replace_slices(target, ["day"]))  # nothing new
-    schema = T.StructType([f for f in events.schema if f.name != "day"] + [T.StructField("day", T.StringType())])
+    parts = [T.StructField("day", T.StringType()), T.StructField("load_batch", T.LongType())]
+    schema = T.StructType([f for f in events.schema if f.name != "day"] + parts)
     picked = spark.read.schema(schema).parquet(target)
     return picked.groupBy("day").agg(F.count(F.lit(1)).alias("events"), F.round(F.sum("value"), 2).alias("total"))
 

@@ -24,21 +24,21 @@ def join_texts(
     order: Sequence[str],
     name: str,
     sep: str = ", ",
-    max_chars: int = 3999,
+    max_chars: int | None = None,
     descending: bool = False,
     distinct: bool = False,
 ) -> DataFrame:
-    """One text per key: its values in a stated order, cut to ``max_chars``.
+    """One text per key: all its values in a stated order.
 
-    Nulls are skipped.  A target column holds ``max_chars`` characters and each
+    Nulls are skipped.  ``max_chars`` is for a target column that trims: each
     value but the first brings a separator, so the leading
-    ``max_chars // len(sep) + 1`` values decide the text exactly.  They are
-    chosen in two steps, first within salted parts of a key and then within the
-    key, so the largest key never sits in one task.
+    ``max_chars // len(sep) + 1`` values decide the cut text exactly, and they
+    are chosen first within salted parts of a key and then within the key.
+    Without it the parts are gathered with map-side lists, and the key's cell
+    holds every value.
     """
-    if not sep:
+    if max_chars is not None and not sep:
         raise ValueError("the separator bounds the number of values and cannot be empty")
-    limit = max_chars // len(sep) + 1
     rows = df.filter(F.col(quoted(value)).isNotNull())
     columns = [*dict.fromkeys([*keys, *order, value])]
     rows = rows.select([quoted(c) for c in columns])
@@ -47,6 +47,14 @@ def join_texts(
     direction = F.desc if descending else F.asc
     # The value is the last order key, so ties give the same text in any run.
     by = [direction(quoted(c)) for c in dict.fromkeys([*order, value])]
+    if max_chars is None:
+        places = [f"_{i}" for i in range(len(by))]
+        names = [*dict.fromkeys([*order, value])]
+        cell = F.struct(*[F.col(quoted(c)).alias(p) for c, p in zip(names, places)], F.col(quoted(value)).cast("string").alias("_text"))
+        listed = F.sort_array(F.collect_list(cell), asc=not descending)
+        text = F.array_join(F.transform(listed, lambda x: x["_text"]), sep)
+        return rows.groupBy(*[quoted(k) for k in keys]).agg(text.alias(name))
+    limit = max_chars // len(sep) + 1
     salt = F.pmod(F.xxhash64(*[quoted(c) for c in columns]), F.lit(SALT_BUCKETS))
     in_part = Window.partitionBy(*[quoted(k) for k in keys], "_salt").orderBy(*by)
     in_key = Window.partitionBy(*[quoted(k) for k in keys]).orderBy(*by)

@@ -35,14 +35,14 @@ def success_row(spark, scope, log_source, data_area, rec_count, entry_date=None)
 
 
 def error_row(spark, scope, log_source, data_area, error, entry_date=None) -> DataFrame:
-    return audit_row(spark, "E", scope, log_source, data_area, 0, f"Error message: {error}", entry_date)
+    return audit_row(spark, "E", scope, log_source, data_area, 0, f"Load failed: {error}", entry_date)
 
 
 def warning_row(spark, scope, log_source, data_area, folder=None, kind="missing", entry_date=None) -> DataFrame:
     """Warning for a missing file or one that has not changed."""
     comments = {
-        "missing": f"No file(s) found in the {folder} folder.",
-        "not modified": f"Skipped {data_area} load as it has not been modified since the last upload.",
+        "missing": f"Nothing to read in {folder}.",
+        "not modified": f"{data_area} is unchanged since its latest load; nothing was read.",
     }
     return audit_row(spark, "W", scope, log_source, data_area, 0, comments.get(kind.lower()), entry_date)
 

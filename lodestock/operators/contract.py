@@ -44,6 +44,10 @@ class TruncatedText(ContractError):
     pass
 
 
+class BadValue(ContractError):
+    pass
+
+
 def text_field(name: str, max_length: int | None = None, nullable: bool = True) -> T.StructField:
     """A string field that remembers its longest allowed text."""
     return T.StructField(name, T.StringType(), nullable, {"max_length": max_length} if max_length else {})
@@ -94,10 +98,11 @@ def conform(
     """The data under the target's names and types.
 
     Blank text, NaN and the texts ``nan`` and ``NaT`` become null; numeric
-    columns named in ``categorical`` become digit text.
+    columns named in ``categorical`` become digit text.  A value that does not
+    fit its target type raises ``BadValue``, which counts them per column.
     """
     fields = matched_fields(df.columns, target, columns)
-    out = []
+    out, lost = [], []
     for source, field in zip(df.schema, fields):
         c = F.col(quoted(source.name))
         if source.name in categorical and isinstance(source.dataType, T.NumericType):
@@ -106,7 +111,13 @@ def conform(
             c = F.nullif(F.nullif(blank_to_null(c), F.lit("nan")), F.lit("NaT"))
         elif isinstance(source.dataType, (T.DoubleType, T.FloatType)):
             c = nan_to_null(c)
-        out.append(c.try_cast(field.dataType).alias(field.name, metadata=field.metadata))
+        cast = c.try_cast(field.dataType)
+        out.append(cast.alias(field.name, metadata=field.metadata))
+        if source.dataType != field.dataType:
+            lost.append(F.count_if(c.isNotNull() & cast.isNull()).alias(field.name))
+    bad = df.agg(*lost).first().asDict() if lost else {}  # one row, one pass
+    if any(bad.values()):
+        raise BadValue("; ".join(f"{name}: {n} values do not fit" for name, n in bad.items() if n))
     return df.select(out)
 
 

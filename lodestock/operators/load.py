@@ -77,7 +77,11 @@ def load_table(
     truncate: bool = True,
     entry_date=None,
 ) -> bool:
-    """Conform, check, write and audit.  A contract error is audited, not raised."""
+    """Conform, check, write and audit.
+
+    A contract error is audited, not raised; any other failure is audited and
+    raised.
+    """
     spark = df.sparkSession
     try:
         # Staged once: the checks, the count and the load all read the stage.
@@ -86,7 +90,11 @@ def load_table(
     except ContractError as error:
         append_audit(error_row(spark, scope, log_source, data_area, error, entry_date), audit_path)
         return False
-    ready.write.mode("overwrite" if truncate else "append").parquet(path)
+    try:
+        ready.write.mode("overwrite" if truncate else "append").parquet(path)
+    except Exception as error:
+        append_audit(error_row(spark, scope, log_source, data_area, error, entry_date), audit_path)
+        raise
     append_audit(success_row(spark, scope, log_source, data_area, ready.count(), entry_date), audit_path)
     return True
 

@@ -29,12 +29,12 @@ def pivot_sum(df: DataFrame, keys: Sequence[str], column: str, values: Sequence[
 
 
 def pivot_texts(
-    df: DataFrame, keys: Sequence[str], column: str, values: Mapping[str, str], text: str, sep: str = ",", max_chars: int = 3999
+    df: DataFrame, keys: Sequence[str], column: str, values: Mapping[str, str], text: str, sep: str = ",", max_chars: int | None = None
 ) -> DataFrame:
     """Attribute rows to columns, distinct values of a cell joined in value order.
 
-    Cells are joined first, one row per key and attribute within the column's
-    limit, so a key with many values is never gathered whole.
+    Cells are joined first, one row per key and attribute; ``max_chars`` trims
+    a cell only where the caller asks for it.
     """
     cells = join_texts(df, [*keys, column], text, [], "_cell", sep=sep, max_chars=max_chars, distinct=True)
     return cells.groupBy(*[quoted(k) for k in keys]).agg(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.load import replace_slice
 
@@ -29,21 +29,33 @@ def pick_up_new_files(
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if path_glob is not None:
         reader = reader.option("pathGlobFilter", path_glob)
+    batches = 0
+
+    def counted(batch: DataFrame, batch_id: int) -> None:
+        nonlocal batches
+        load(batch, batch_id)
+        batches += 1
+
     query = (
         reader.load(folder)
-        .writeStream.foreachBatch(load)
+        .writeStream.foreachBatch(counted)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return len([p for p in query.recentProgress if p["numInputRows"] > 0])
+    return batches
 
 
 def replace_slices(path: str, slice_columns: Sequence[str]) -> Callable[[DataFrame, int], None]:
-    """Batch loader that replaces the slices a batch holds: safe to repeat."""
+    """Batch loader for slices that a later batch may add to.
+
+    A batch's rows of a slice are a partition ``load_batch`` of it, so a batch
+    that is repeated replaces its own rows only, and a late file for a slice
+    leaves the rows that came before.
+    """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        replace_slice(batch, path, slice_columns)
+        replace_slice(batch.withColumn("load_batch", F.lit(batch_id)), path, [*slice_columns, "load_batch"])
 
     return load

@@ -109,6 +109,8 @@ def test_join_texts_hot_key_is_exact(spark):
     df = frame(spark, "k string, p int, v string", *random.sample(data, len(data)))
     got = {r.k: r.t for r in aggregates.join_texts(df, ["k"], "v", ["p"], "t", max_chars=120).collect()}
     assert got == {"hot": ", ".join(f"v{i % 50}" for i in range(5000))[:120], "cold": "z"}
+    whole = {r.k: r.t for r in aggregates.join_texts(df, ["k"], "v", ["p"], "t").collect()}
+    assert whole == {"hot": ", ".join(f"v{i % 50}" for i in range(5000)), "cold": "z"}
     distinct = aggregates.join_texts(df, ["k"], "v", [], "t", sep=",", distinct=True, descending=True, max_chars=20)
     assert {r.k: r.t for r in distinct.collect()}["hot"] == ",".join(sorted({f"v{i}" for i in range(50)}, reverse=True))[:20]
 
@@ -158,8 +160,10 @@ TARGET = T.StructType(
 
 
 def test_conform_by_position_and_name(spark):
-    df = frame(spark, "a double, b string, c string", (7.0, " ", "1.239"), (float("nan"), "nan", "x"))
+    df = frame(spark, "a double, b string, c string", (7.0, " ", "1.239"), (float("nan"), "nan", "NaT"))
     assert [tuple(map(str, r)) for r in contract.conform(df, TARGET).collect()] == [("7", "None", "1.24"), ("None", "None", "None")]
+    with pytest.raises(contract.BadValue, match="Amount: 2 "):
+        contract.conform(frame(spark, "a double, b string, c string", (1.0, "x", "12.5"), (2.0, "y", "n.v."), (3.0, "z", "1,200")), TARGET)
     named = contract.conform(df.select("b", "a"), TARGET, columns=["eventname", "[REQUESTID]"])
     assert named.columns == ["EventName", "RequestID"]
     ids = contract.conform(frame(spark, "x double", (1e12,), (None,)), T.StructType([contract.text_field("Id")]), categorical=["x"])
