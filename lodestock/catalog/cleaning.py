@@ -54,6 +54,18 @@ def footer_dropped(spark, sf):
     return rows.drop_footer(table(spark, sf, "events", "event_id", "event_type", "value"), 3, "event_id")
 
 
+@query(
+    "footers_dropped_per_file",
+    "O-29 O-121",
+    """
+    SELECT event_type, event_id, value FROM events e
+    WHERE event_id <= (SELECT max(event_id) FROM events x WHERE x.event_type = e.event_type) - 3
+    """,
+)
+def footers_dropped_per_file(spark, sf):
+    return rows.drop_footer(table(spark, sf, "events", "event_id", "event_type", "value"), 3, "event_id", ["event_type"])
+
+
 @query(
     "columns_with_values",
     "O-27",

@@ -130,10 +130,20 @@ def two_components(spark, sf):
     return parts.groupBy("l_returnflag").agg(F.avg(F.col("c")[0]).alias("first"), F.avg(F.col("c")[1]).alias("second"), F.count("c").alias("n"))
 
 
-@query("balanced_labels", "O-106")
+@query(
+    "balanced_labels",
+    "O-106",
+    f"""
+    WITH s AS (SELECT toxic AS class, count(*) AS size FROM labels GROUP BY 1),
+    r AS (SELECT doc_id, toxic, size, (SELECT max(size) FROM s) AS largest, {SHARE_SQL.format(key="doc_id", seed=3)} AS share
+          FROM labels JOIN s ON toxic IS NOT DISTINCT FROM class)
+    SELECT toxic, CAST(sum(largest // size + CASE WHEN share * size < largest % size THEN 1 ELSE 0 END) AS BIGINT) AS n,
+      count(DISTINCT doc_id) AS documents FROM r GROUP BY 1
+    """,
+)
 def balanced_labels(spark, sf):
     df = table(spark, sf, "labels", "doc_id", "toxic")
-    return features.over_sample(df, "toxic", seed=3).groupBy("toxic").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("documents"))
+    return features.over_sample(df, "toxic", ["doc_id"], seed=3).groupBy("toxic").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("documents"))
 
 
 LATE_NUMBERS = ["lead_time", "amount", "quantity", "open_count", "open_amount", "event_count", "change_count"]

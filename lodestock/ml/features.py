@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numbers import box_cox
 from ..operators.columns import quoted
-from ..session import cut_wide
+from ..session import cut_wide, known_size
 
 
 def split_share(keys: Sequence[str], seed: int = 0) -> Column:
@@ -109,16 +109,19 @@ def box_cox_lambda(df: DataFrame, column: str, low: float = -2.0, high: float =
     return (low + high) / 2
 
 
-def over_sample(df: DataFrame, label: str, seed: int = 0) -> DataFrame:
-    """Repeat rows of the smaller classes, with replacement, up to the largest.
+def over_sample(df: DataFrame, label: str, keys: Sequence[str], seed: int = 0) -> DataFrame:
+    """Repeat rows of the smaller classes up to about the size of the largest.
 
-    Only the class sizes reach the driver.
+    Each row stands ``largest // size`` times, and once more if its key's share
+    lies below the fraction that is left, so a recomputed task repeats the same
+    rows.  Class sizes are an aggregate that is joined back; null is a class.
     """
-    sizes = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
-    largest = max(sizes.values())
-    out = df
-    for value, n in sizes.items():
-        if n < largest:
-            extra = df.filter(F.col(label).eqNullSafe(F.lit(value))).sample(True, largest / n - 1, seed)
-            out = out.unionByName(extra)
-    return out
+    sizes = df.groupBy(F.col(quoted(label)).alias("_class")).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = known_size(sizes)
+    largest = sizes.agg(F.max("_n")).scalar()
+    more = split_share(keys, seed) * F.col("_n") < F.col("_largest") % F.col("_n")
+    copies = F.floor(F.col("_largest") / F.col("_n")) + more.cast("int")
+    joined = df.join(sizes.withColumn("_largest", largest), F.col(quoted(label)).eqNullSafe(F.col("_class")))
+    return joined.select(
+        *[F.col(quoted(c)) for c in df.columns], F.explode(F.sequence(F.lit(1), copies.cast("int"))).alias("_copy")
+    ).drop("_copy")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..session import cut_lineage
+from ..session import cut_lineage, delete_folder
 from .audit import append_audit, error_row, success_row
 from .columns import quoted
 from .contract import ContractError, assert_fits, conform
@@ -21,14 +22,23 @@ def append_snapshot(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def replace_slice(df: DataFrame, path: str, slice_columns: Sequence[str]) -> None:
+def replace_slice(
+    df: DataFrame, path: str, slice_columns: Sequence[str], cleared: Sequence[Sequence[object]] = ()
+) -> None:
     """Replace the slices present in ``df`` and keep all others.
 
+    ``cleared`` names slices by their values, in the order of ``slice_columns``:
+    those are emptied first, so one that ``df`` has no rows of does not keep its
+    old rows.
+
     The table is partitioned by the slice, so only the touched partitions are
     rewritten, and writing the same slice twice leaves the same table.  Rows
     are spread by slice and a row hash, so one slice holding most of the rows
     is written by many tasks.
     """
+    for values in cleared:
+        pairs = zip(slice_columns, values, strict=True)
+        delete_folder(df.sparkSession, "/".join([path.rstrip("/"), *[f"{c}={_folder_text(v)}" for c, v in pairs]]))
     spread = df.repartition(*[F.col(c) for c in slice_columns], F.pmod(F.xxhash64(*df.columns), F.lit(32)))
     (
         spread.write.mode("overwrite")
@@ -38,6 +48,14 @@ def replace_slice(df: DataFrame, path: str, slice_columns: Sequence[str]) -> Non
     )
 
 
+def _folder_text(value: object) -> str:
+    """A slice's value as a partition folder names it."""
+    text = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
+    if not re.fullmatch(r"[\w.+-]+", text, re.ASCII):
+        raise ValueError(f"a slice to clear must be plain text, number or date: {text!r}")
+    return text
+
+
 def without_slice(base: DataFrame, condition: Column) -> DataFrame:
     """Rows that a delete on ``condition`` would leave; an unknown outcome stays."""
     return base.filter(~F.coalesce(condition, F.lit(False)))

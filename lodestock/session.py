@@ -65,10 +65,11 @@ def drop_scratch(spark: SparkSession) -> None:
 
     For the end of a job: frames that read those files stop working.
     """
-    _delete(spark, scratch_root(spark))
+    delete_folder(spark, scratch_root(spark))
 
 
-def _delete(spark: SparkSession, folder: str) -> None:
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder and its files, if it is there."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
@@ -78,7 +79,7 @@ def release(*frames: DataFrame) -> None:
     for frame in frames:
         folder = _FILES.pop(frame, None)
         if folder:
-            _delete(frame.sparkSession, folder)
+            delete_folder(frame.sparkSession, folder)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -48,6 +48,19 @@ def test_price_table(spark):
     assert got == [(*name, date(2021, 1, 1), 30.5), (*name, date(2021, 2, 1), 31.0), (*name, date(2022, 1, 1), None)]
 
 
+def test_sheets_of_two_files(spark):
+    """Two sheets in one frame give what each gives alone."""
+    ddl = "Year string, Month string, `8GB DDR4 SO/DIMM 1Gx8|High` string, `4GB DDR3 SO/DIMM 1Gx8|Low` string"
+    short = [("2021", "Jan", "1", None), (None, "Feb", "2", None), (None, "x", None, None)]
+    long = [("2019", "Mar", None, "5"), (None, "Apr", None, "6"), (None, "May", None, "7"), ("note", None, None, "8")]
+    alone = [market.price_table(sheet(spark, ddl, *d), "Year", "Month", "S", DAY, 1) for d in (short, long)]
+    both = sheet(spark, ddl, *short).withColumn("file", F.lit("s")).unionByName(sheet(spark, ddl, *long).withColumn("file", F.lit("l")))
+    out = market.price_table(both, "Year", "Month", "S", DAY, 1, by=["file"])
+    for file, one in zip("sl", alone, strict=True):
+        assert rows(out.filter(F.col("file") == file).drop("file"), "forecast_dt") == rows(one, "forecast_dt")
+    assert out.count() == 5
+
+
 def test_refresh_life_cycle(spark, tmp_path):
     source, path, log = (str(tmp_path / n) for n in ("in.csv", "table", "log"))
     (tmp_path / "in.csv").write_text("id,name\n1,a\n2,\n")

@@ -65,6 +65,19 @@ def test_footer(spark):
     assert rows(row_ops.drop_footer(df, 3), "row_pos") == [(0,), (1,)]
 
 
+def test_rows_per_file(spark):
+    """A short and a long sheet keep their own footers and sections; null is a file too."""
+    sheets = {"a": ["x", "Total", "y"], "b": ["Demand", "p", "Total", "q", "Demand", "r", "s"], None: ["n", "m"]}
+    df = frame(spark, "file string, row_pos int, label string", *[(f, i, x) for f, d in sheets.items() for i, x in enumerate(d)])
+    kept = row_ops.drop_footer(df, 1, by=["file"])
+    assert {(r.file, r.row_pos) for r in kept.collect()} == {(f, i) for f, d in sheets.items() for i in range(len(d) - 1)}
+    for block in (2, 100):
+        got = row_ops.section_rows(df, "label", "Demand", "Total", True, block_rows=block, by=["file"])
+        assert {(r.file, r.label, r.section) for r in got.collect()} == {
+            ("a", "x", 1), ("b", "p", 1), ("b", "r", 2), ("b", "s", 2), (None, "n", 1), (None, "m", 1)
+        }
+
+
 # --- picks and joins -------------------------------------------------------
 
 

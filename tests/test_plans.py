@@ -159,8 +159,15 @@ def test_threshold(labelled):
 
 
 def test_over_sample(labelled):
-    sizes = dict(rows(features.over_sample(labelled, "label", seed=2).groupBy("label").count()))
-    assert sizes[0.0] == 300 and 250 < sizes[1.0] < 350
+    out = features.over_sample(labelled, "label", ["id"], seed=2)
+    sizes = dict(rows(out.groupBy("label").count()))
+    assert sizes == {0.0: 300, 1.0: 300}
+    uneven = labelled.filter("label = 0 or id < 280")  # 300 and 70 rows
+    first = features.over_sample(uneven, "label", ["id"]).groupBy("id").count()
+    again = features.over_sample(uneven.repartition(7), "label", ["id"]).groupBy("id").count()
+    assert rows(first, "id") == rows(again, "id")
+    copies = {r["count"] for r in first.filter("id % 4 = 0").collect()}
+    assert copies == {4, 5} and first.count() == 370
 
 
 def test_box_cox_exponent(spark):

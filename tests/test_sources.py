@@ -7,6 +7,7 @@ from pyspark.sql import functions as F, types as T
 
 from lodestock.operators import audit
 from lodestock.sources import database, delimited, documents, incremental, markup, records
+from lodestock.operators.load import replace_slice
 from lodestock.streaming.pickup import pick_up_new_files, replace_slices
 
 
@@ -124,3 +125,16 @@ def test_stream_loads_each_file_once(spark, tmp_path):
     assert pick_up_new_files(spark, landing, schema, mark, load) == 1
     landed = spark.read.schema(schema).parquet(target).select("v", "day")
     assert rows(landed, "v") == [(1, "mon"), (2, "tue"), (5, "tue"), (6, "wed")]  # a late file adds to its day
+
+
+def test_cleared_slices(spark, tmp_path):
+    """A slice named as cleared does not keep its rows when the new data has none of it."""
+    path = str(tmp_path / "slices")
+    schema = "v int, day string"
+    rows_of = lambda: {(r.v, r.day) for r in spark.read.schema(schema).parquet(path).collect()}
+    replace_slice(spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-02"), (3, None)], schema), path, ["day"])
+    new = spark.createDataFrame([(4, "2024-01-03")], schema)
+    replace_slice(new, path, ["day"], cleared=[("2024-01-01",), ("2024-01-09",), (None,)])
+    assert rows_of() == {(2, "2024-01-02"), (4, "2024-01-03")}
+    with pytest.raises(ValueError):
+        replace_slice(new, path, ["day"], cleared=[("a/b",)])
