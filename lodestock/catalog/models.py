@@ -168,7 +168,7 @@ def lateness_training(spark, sf):
 def _scores(spark, sf, kinds):
     df = lateness_training(spark, sf)
     train, test = features.train_test(df, ["order_id", "line_id"], 0.7, seed=1)
-    encoder = models.fit(train, features.encoding_stages(train, LATE_CATEGORIES, LATE_NUMBERS))
+    encoder = models.fit(train, features.encoding_stages(LATE_CATEGORIES, LATE_NUMBERS, hashed=["supplier_text"]))
     ready, held_out = (cut_wide(encoder.transform(part).select("label", "features")) for part in (train, test))
     cards = []
     for kind, params in kinds.items():
@@ -258,14 +258,14 @@ def lateness_grid_search(spark, sf):
     train, test = features.train_test(df, ["order_id", "line_id"], 0.7, seed=1)
     tree = models.classifier("decision_tree", seed=1)
     grid = ParamGridBuilder().addGrid(tree.maxDepth, [2, 4]).addGrid(tree.minInstancesPerNode, [5, 50]).build()
-    best = models.grid_search(train, [*features.encoding_stages(train, ["carriers"], LATE_NUMBERS), tree], grid, ["order_id", "line_id"], folds=2)
+    best = models.grid_search(train, [*features.encoding_stages(["carriers"], LATE_NUMBERS), tree], grid, ["order_id", "line_id"], folds=2)
     return models.confusion(best.transform(test))
 
 
 @query("open_lines_scored", "O-111 O-10")
 def open_lines_scored(spark, sf):
     df = lateness_training(spark, sf)
-    stages = [*features.encoding_stages(df, ["carriers"], LATE_NUMBERS), models.classifier("logistic", maxIter=10)]
+    stages = [*features.encoding_stages(["carriers"], LATE_NUMBERS), models.classifier("logistic", maxIter=10)]
     model = models.fit(df, stages)
     scored = models.apply_threshold(model.transform(df), 0.44)
     return scored.groupBy("decision").agg(F.count(F.lit(1)).alias("lines"), F.min("p_positive").alias("lowest"), F.max("p_positive").alias("highest"))

@@ -214,10 +214,10 @@ def unit_cost_by_model(spark, sf):
     b AS (SELECT issue_id, left(coalesce(replace(replace(regexp_replace('<p>' || replace(replace(t, '<', ' '), '&', '+') || ' &lt;b&gt;</p>', '(?s)<[!/a-zA-Z][^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), ''), 3999) AS description,
            DATE '2024-01-01' + CAST(issue_id % 50 AS INTEGER) AS detected, DATE '2024-01-03' + CAST(issue_id % 70 AS INTEGER) AS created,
            CASE WHEN issue_id % 3 > 0 THEN DATE '2024-04-01' + CAST(issue_id % 9 AS INTEGER) END AS closed FROM i),
-    c AS (SELECT conv_id AS issue_id, left(string_agg(role, ', ' ORDER BY turn, role), 3999) AS sites,
-           left(string_agg(left(text, 12), ', ' ORDER BY turn, left(text, 12)), 3999) AS items,
-           left(string_agg(CASE WHEN role = 'user' THEN 'T' || turn END, ', ' ORDER BY turn), 3999) AS technologies,
-           left(string_agg(text, ', ' ORDER BY turn, text), 3999) AS causes,
+    c AS (SELECT conv_id AS issue_id, string_agg(role, ', ' ORDER BY turn, role) AS sites,
+           string_agg(text, ', ' ORDER BY turn, text) AS items,
+           string_agg(CASE WHEN role = 'user' THEN 'T' || turn END, ', ' ORDER BY turn) AS technologies,
+           string_agg(text, ', ' ORDER BY turn, text) AS causes,
            left(string_agg(CASE WHEN role = 'assistant' THEN 'L' || length(text) END, ', ' ORDER BY turn), 3999) AS lots,
            sum(CASE WHEN role = 'assistant' THEN length(text) END) AS q FROM conversations GROUP BY 1)
     SELECT issue_id, md5(description) AS description_md5, CAST(date_diff('day', detected, created) AS INTEGER) AS input_lag,
@@ -244,7 +244,7 @@ def issues_with_children(spark, sf):
     out = issues.enriched_issues(
         base,
         turns.select("issue_id", "pos", F.col("role").alias("site")),
-        turns.select("issue_id", "pos", F.left("text", F.lit(12)).alias("item")),
+        turns.select("issue_id", "pos", F.col("text").alias("item")),
         turns.filter("role = 'user'").select("issue_id", "pos", F.concat(F.lit("T"), "pos").alias("technology")),
         turns.select("issue_id", "pos", F.col("text").alias("cause")),
         lots.select("issue_id", "pos", F.concat(F.lit("L"), F.length("text")).alias("lot"), F.length("text").alias("quantity")),

@@ -46,17 +46,16 @@ def min_max_scale(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def encoding_stages(
-    df: DataFrame, categories: Sequence[str], numbers: Sequence[str], max_labels: int = 1000, hashed_features: int = 1 << 12
+    categories: Sequence[str], numbers: Sequence[str], hashed: Sequence[str] = (), hashed_features: int = 1 << 12
 ) -> list[Transformer]:
     """Pipeline stages from columns to ``features``.
 
-    An indexer keeps its labels on the driver, so only columns with a measured
-    number of labels below ``max_labels`` get one; wider columns are hashed,
-    which needs no labels at all.  Unknown labels are ignored.
+    An indexer keeps its labels on the driver, so the caller names the columns
+    whose labels grow with the data as ``hashed``: those need no labels at all.
+    The choice does not depend on the rows.  Unknown labels are ignored.
     """
-    counts = df.agg(*[F.approx_count_distinct(quoted(c)) for c in categories]).first() if categories else []
-    narrow = [c for c, n in zip(categories, counts) if n <= max_labels]
-    wide = [c for c in categories if c not in narrow]
+    narrow = [c for c in categories if c not in hashed]
+    wide = [c for c in categories if c in hashed]
     stages: list[Transformer] = []
     inputs = list(numbers)
     if narrow:

@@ -133,7 +133,10 @@ def cross_tab(df: DataFrame, row: str, column: str, values: Sequence[object], sh
 
 
 def frequency_shares(df: DataFrame, keys: Sequence[str], item: str) -> DataFrame:
-    """Long form of the row-normalised table: share of each item in its key."""
-    counts = df.groupBy(*keys, item).agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy(*keys)
-    return counts.withColumn("share", F.col("n") / F.sum("n").over(w))
+    """Long form of the row-normalised table: share of each item in its key.
+
+    A key's total is an aggregate that is joined back, so a key of many items
+    is not gathered.
+    """
+    counts = df.groupBy(*[quoted(c) for c in [*keys, item]]).agg(F.count(F.lit(1)).alias("n"))
+    return group_total(counts, keys, "n", "_total").withColumn("share", F.col("n") / F.col("_total")).drop("_total")

@@ -23,8 +23,9 @@ def enriched_issues(
     """One row per issue with five child tables folded in.
 
     Each child becomes one row per issue before the join.  Joined texts follow
-    the child's ``pos`` and fit the target's text limit; a missing lot text is
-    empty, a missing quantity stays null.
+    the child's ``pos`` and are whole; only the description and the lots are
+    trimmed to the target's text limit.  A missing lot text is empty, a missing
+    quantity stays null.
     """
     key = ["issue_id"]
     out = issues.withColumns(
@@ -40,13 +41,13 @@ def enriched_issues(
         }
     )
     children = [
-        (sites, "site", "sites"),
-        (items, "item", "items"),
-        (technologies, "technology", "technologies"),
-        (causes, "cause", "causes"),
-        (lots, "lot", "lots"),
+        (sites, "site", "sites", None),
+        (items, "item", "items", None),
+        (technologies, "technology", "technologies", None),
+        (causes, "cause", "causes", None),
+        (lots, "lot", "lots", TEXT_LIMIT),
     ]
-    for child, column, name in children:
-        out = out.join(join_texts(child, key, column, ["pos"], name, max_chars=TEXT_LIMIT), key, "left")
+    for child, column, name, limit in children:
+        out = out.join(join_texts(child, key, column, ["pos"], name, max_chars=limit), key, "left")
     quantities = lots.groupBy(*key).agg(sum_or_zero("quantity").alias("affected_qty"))
     return out.join(quantities, key, "left").fillna({"lots": ""})

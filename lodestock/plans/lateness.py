@@ -36,13 +36,19 @@ def late_lines_by_supplier(
 
 
 def lateness_features(
-    lines: DataFrame, events: DataFrame, changes: DataFrame, shipments: DataFrame, training_start: str
+    lines: DataFrame,
+    events: DataFrame,
+    changes: DataFrame,
+    shipments: DataFrame,
+    training_start: str,
+    carrier_chars: int | None = None,
 ) -> DataFrame:
     """Features of each order line for the lateness models.
 
     ``lines``: ``order_id``, ``line_id``, ``supplier_id``, ``part_id``,
     ``ordered``, ``due``, ``received``, ``status``, ``quantity``, ``amount``.
     Every side table shrinks to one row per key before it is joined.
+    ``carrier_chars`` trims the carriers for a target column of that length.
     """
     is_open = F.col("status").isin("OPEN", "PARTIAL")
     per_supplier = (
@@ -55,7 +61,7 @@ def lateness_features(
     change_counts = changes.groupBy("order_id", "line_id").agg(F.count(F.lit(1)).alias("change_count"))
     carriers = join_texts(
         shipments.select("order_id", F.trim("carrier").alias("carrier")),
-        ["order_id"], "carrier", [], "carriers", sep=",", max_chars=500, descending=True, distinct=True,
+        ["order_id"], "carrier", [], "carriers", sep=",", max_chars=carrier_chars, descending=True, distinct=True,
     )
     recent = trailing_sum(
         lines.withColumn("ordered_on", F.to_date("ordered")),

@@ -133,10 +133,10 @@ def test_split_is_stable_and_whole(labelled):
     assert train.count() + test.count() == 400 and 240 < train.count() < 320
 
 
-def test_encoding_hashes_wide_columns(labelled):
-    stages = features.encoding_stages(labelled, ["cat"], ["x"], max_labels=2)
+def test_encoding_hashes_wide_columns(spark):
+    stages = features.encoding_stages(["cat"], ["x"], hashed=["cat"])
     assert [type(s).__name__ for s in stages] == ["FeatureHasher", "VectorAssembler"]
-    stages = features.encoding_stages(labelled, ["cat"], ["x"])
+    stages = features.encoding_stages(["cat"], ["x"])
     assert [type(s).__name__ for s in stages] == ["StringIndexer", "OneHotEncoder", "VectorAssembler"]
 
 
