@@ -223,7 +223,7 @@ def links_and_components(docs: DataFrame, size: int, percent: int) -> tuple[Data
     often = entries.groupBy("shingle").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("shingle")
     open_ = cut_lineage(entries.join(often, "shingle"))
     release(entries)
-    links, parts = [copies], None
+    links, tried, parts = [copies], [], None
     for turn in range(STAR_ROUNDS + 1):
         named = open_.withColumn("part", F.col("doc"))
         if parts is not None:
@@ -242,7 +242,7 @@ def links_and_components(docs: DataFrame, size: int, percent: int) -> tuple[Data
             wanted = (F.col("part") != pivot["part"]) & _may_match(
                 F.col("n"), F.col("place"), pivot["n"], pivot["place"], percent
             )
-            pairs = star.filter(wanted).select(F.col("head").alias("a"), F.col("doc").alias("b")).distinct()
+            pairs = star.filter(wanted).select(F.least("head", "doc").alias("a"), F.greatest("head", "doc").alias("b"))
             before = open_
             # The pivot has met all others: its bucket is done if it had two members.
             open_ = cut_lineage(star.filter("doc != head and k > 2").select("shingle", "doc", "n", "place", "score"))
@@ -252,14 +252,20 @@ def links_and_components(docs: DataFrame, size: int, percent: int) -> tuple[Data
             wanted = (F.col("doc") < F.col("doc2")) & (F.col("part") != F.col("part2")) & _may_match(
                 F.col("n"), F.col("place"), F.col("n2"), F.col("place2"), percent
             )
-            pairs = star.join(other, "shingle").filter(wanted).select(F.col("doc").alias("a"), F.col("doc2").alias("b")).distinct()
+            pairs = star.join(other, "shingle").filter(wanted).select(F.col("doc").alias("a"), F.col("doc2").alias("b"))
+        pairs = pairs.distinct()
+        for earlier in tried:  # a pair that failed may meet again on another shingle
+            pairs = pairs.join(earlier, ["a", "b"], "left_anti")
+        if turn < STAR_ROUNDS:
+            pairs = cut_lineage(pairs)
+            tried.append(pairs)
         links.append(_verified(docs, known, pairs, size, percent))
         release(star, before)
         older, parts = parts, connected_components(reduce(DataFrame.unionByName, links))
         parts = cut_lineage(parts)
         if older is not None:
             release(older)
-    release(*links)
+    release(*links, *tried)
     return rows, parts
 
 
@@ -281,8 +287,7 @@ def components(
 def drop_near_duplicates(
     docs: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """``docs`` with one document of each component, the one of the smallest id; texts without words stay.
-    """
+    """``docs`` with one document of each component, the one of the smallest id; texts without words stay."""
     found = components(docs, size, percent, key, text)
     gone = found.filter("component_id != doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[key].cast("long") == F.col("_gone"), "left_anti")
+    return docs.join(gone, docs[key].cast("long") == gone["_gone"], "left_anti")
