@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lodestock.llm import decontaminate, jaccard_join, pseudonyms, sequences, toxicity
+from lodestock.llm.batches import in_own_columns
 from lodestock.session import scratch_path
 
 # No SQL for the whole: tested against brute force.
@@ -34,7 +35,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Validated numbers and dates become pseudonyms; every document stays."""
-    return pseudonyms.pseudonymise(docs).select(*docs.columns)
+    return in_own_columns(docs, pseudonyms.COMPUTED, pseudonyms.pseudonymise)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,6 +18,21 @@ def without(docs: DataFrame, names: list[str]) -> DataFrame:
     return docs.drop(*[c for c in docs.columns if c.lower() in taken])
 
 
+def in_own_columns(docs: DataFrame, names: list[str], work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``work(docs)`` in the columns of ``docs``; those named like a computed one are set aside meanwhile."""
+    taken, used = {n.lower() for n in names}, {c.lower() for c in docs.columns}
+    aside = {}
+    for c in docs.columns:
+        if c.lower() in taken:
+            name = f"_own_{c}"
+            while name.lower() in taken | used:
+                name = f"_{name}"
+            used.add(name.lower())
+            aside[c] = name
+    done = work(docs.withColumnsRenamed(aside))
+    return done.select(*[F.col(f"`{aside.get(c, c)}`").alias(c) for c in docs.columns])
+
+
 def blocks(batches: Iterator[pa.RecordBatch], text: str, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Runs of rows with about ``limit`` bytes of text, one row at least."""
     for batch in batches:

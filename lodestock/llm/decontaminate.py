@@ -18,10 +18,11 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..session import cut_lineage
-from .batches import add_columns, as_bytes, without
+from .batches import add_columns, as_bytes, in_own_columns, without
 
 WINDOW = 13
-MAX_BROADCAST_BYTES = 64 << 20
+# Of benchmark text in one index, which takes about six times as much.
+MAX_BROADCAST_BYTES = 32 << 20
 # A-Z become a-z; other ASCII but digits and letters parts words.
 WORD_BYTES = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
@@ -29,6 +30,7 @@ WORD_BYTES = bytes(
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 SEPARATOR = b"\x01"
 
+FINDINGS = ("n_words", "n_hit", "hit_runs", "hit_items")
 SPANS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
 
 
@@ -40,40 +42,48 @@ def words_of(text: bytes | None) -> list[bytes]:
 class WindowIndex:
     """Windows of benchmark items, found in arrays of word numbers.
 
-    A window is looked up by a polynomial hash of its word numbers and then
-    compared word by word.
+    Items lie end to end in one array; a window is its place there, so the index
+    is a few numbers for each benchmark word.  A window is looked up by a
+    polynomial hash of its word numbers and then compared word by word.
     """
 
     def __init__(self, items: list[tuple[str | None, bytes | None]], window: int):
-        self.numbers: dict[bytes, int] = {}
-        windows: dict[tuple[int, ...], set[str | None]] = {}
+        self.names = sorted({item for item, _ in items if item is not None})
+        numbers = {name: i for i, name in enumerate(self.names)}
+        self.lookup: dict[bytes, int] = {}
+        runs, found, at = [], {}, 0
         for item, text in items:
-            ids = [self.numbers.setdefault(w, len(self.numbers) + 1) for w in words_of(text)]
-            length = min(window, len(ids))
-            for i in range(len(ids) - length + 1 if length else 0):
-                windows.setdefault(tuple(ids[i : i + length]), set()).add(item)
-        self.lookup = self.numbers | {SEPARATOR: -1}
-        self.factor = 0x9E3779B97F4A7C15
-        self.by_length: list[tuple[int, np.ndarray, np.ndarray, list[list[str]]]] = []
-        for length in sorted({len(w) for w in windows}):
-            found = [w for w in windows if len(w) == length]
-            rows = np.array(found, dtype=np.int64)
-            while True:  # a factor under which no two windows share a hash
-                hashes = self.hashes(rows.ravel(), np.arange(len(rows)) * length, length)
-                order = np.argsort(hashes)
-                if len(np.unique(hashes)) == len(hashes):
-                    break
+            ids = [self.lookup.setdefault(w, len(self.lookup) + 1) for w in words_of(text)]
+            if ids:
+                length = min(window, len(ids))
+                starts = np.arange(at, at + len(ids) - length + 1)
+                found.setdefault(length, []).append((starts, np.full(len(starts), numbers.get(item, -1), np.int32)))
+                runs.append(np.array(ids, np.int32))
+                at += len(ids)
+        self.lookup[SEPARATOR] = -1
+        self.ids = np.concatenate([np.empty(0, np.int32), *runs])
+        groups = [(n, *map(np.concatenate, zip(*found[n], strict=True))) for n in sorted(found)]
+        self.factor, self.by_length = 0x9E3779B97F4A7C15, None
+        while self.by_length is None:  # a factor under which no two windows share a hash
+            tables = [self._table(*group) for group in groups]
+            if None in tables:
                 self.factor += 2
-                self.by_length = [
-                    (n, *self._sorted(r, names)) for n, _, r, names in self.by_length
-                ]
-            names = [sorted(x for x in windows[w] if x is not None) for w in found]
-            self.by_length.append((length, hashes[order], rows[order], [names[i] for i in order]))
-
-    def _sorted(self, rows: np.ndarray, names: list) -> tuple[np.ndarray, np.ndarray, list]:
-        hashes = self.hashes(rows.ravel(), np.arange(len(rows)) * rows.shape[1], rows.shape[1])
-        order = np.argsort(hashes)
-        return hashes[order], rows[order], [names[i] for i in order]
+            else:
+                self.by_length = tables
+
+    def _table(self, length: int, starts: np.ndarray, owners: np.ndarray):
+        """Distinct windows by hash, with a place and a slice of owners each; None if two share a hash."""
+        hashes = self.hashes(self.ids, starts, length)
+        order = np.lexsort((owners, hashes))
+        hashes, starts, owners = hashes[order], starts[order], owners[order]
+        fresh = np.r_[True, hashes[1:] != hashes[:-1]]
+        heads, group = np.flatnonzero(fresh), np.cumsum(fresh) - 1
+        first = starts[heads][group]
+        if any((self.ids[starts + j] != self.ids[first + j]).any() for j in range(length)):
+            return None
+        listed = (owners >= 0) & (fresh | np.r_[True, owners[1:] != owners[:-1]])
+        edges = np.searchsorted(group[listed], np.arange(len(heads) + 1))
+        return length, hashes[heads], starts[heads], owners[listed], edges
 
     def hashes(self, ids: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
         factor, out = np.uint64(self.factor), np.zeros(len(starts), np.uint64)
@@ -94,7 +104,7 @@ class WindowIndex:
         items: list[set[str]] = [set() for _ in texts]
         known = np.concatenate([[0], np.cumsum(ids > 0)])
         edge = np.zeros(len(ids) + 1, np.int64)
-        for length, hashes, rows, names in self.by_length:
+        for length, hashes, places, owners, edges in self.by_length:
             if len(ids) < length:
                 continue
             starts = np.flatnonzero(known[length:] - known[:-length] == length)
@@ -103,12 +113,14 @@ class WindowIndex:
             same = hashes[at] == wanted
             starts, at = starts[same], at[same]
             if len(starts):
-                same = (ids[starts[:, None] + np.arange(length)] == rows[at]).all(axis=1)
+                along = np.arange(length)
+                same = (ids[starts[:, None] + along] == self.ids[places[at][:, None] + along]).all(axis=1)
                 starts, at = starts[same], at[same]
             np.add.at(edge, starts, 1)
             np.add.at(edge, starts + length, -1)
-            for doc, window in zip(np.searchsorted(ends, starts).tolist(), at.tolist(), strict=True):
-                items[doc].update(names[window])
+            met = np.unique(np.stack([np.searchsorted(ends, starts), at], axis=1), axis=0)
+            for doc, window in met.tolist():
+                items[doc].update(self.names[i] for i in owners[edges[window] : edges[window + 1]])
         hit = np.concatenate([[0], (np.cumsum(edge)[:-1] > 0).astype(np.int8), [0]])
         change = np.flatnonzero(np.diff(hit))
         for start, end in zip(change[::2].tolist(), change[1::2].tolist(), strict=True):
@@ -147,7 +159,7 @@ def find_contamination(
         T.StructField("hit_runs", SPANS),
         T.StructField("hit_items", T.ArrayType(T.StringType())),
     ]
-    out = without(docs, [f.name for f in fields])
+    out = without(docs, [*FINDINGS, "_runs", "_items"])
     for part in range(parts):
         rows = source.filter(F.pmod(F.xxhash64("item", "body"), F.lit(parts)) == part).collect()
         index = context.broadcast(WindowIndex([(r[0], (r[1] or "").encode()) for r in rows], window))
@@ -194,18 +206,15 @@ def remove_contamination(
 ) -> DataFrame:
     """``docs`` in its own columns, without contaminated documents, or without the hit words.
 
+    Columns of ``docs`` that are named like a finding keep their own values.
     ``how="documents"`` drops documents of which ``least_share`` of the words or
     more are hit; ``how="spans"`` keeps every document and cuts each hit run of
     words out of its text, with what stands between those words.
     """
-    found = find_contamination(docs, benchmark, text=text, **options)
-    if how == "documents":
-        return found.filter(~contaminated(least_share)).select(*without(docs, ["n_words", "n_hit", "hit_runs", "hit_items"]).columns)
-    if how != "spans":
+    if how not in ("documents", "spans"):
         raise ValueError(f"how must be 'documents' or 'spans', not {how!r}")
-    field = T.StructField("_clean", T.StringType())
 
-    def make(block):
+    def clean(block):
         return [
             [
                 _cut_words(t, r) if r else t
@@ -213,6 +222,11 @@ def remove_contamination(
             ]
         ]
 
-    clean = add_columns(found, text, [field], make)
-    names = without(docs, ["n_words", "n_hit", "hit_runs", "hit_items"]).columns
-    return clean.select(*[F.col("_clean").alias(text) if c == text else c for c in names])
+    def work(own: DataFrame) -> DataFrame:
+        found = find_contamination(own, benchmark, text=text, **options)
+        if how == "documents":
+            return found.filter(~contaminated(least_share))
+        cut = add_columns(found, text, [T.StructField("_clean", T.StringType())], clean)
+        return cut.withColumn(text, F.col("_clean"))
+
+    return in_own_columns(docs, [*FINDINGS, "_runs", "_items", "_clean"], work)

@@ -28,6 +28,7 @@ from .batches import without
 
 KEY = "lodestock-demo-key"
 ROUNDS = 4
+COMPUTED = ["n_replaced", "_found", "_new"]
 
 EDGE, END = r"(?<![0-9A-Za-z])", r"(?![0-9A-Za-z])"
 # Card numbers in groups of 4-4-4-4 or 4-6-5, or in one run.
@@ -227,7 +228,7 @@ def pseudonym(value: Column, key: str = KEY, back: bool = False) -> Column:
 
 def pseudonymise(docs: DataFrame, key: str = KEY, text: str = "text", back: bool = False) -> DataFrame:
     """``docs`` with every found value in ``text`` replaced; ``n_replaced`` counts changed ones."""
-    kept = without(docs, ["n_replaced", "_found", "_new"])
+    kept = without(docs, COMPUTED)
     body = F.col(text).cast("string")
     found = F.when(body.rlike(HINT), F.regexp_extract_all(body, F.lit(f"({ANY})"), F.lit(1)))
     parts = F.split(body, ANY)

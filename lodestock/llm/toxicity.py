@@ -32,7 +32,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .batches import add_columns, as_bytes, id_and_text
+from .batches import add_columns, as_bytes, id_and_text, in_own_columns
 
 SPAN, DECAY = 6, 0.6
 SYMBOLS = 30
@@ -349,5 +349,5 @@ def score(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame
 
 
 def drop_toxic(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
-    """``docs`` without those that score at least ``threshold``."""
-    return score(docs, model, text).filter(F.col("score") < threshold).select(*docs.columns)
+    """``docs`` without those that score at least ``threshold``; a column named ``score`` keeps its values."""
+    return in_own_columns(docs, ["score"], lambda own: score(own, model, text).filter(F.col("score") < threshold))
