@@ -5,6 +5,7 @@ import os
 import brute
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lodestock.llm import decontaminate, jaccard_join, line_dedup, packing, pseudonyms, quality, sequences, suffix_dedup, token_counts, toxicity
@@ -206,3 +207,70 @@ def test_pipeline_keeps_what_each_stage_keeps(spark, tables):
     bad = {r[0] for r in brute.decontamination(kept, [tuple(r) for r in benchmark.select("item_id", "text").collect()]) if r[5]}
     packed = corpus_pipeline.run(spark, FOLDER)
     assert {r[0] for r in packed.select("doc_id").distinct().collect()} == heads - bad
+
+
+HARD = [
+    (1, LINE + "\n" + LINE.upper(), "a", 0.5), (2, LINE + " x", "b", None), (2, LINE + " x", "b", None), (3, None, None, 1.0),
+    (4, "", "x", 2.0), (5, " \n\t\x0b", "y", 3.0), (6, "lone", "z", 4.0), (7, "LONE!", "z", 4.0), (8, "é" * 3000, "w", 5.0),
+    (9, "<|endoftext|> a <|endoftext|><s>", "v", 6.0), (10, "日本 語 x y 🙂 " * 40, "u", 7.0), (11, (LINE + " ") * 700, "t", 8.0),
+    (12, "\x00 nul \x1f unit\r\n" * 30, "s", 9.0), (13, "ab" * 400, "r", 0.0), (14, "ab" * 400, "r", 0.0), (15, "# * $ | < >" * 9, None, None),
+]
+
+
+@pytest.fixture(scope="module")
+def hard_folder(spark, tmp_path_factory):
+    """Nulls, blanks, repeats, long words, special strings and a long text, with extra columns."""
+    folder = str(tmp_path_factory.mktemp("hard"))
+    spark.createDataFrame(HARD, "doc_id long, text string, n_words string, score double").write.parquet(f"{folder}/documents.parquet")
+    items = [(1, LINE), (2, "lone"), (3, LINE), (4, None), (5, ""), (6, " ".join(LINE.split()[:13])), (None, "nul unit")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    spark.createDataFrame([(1, 1), (1, 0), (99, 1), (None, 1), (4, None)], "doc_id long, toxic int").write.parquet(f"{folder}/labels.parquet")
+    return folder
+
+
+@pytest.mark.parametrize(
+    "name, plain, width",
+    [
+        ("op3_token_counts", brute.token_counts, 4), ("op7_best_fit_packing", brute.pieces, 5), ("op8_quality_rules", brute.quality, 7),
+        ("op9_suffix_array_dedup", brute.removed_bytes, 5), ("op10_ngram_jaccard_join", brute.components, 3),
+    ],
+)
+def test_hard_rows(spark, hard_folder, name, plain, width):
+    rows = sorted(tuple(r)[:width] for r in QUERIES[name](spark, hard_folder).collect())
+    assert rows == sorted(plain([r[:2] for r in HARD]))
+
+
+def test_hard_rows_against_a_benchmark(spark, hard_folder):
+    items = [(1, LINE), (2, "lone"), (3, LINE), (6, " ".join(LINE.split()[:13]))]
+    rows = {r["doc_id"]: tuple(r) for r in QUERIES["op1_benchmark_decontamination"](spark, hard_folder).collect()}
+    plain = {r[0]: r for r in brute.decontamination([r[:2] for r in HARD], items)}
+    assert {k: v for k, v in rows.items() if k != 12} == {k: v for k, v in plain.items() if k != 12}
+    assert rows[12][2:4] == (60, 0) and rows[12][5]  # an item of null id contaminates and is not listed
+    scores = QUERIES["op4_toxicity"](spark, hard_folder).collect()
+    assert len(scores) == len(HARD) and all(r["score"] == 0.0 and r["predicted"] == 0 for r in scores)
+
+
+def test_windows_that_share_a_hash_are_told_apart():
+    index = decontaminate.WindowIndex([("a", b"x y z"), ("b", b"y x z w"), ("c", b"x y z")], 3)
+    count, runs, items = index.find([b"q x y z y x z", b"", None, b"x z w"])
+    assert list(count) == [7, 0, 0, 3] and runs == [[(1, 7)], [], [], [(0, 3)]]
+    assert items == [{"a", "b", "c"}, set(), set(), {"b"}]
+
+
+def test_stages_keep_columns_named_like_findings(spark, hard_folder):
+    docs = spark.read.parquet(f"{hard_folder}/documents.parquet").withColumn("_gone", F.lit(1)).withColumn("N_Hit", F.lit("own"))
+    docs = docs.withColumn("n_replaced", F.lit("mine"))
+    own = {(r["doc_id"], r["score"], r["n_words"]) for r in docs.collect()}
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        left = stage(spark, docs, hard_folder)
+        assert left.columns == docs.columns
+        rows = left.collect()
+        assert rows and {(r["doc_id"], r["score"], r["n_words"]) for r in rows} <= own
+        assert {(r["_gone"], r["N_Hit"], r["n_replaced"]) for r in rows} == {(1, "own", "mine")}
+
+
+def test_null_ids(spark):
+    docs = spark.createDataFrame([(None, LINE), (None, LINE), (1, LINE), (None, None)], "doc_id long, text string")
+    assert len(jaccard_join.components(docs).collect()) == 4 and jaccard_join.drop_near_duplicates(docs).count() == 4
+    assert suffix_dedup.remove_repeats(docs).count() == 4 and line_dedup.remove_repeats(docs).count() == 4
+    assert sequences.pack_best_two_fit(docs).count() == 4 and toxicity.score(docs, None).count() == 4
