@@ -46,6 +46,11 @@ HEADLINE = [
     "replaced_year",
     "audited_table_load",
     "similar_names",
+    "days_picked_up_by_stream",
+    "records_from_json_pages",
+    "open_lines_scored",
+    "lateness_classifier_scores",
+    "clustered_nations",
 ]
 
 

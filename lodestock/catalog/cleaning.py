@@ -305,6 +305,27 @@ def page_texts(spark, sf):
     return plain.select("page_id", F.length("t").cast("long").alias("n_chars"), F.md5("t").alias("text_md5"))
 
 
+@query(
+    "lines_by_codes",
+    "O-48",
+    """
+    SELECT CASE WHEN l_returnflag IN ('A', 'R') THEN CASE WHEN l_linestatus = 'F' THEN 'closed return' END
+                WHEN l_returnflag = 'N' AND l_linestatus = 'O' THEN 'open'
+                ELSE 'other' END AS category, count(*) AS n, round(sum(l_quantity), 2) AS quantity FROM lineitem GROUP BY 1
+    """,
+)
+def lines_by_codes(spark, sf):
+    category = text.code_category(
+        [
+            ({"l_returnflag": ["A", "R"]}, [({"l_linestatus": ["F"]}, "closed return")]),
+            ({"l_returnflag": ["N"], "l_linestatus": ["O"]}, "open"),
+            ({}, "other"),
+        ]
+    )
+    lines = table(spark, sf, "lineitem", "l_returnflag", "l_linestatus", "l_quantity")
+    return lines.groupBy(category.alias("category")).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("l_quantity"), 2).alias("quantity"))
+
+
 @query(
     "line_ages",
     "O-44",

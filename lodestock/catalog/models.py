@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from ..functions.numbers import box_cox
 from ..ml import features, models, text as words
 from ..operators import profiling
-from ..session import cut_wide
+from ..session import cut_wide, scratch_path
+from ..sources.delimited import write_csv
 from .plans import lateness_frame
 from .registry import query, table
 
@@ -150,25 +151,29 @@ LATE_NUMBERS = ["lead_time", "amount", "quantity", "open_count", "open_amount",
 LATE_CATEGORIES = ["week_due", "carriers", "supplier_text"]
 
 
-def lateness_training(spark, sf):
-    """Complete order lines with a label, written once: every fit reads them many times."""
+def lateness_lines(spark, sf):
+    """Order lines for the models, written once: every fit reads them many times."""
     df = lateness_frame(spark, sf, "1995-01-01").withColumn("supplier_text", F.col("supplier_id").cast("string"))
-    df = df.filter("status = 'COMPLETE' AND days_late IS NOT NULL")
-    df = features.min_max_scale(
-        df.select(
-            "order_id", "line_id", "days_late", (F.col("days_late") > 0).cast("double").alias("label"),
-            *[F.col(c).cast("double").alias(c) for c in LATE_NUMBERS], *LATE_CATEGORIES,
-        ),
-        LATE_NUMBERS,
+    df = df.select(
+        "order_id", "line_id", "status", "days_late", (F.col("days_late") > 0).cast("double").alias("label"),
+        *[F.col(c).cast("double").alias(c) for c in LATE_NUMBERS], *LATE_CATEGORIES,
     )
     # Written in as many parts as there are cores, so the fits read in parallel.
     return cut_wide(df)
 
 
+CLOSED, OPEN = "status = 'COMPLETE' AND days_late IS NOT NULL", "status <> 'COMPLETE' AND days_late IS NULL"
+
+
+def lateness_training(spark, sf):
+    """Complete order lines with a label."""
+    return lateness_lines(spark, sf).filter(CLOSED)
+
+
 def _scores(spark, sf, kinds):
     df = lateness_training(spark, sf)
     train, test = features.train_test(df, ["order_id", "line_id"], 0.7, seed=1)
-    encoder = models.fit(train, features.encoding_stages(LATE_CATEGORIES, LATE_NUMBERS, hashed=["supplier_text"]))
+    encoder = models.fit(train, features.encoding_stages(LATE_CATEGORIES, LATE_NUMBERS, hashed=["supplier_text"], scale="standard"))
     ready, held_out = (cut_wide(encoder.transform(part).select("label", "features")) for part in (train, test))
     cards = []
     for kind, params in kinds.items():
@@ -182,7 +187,7 @@ def lateness_classifier_scores(spark, sf):
     kinds = {
         "random_forest": {"numTrees": 10, "maxDepth": 5},
         "logistic": {"maxIter": 20},
-        "naive_bayes": {},
+        "naive_bayes": {"modelType": "gaussian"},  # scaled values of unseen rows may be negative
         "decision_tree": {"maxDepth": 5},
         "linear_svm": {"maxIter": 10},
     }
@@ -258,17 +263,40 @@ def lateness_grid_search(spark, sf):
     train, test = features.train_test(df, ["order_id", "line_id"], 0.7, seed=1)
     tree = models.classifier("decision_tree", seed=1)
     grid = ParamGridBuilder().addGrid(tree.maxDepth, [2, 4]).addGrid(tree.minInstancesPerNode, [5, 50]).build()
-    best = models.grid_search(train, [*features.encoding_stages(["carriers"], LATE_NUMBERS), tree], grid, ["order_id", "line_id"], folds=2)
+    best = models.grid_search(train, [*features.encoding_stages(["carriers"], LATE_NUMBERS, scale="standard"), tree], grid, ["order_id", "line_id"], folds=2)
     return models.confusion(best.transform(test))
 
 
+OPEN_THRESHOLD = 0.44
+
+
 @query("open_lines_scored", "O-111 O-10")
 def open_lines_scored(spark, sf):
-    df = lateness_training(spark, sf)
-    stages = [*features.encoding_stages(["carriers"], LATE_NUMBERS), models.classifier("logistic", maxIter=10)]
-    model = models.fit(df, stages)
-    scored = models.apply_threshold(model.transform(df), 0.44)
-    return scored.groupBy("decision").agg(F.count(F.lit(1)).alias("lines"), F.min("p_positive").alias("lowest"), F.max("p_positive").alias("highest"))
+    """Lines without a receipt, scored by a model of the closed lines; exported and read back."""
+    lines = lateness_lines(spark, sf)
+    stages = [*features.encoding_stages(["carriers"], LATE_NUMBERS, scale="standard"), models.classifier("logistic", maxIter=10)]
+    model = models.fit(lines.filter(CLOSED), stages)
+    scored = models.apply_threshold(model.transform(lines.filter(OPEN)), OPEN_THRESHOLD)
+    path = scratch_path(spark, "open_lines")
+    write_csv(scored.select("order_id", "line_id", "decision", "p_positive"), path)
+    return spark.read.schema("order_id long, line_id int, decision int, p_positive double").csv(path, header=True)
+
+
+@query(
+    "open_line_decisions",
+    "O-111 O-10",
+    """
+    SELECT l_orderkey AS order_id, CAST(l_linenumber AS INTEGER) AS line_id, true AS is_share, true AS follows_threshold
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linestatus <> 'F' AND o_orderdate >= TIMESTAMP '1995-01-01'
+    """,
+)
+def open_line_decisions(spark, sf):
+    """Each open line is scored once, by a share, and decided by the threshold."""
+    p = F.col("p_positive")
+    return open_lines_scored(spark, sf).select(
+        "order_id", "line_id", p.between(0, 1).alias("is_share"),
+        (F.col("decision") == (p >= OPEN_THRESHOLD).cast("int")).alias("follows_threshold"),
+    )
 
 
 @query(
@@ -330,6 +358,31 @@ def document_quality_scores(spark, sf):
     return models.score_card(models.fit(train, stages).transform(test))
 
 
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+
+@query(
+    "clustered_nations",
+    "O-114",
+    """
+    SELECT n_name, count(*) AS orders, CAST(count(*) FILTER (o_orderpriority = '1-URGENT') AS BIGINT) AS urgent, true AS at_nearest
+    FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1
+    """,
+)
+def clustered_nations(spark, sf):
+    """Nations by their orders of each priority; each is in the cluster of its nearest centre."""
+    orders = table(spark, sf, "orders", "o_custkey", "o_orderpriority")
+    customers = table(spark, sf, "customer", "c_custkey", "c_nationkey").join(table(spark, sf, "nation", "n_nationkey", "n_name"), F.col("c_nationkey") == F.col("n_nationkey"))
+    joined = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    found = models.clustered_groups(joined, "n_name", "o_orderpriority", PRIORITIES)
+    return found.select(
+        "n_name",
+        F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x).alias("orders"),
+        F.get("counts", F.lit(0)).alias("urgent"),
+        (F.get("apart", F.col("cluster")) <= F.array_min("apart") + 1e-6).alias("at_nearest"),
+    )
+
+
 @query("clustered_vectors", "O-114")
 def clustered_vectors(spark, sf):
     df = table(spark, sf, "embeddings", "vec_id", "embedding", "label")

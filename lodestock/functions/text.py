@@ -4,23 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, functions as F
 
 from ..sources.na_values import DEFAULT_NA_VALUES
 
-# The named entities worth decoding, ampersand last so that
-# "&amp;lt;" decodes once only.
-HTML_ENTITIES = {
-    "&nbsp;": " ",
-    "&lt;": "<",
-    "&gt;": ">",
-    "&quot;": '"',
-    "&#39;": "'",
-    "&copy;": "©",
-    "&middot;": "·",
-    "&amp;": "&",
-}
+# Named entities of HTML, from the standard library's table; no-break space becomes a blank.
+HTML_ENTITIES = {name: chr(code) for name, code in name2codepoint.items()} | {"nbsp": " ", "apos": "'"}
+ENTITY = "&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+LAST_CODE = 0x10FFFF
+
 
 
 def _col(c: Column | str) -> Column:
@@ -89,8 +83,40 @@ def html_to_text(c: Column | str) -> Column:
     out = F.regexp_replace(_col(c), r"(?is)<(script|style)\b.*?</\1\s*>", "")
     out = F.regexp_replace(out, r"(?s)<!--.*?-->", "")
     out = F.regexp_replace(out, r"(?s)<[!/a-zA-Z][^>]*>", "")
-    for entity, plain in HTML_ENTITIES.items():
-        out = F.replace(out, F.lit(entity), F.lit(plain))
+    return decode_entities(out)
+
+
+def decode_entities(c: Column | str) -> Column:
+    """Named and numeric entities as their characters, each decoded once; unknown ones stay."""
+    c = _col(c)
+    parts = F.split(c, ENTITY)
+    names = F.regexp_extract_all(c, F.lit(ENTITY), F.lit(1))
+    plain = F.transform(names, lambda n: F.coalesce(_entity(n), F.concat(F.lit("&"), n, F.lit(";"))))
+    joined = F.array_join(F.flatten(F.zip_with(parts, plain, lambda p, e: F.array(p, F.coalesce(e, F.lit(""))))), "")
+    return F.when(c.contains("&"), joined).otherwise(c)
+
+
+def _entity(name: Column) -> Column:
+    """Character of an entity's name or number; null for none."""
+    known = F.map_from_arrays(F.array(*map(F.lit, HTML_ENTITIES)), F.array(*map(F.lit, HTML_ENTITIES.values())))
+    is_hex = F.lower(F.substring(name, 2, 1)) == "x"
+    code = F.when(is_hex, F.conv(F.substr(name, F.lit(3)), 16, 10)).otherwise(F.substr(name, F.lit(2))).cast("long")
+    valid = ((code > 0) & (code < 0xD800)) | ((code > 0xDFFF) & (code <= LAST_CODE))
+    bytes_ = F.unhex(F.lpad(F.conv(code.cast("string"), 10, 16), 8, "0"))
+    number = F.when(code == 160, F.lit(" ")).when(valid, F.decode(bytes_, "UTF-32"))
+    return F.when(name.startswith("#"), number).otherwise(F.try_element_at(known, name))
+
+
+def code_category(rules: Sequence[tuple[Mapping[str, Sequence], object]]) -> Column:
+    """Category by codes, first rule first.
+
+    A rule names the codes that its columns may have, and a category or a list of
+    rules for the rows it takes; null where a row's rules say nothing.
+    """
+    out = F.lit(None).cast("string")
+    for codes, found in reversed(rules):
+        takes = reduce(lambda a, b: a & b, [F.col(c).isin(list(v)) for c, v in codes.items()], F.lit(True))
+        out = F.when(takes, F.lit(found) if isinstance(found, str) else code_category(found)).otherwise(out)
     return out
 
 

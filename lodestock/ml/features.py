@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Transformer
-from pyspark.ml.feature import FeatureHasher, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import FeatureHasher, Imputer, MinMaxScaler, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numbers import box_cox
@@ -46,18 +46,29 @@ def min_max_scale(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def encoding_stages(
-    categories: Sequence[str], numbers: Sequence[str], hashed: Sequence[str] = (), hashed_features: int = 1 << 12
+    categories: Sequence[str], numbers: Sequence[str], hashed: Sequence[str] = (), hashed_features: int = 1 << 12,
+    scale: str | None = None,
 ) -> list[Transformer]:
     """Pipeline stages from columns to ``features``.
 
     An indexer keeps its labels on the driver, so the caller names the columns
     whose labels grow with the data as ``hashed``: those need no labels at all.
     The choice does not depend on the rows.  Unknown labels are ignored.
+    With ``scale`` ("standard" or "min_max") numbers get the median where they
+    are missing and are scaled; both are fitted with the pipeline, so they know
+    the training rows alone.
     """
     narrow = [c for c in categories if c not in hashed]
     wide = [c for c in categories if c in hashed]
     stages: list[Transformer] = []
     inputs = list(numbers)
+    if scale:
+        filled = [f"{c}_filled" for c in numbers]
+        scaler = {"standard": StandardScaler(withMean=True), "min_max": MinMaxScaler()}[scale]
+        stages.append(Imputer(inputCols=list(numbers), outputCols=filled, strategy="median"))
+        stages.append(VectorAssembler(inputCols=filled, outputCol="numbers_raw", handleInvalid="keep"))
+        stages.append(scaler.setInputCol("numbers_raw").setOutputCol("numbers"))
+        inputs = ["numbers"]
     if narrow:
         indexed, encoded = [f"{c}_index" for c in narrow], [f"{c}_hot" for c in narrow]
         stages.append(StringIndexer(inputCols=narrow, outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc"))

@@ -13,11 +13,13 @@ from pyspark.ml.classification import (
     NaiveBayes,
     RandomForestClassifier,
 )
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import cut_wide
 from .features import split_share
 
 
@@ -74,3 +76,21 @@ def grid_search(
         parallelism=parallelism,
     )
     return search.fit(train.withColumn("_fold", fold))
+
+
+def clustered_groups(df: DataFrame, key: str, value: str, values: Sequence[str], share: float = 0.75, seed: int = 1) -> DataFrame:
+    """K-means of groups by how often each of ``values`` occurs in them.
+
+    ``counts`` has the occurrences in the order of ``values``; the number of
+    clusters is a share of the number of groups, two at least.  ``apart`` has the
+    squared distance to each centre.
+    """
+    each = [F.count_if(F.col(value) == v) for v in values]
+    groups = cut_wide(df.groupBy(key).agg(F.array(*each).alias("counts")))
+    ready = groups.withColumn("features", array_to_vector(F.transform("counts", lambda n: n.cast("double"))))
+    model = KMeans(k=max(2, round(groups.count() * share)), seed=seed, maxIter=20).fit(ready)
+    apart = [
+        sum((F.get("counts", F.lit(i)) - float(x)) * (F.get("counts", F.lit(i)) - float(x)) for i, x in enumerate(centre))
+        for centre in model.clusterCenters()
+    ]
+    return model.transform(ready).select(key, "counts", F.col("prediction").alias("cluster"), F.array(*apart).alias("apart"))

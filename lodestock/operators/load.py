@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -14,8 +15,32 @@ from .contract import ContractError, assert_fits, conform
 from .picks import first_per_key
 
 
+def write_version(df: DataFrame, path: str) -> None:
+    """Replace a table: the new rows are written beside it and renamed into place.
+
+    Until the rename the old table stays whole, so a failed write loses nothing,
+    and ``df`` may read the table that it replaces.
+    """
+    spark = df.sparkSession
+    base, tag = path.rstrip("/"), uuid.uuid4().hex
+    made = spark._jvm.org.apache.hadoop.fs.Path
+    new, now, old = made(f"{base}.new-{tag}"), made(base), made(f"{base}.old-{tag}")
+    df.write.parquet(new.toString())
+    files = now.getFileSystem(spark._jsc.hadoopConfiguration())
+    replaces = files.exists(now)
+    if replaces and not files.rename(now, old):
+        raise OSError(f"{base} could not be set aside")
+    if not files.rename(new, now):
+        if replaces:
+            files.rename(old, now)
+        raise OSError(f"the new version of {base} could not be put in place")
+    if replaces:
+        files.delete(old, True)
+    spark.catalog.refreshByPath(base)
+
+
 def full_refresh(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+    write_version(df, path)
 
 
 def append_snapshot(df: DataFrame, path: str) -> None:
@@ -73,13 +98,13 @@ def staged_swap(df: DataFrame, stage: str, base: str, schema: T.StructType | Non
     if schema is not None:
         assert_fits(staged, schema)
     rows = staged.count()
-    staged.write.mode("overwrite").parquet(base)
+    write_version(staged, base)
     return rows
 
 
 def copy_table(spark: SparkSession, source: str, target: str) -> None:
     """Read everything and replace the target."""
-    spark.read.parquet(source).write.mode("overwrite").parquet(target)
+    write_version(spark.read.parquet(source), target)
 
 
 def load_table(
@@ -105,13 +130,14 @@ def load_table(
         # Staged once: the checks, the count and the load all read the stage.
         ready = cut_lineage(conform(df, target, columns, categorical))
         assert_fits(ready, target)
-    except ContractError as error:
-        append_audit(error_row(spark, scope, log_source, data_area, error, entry_date), audit_path)
-        return False
-    try:
-        ready.write.mode("overwrite" if truncate else "append").parquet(path)
+        if truncate:
+            write_version(ready, path)
+        else:
+            append_snapshot(ready, path)
     except Exception as error:
         append_audit(error_row(spark, scope, log_source, data_area, error, entry_date), audit_path)
+        if isinstance(error, ContractError):
+            return False
         raise
     append_audit(success_row(spark, scope, log_source, data_area, ready.count(), entry_date), audit_path)
     return True

@@ -45,6 +45,17 @@ def test_html(spark):
     assert one(spark, "string", [html, None], text.html_to_text("c")) == ["A <b> &lt; 1 < 2", None]
 
 
+def test_entities(spark):
+    values = ["&amp;lt; &eacute;&#233;&#xE9;&#128512; &euro;", "&bogus; & &#0; &#xD800; &#9999999;", "&nbsp;&#160;", "", None]
+    found = one(spark, "string", values, text.decode_entities("c"))
+    assert found == ["&lt; \u00e9\u00e9\u00e9\U0001f600 \u20ac", "&bogus; & &#0; &#xD800; &#9999999;", "  ", "", None]
+
+
+def test_code_category(spark):
+    rules = [({"c": ["a", "b"]}, [({"c": ["a"]}, "first")]), ({"c": ["d"]}, "second")]
+    assert one(spark, "string", ["a", "b", "d", "e", None], text.code_category(rules)) == ["first", None, "second", None, None]
+
+
 def test_lists(spark):
     got = one(spark, "string", ["Team list, Doe, Ann, Roe, Bob", "Doe, Ann, Roe"], text.tokens_every("c", drop_prefix="Team "))
     assert got == [["DOE, ANN", "ROE, BOB"], ["DOE, ANN", "ROE"]]

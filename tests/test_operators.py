@@ -339,3 +339,19 @@ def test_components_of_a_long_chain(spark):
     edges = frame(spark, "a string, b string", *[(f"n{i:03d}", f"n{i + 1:03d}") for i in range(60)], ("x", "y"))
     got = dict(rows(connected_components(edges)))
     assert len(got) == 63 and set(got.values()) == {"n000", "x"}
+
+
+def test_failures_are_audited_and_keep_the_table(spark, tmp_path):
+    target = T.StructType([T.StructField("a", T.LongType())])
+    path, log = str(tmp_path / "t"), str(tmp_path / "log")
+    good = spark.createDataFrame([(1,), (2,)], "a long")
+    assert load.load_table(good, path, target, log, "p", "job.py", "area")
+    broken = spark.range(3).select(F.when(F.col("id") == 2, F.raise_error(F.lit("source gone"))).otherwise(F.col("id")).cast("long").alias("a"))
+    with pytest.raises(Exception, match="source gone"):
+        load.load_table(broken, path, target, log, "p", "job.py", "area")
+    assert sorted(r["log_type"] for r in spark.read.parquet(log).collect()) == ["E", "I"]
+    with pytest.raises(Exception, match="source gone"):
+        load.full_refresh(broken, path)
+    assert sorted(r["a"] for r in spark.read.parquet(path).collect()) == [1, 2]
+    load.full_refresh(spark.read.parquet(path).filter("a = 2"), path)  # reads what it replaces
+    assert [r["a"] for r in spark.read.parquet(path).collect()] == [2]
