@@ -28,6 +28,7 @@ WORD_BYTES = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
 )
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LOWER = {c: c + 32 for c in range(65, 91)}
 SEPARATOR = b"\x01"
 
 FINDINGS = ("n_words", "n_hit", "hit_runs", "hit_items")
@@ -193,7 +194,7 @@ def contaminated(least_share: float = 0.05):
 
 
 def _cut_words(text: str, runs: list[dict]) -> str:
-    places = [m.span() for m in WORD.finditer(text)]
+    places = [m.span() for m in WORD.finditer(text.translate(LOWER))]  # numbered as words_of does; offsets stay
     kept, at = [], 0
     for run in runs:
         kept.append(text[at : places[run["start"]][0]])

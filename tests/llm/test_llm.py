@@ -55,6 +55,18 @@ def test_decontamination_in_parts_and_spans(spark, odd):
     assert decontaminate.find_contamination(odd, items.limit(0)).filter("n_hit > 0").count() == 0
 
 
+def test_spans_of_mixed_case(spark):
+    items = spark.createDataFrame([(1, LINE)], "item_id long, text string")
+    mixed = "One TWO three fOUR " + LINE[len("one two three four ") :]
+    docs = [
+        (1, f"USA says iPhone {mixed} AND Tail words"), (2, LINE.upper()), (3, f"É {LINE.upper()}. End"), (4, "ALL CLEAN"),
+        (5, f"{mixed}, Then A {mixed}!"), (6, None),
+    ]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    cut = {r["doc_id"]: r["text"] for r in decontaminate.remove_contamination(frame, items, how="spans").collect()}
+    assert cut == {1: "USA says iPhone  AND Tail words", 2: "", 3: "É . End", 4: "ALL CLEAN", 5: ", Then A !", 6: None}
+
+
 def test_token_counts(spark, tables):
     assert got(spark, "op3_token_counts") == sorted(brute.token_counts(tables[0]))
 
