@@ -10,11 +10,11 @@ the shuffle, so a line that a third of all documents share is no hot key, and
 only occurrences of repeated digests are joined back, by a join whose large
 partitions adaptive execution splits.
 
-Defined results: a null text stays null and has no units; a unit of fewer than
-``min_words`` words is never cut; rows of equal id are one document, whose equal
-units count as one occurrence, so exact repeats of a row come out alike; null
-ids rank first; extra columns stay, unless named like a computed one; an empty
-table gives an empty one.
+Defined results: a null text stays null and has no units; a blank unit, or one
+of fewer than ``min_chars`` characters, is never cut; rows of equal id are one
+document, whose equal units count as one occurrence, so exact repeats of a row
+come out alike; null ids rank first; extra columns stay, unless named like a
+computed one; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -30,33 +30,33 @@ from ..session import cut_lineage
 from .batches import add_columns, blocks, id_and_text, without
 
 SEPARATORS = {"line": re.compile("\n"), "paragraph": re.compile(r"\n[ \t\r]*\n")}
-MIN_WORDS = 8
+MIN_CHARS = 1
 OFFSETS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
 
 
-def unit_digests(text: str, unit: str, min_words: int) -> list[tuple[int, int, bytes | None]]:
+def unit_digests(text: str, unit: str, min_chars: int) -> list[tuple[int, int, bytes | None]]:
     """Start, end (with the separator after it) and digest of each unit.
 
-    Lower case and single spaces make units equal; short units have no digest.
+    Lower case and single spaces make units equal; blank and short units have no digest.
     """
     edges = [m.span() for m in SEPARATORS[unit].finditer(text)]
     out, start = [], 0
     for stop, following in [*edges, (len(text), len(text))]:
-        words = text[start:stop].lower().split()
-        key = blake2b(" ".join(words).encode(), digest_size=16).digest() if len(words) >= min_words else None
+        plain = " ".join(text[start:stop].lower().split())
+        key = blake2b(plain.encode(), digest_size=16).digest() if plain and len(plain) >= min_chars else None
         out.append((start, following, key))
         start = following
     return out
 
 
-def later_units(docs: DataFrame, unit: str, min_words: int, key: str, text: str) -> DataFrame:
+def later_units(docs: DataFrame, unit: str, min_chars: int, key: str, text: str) -> DataFrame:
     """Per document id, the digests of units that an earlier document has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text"):
             ids, digests = [], []
             for doc, body in zip(*(c.to_pylist() for c in block.columns), strict=True):
-                found = {d for _, _, d in unit_digests(body or "", unit, min_words)} - {None}
+                found = {d for _, _, d in unit_digests(body or "", unit, min_chars)} - {None}
                 ids += [doc] * len(found)
                 digests += found
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(digests, pa.binary())], names=["_doc", "_digest"])
@@ -70,7 +70,7 @@ def later_units(docs: DataFrame, unit: str, min_words: int, key: str, text: str)
 
 
 def remove_repeats(
-    docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS, key: str = "doc_id", text: str = "text"
+    docs: DataFrame, unit: str = "line", min_chars: int = MIN_CHARS, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """``docs`` with repeated units cut out of the text.
 
@@ -79,7 +79,7 @@ def remove_repeats(
     separator after it along.
     """
     kept = without(docs, ["removed", "n_units", "n_removed", "_later", "_doc", "_text"])
-    later = later_units(kept, unit, min_words, key, text)
+    later = later_units(kept, unit, min_chars, key, text)
     joined = kept.join(later, kept[key].cast("long").eqNullSafe(later["_doc"]), "left").drop("_doc")
     fields = [
         T.StructField("_text", T.StringType()),
@@ -92,7 +92,7 @@ def remove_repeats(
         out = []
         for body, known in zip(block.column(text).to_pylist(), block.column("_later").to_pylist(), strict=True):
             seen, gone, pieces = set(known or ()), [], []
-            found = unit_digests(body, unit, min_words) if body is not None else []
+            found = unit_digests(body, unit, min_chars) if body is not None else []
             for start, end, digest in found:
                 if digest in seen:
                     gone.append({"start": start, "end": end})
