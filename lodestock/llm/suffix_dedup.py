@@ -18,14 +18,20 @@ document of smaller id, or earlier in the same one) is removed.
 
 Whole copies of an earlier document are removed without any of this.
 
+A document is a distinct pair of id and text.  Its key ranks by id and then by
+the text's digest; the places of its seeds come back by a 64-bit hash of the key,
+each with seven bits of its seed, so that places of another text under the same
+hash fall out or add strings that are compared for nothing.
+
 Defined results: a null text has no bytes; null ids rank first; rows of equal id
-are one document, in which a string at the same place is not an earlier one;
-shorter texts than ``size`` lose nothing; an empty table gives an empty result.
+and text are one document, so they come out alike; different texts of one id, or
+without an id, are documents in the order of their digests; shorter texts than
+``size`` lose nothing; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +46,7 @@ SHARD_SEGMENTS = 6_000
 HOT_SEED = 2_000
 BLOCK = 1 << 20
 BROADCAST_VALUES = 12_000_000
-NO_ID = -(1 << 63)
+LEAST_ID = -(1 << 63)
 
 _RNG = np.random.default_rng(9)
 _BYTE = _RNG.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -90,6 +96,18 @@ def strings_of(texts: list[bytes], size: int):
     return starts, places[starts].astype(np.int64), hashes, owner[starts], ends - lengths
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) with the text's ``digest``, and the 25 bytes of ``doc``: whether an id is there, id, digest."""
+    out = docs.withColumn("digest", F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256))
+    ranked = F.lpad(F.hex(F.col("doc_id").bitwiseXOR(F.lit(LEAST_ID))), 16, "0")
+    head = F.when(F.col("doc_id").isNull(), F.lit("00" * 9)).otherwise(F.concat(F.lit("01"), ranked))
+    return out.withColumn("doc", F.unhex(F.concat(head, F.substring("digest", 1, 32))))
+
+
+def _id_of(doc: bytes) -> int | None:
+    return int.from_bytes(doc[1:9]) + LEAST_ID if doc[0] else None
+
+
 def _seed_counts(docs: DataFrame, size: int) -> DataFrame:
     """Seeds and how often a block has them."""
 
@@ -107,36 +125,40 @@ def _seed_places(docs: DataFrame, size: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text", BLOCK):
-            ids = block.column("doc_id").to_numpy(zero_copy_only=False)
+            rows = block.column("row").to_numpy()
             _, places, hashes, owners, firsts = strings_of([t or b"" for t in as_bytes(block.column("text"))], size)
             places, at = np.unique(places, return_index=True)
             owners = owners[at]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(hashes[places].view(np.int64)),
-                    pa.array(ids[owners].astype(np.int64)),
+                    pa.array(rows[owners]),
                     pa.array((places - firsts[owners]).astype(np.int32)),
                 ],
-                names=["seed", "doc", "place"],
+                names=["seed", "row", "place"],
             )
 
-    return docs.mapInArrow(run, "seed long, doc long, place int")
+    return docs.select("text", "row").mapInArrow(run, "seed long, row long, place int")
 
 
 def _segments(docs: DataFrame, size: int, shards: int) -> DataFrame:
     """Runs of strings that share a repeated seed, dealt to shards."""
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary()]
+    kinds = [pa.int64(), pa.binary(), pa.int32(), pa.bool_(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text", BLOCK):
             texts = [t or b"" for t in as_bytes(block.column("text"))]
-            ids = block.column("doc_id").to_pylist()
+            keys = block.column("doc").to_pylist()
             starts, places, hashes, owners, firsts = strings_of(texts, size)
             if not len(starts):
                 continue
             parts = np.zeros(len(hashes), np.int32)  # in how many shards a seed place's segments go
-            for i, (at, n) in enumerate(zip(block.column("places").to_pylist(), block.column("parts").to_pylist(), strict=True)):
-                parts[np.array(at, np.int64) + firsts[i]] = n
+            for i, found in enumerate(zip(*(block.column(c).to_pylist() for c in ("places", "parts", "marks")), strict=True)):
+                at, n, marks = (np.array(x, np.int64) for x in found)
+                at = at + firsts[i]
+                own = at < min(len(hashes), firsts[i] + len(texts[i]))
+                own[own] = (hashes[at[own]] & np.uint64(127)).astype(np.int64) == marks[own]
+                parts[at[own]] = n[own]
             chosen = parts[places] > 0
             edge = np.flatnonzero(
                 np.r_[True, (np.diff(places) != 0) | (np.diff(owners) != 0) | (np.diff(starts) != 1)]
@@ -147,16 +169,16 @@ def _segments(docs: DataFrame, size: int, shards: int) -> DataFrame:
             for a, b in zip(edge[keep].tolist(), last[keep].tolist(), strict=True):
                 owner, seed, many = int(owners[a]), int(hashes[places[a]]), int(parts[places[a]])
                 begin = int(starts[a] - firsts[owner])
-                part = hash((ids[owner], begin)) % many
+                part = hash((zlib.crc32(keys[owner]), begin)) % many
                 shard = hash((seed, part)) % shards
-                rows.append((shard, ids[owner], begin, many > 1, texts[owner][begin : begin + int(b - a) + size]))
+                rows.append((shard, keys[owner], begin, many > 1, texts[owner][begin : begin + int(b - a) + size]))
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
                     names=["shard", "doc", "start", "spread", "bytes"],
                 )
 
-    return docs.mapInArrow(run, "shard long, doc long, start int, spread boolean, bytes binary")
+    return docs.mapInArrow(run, "shard long, doc binary, start int, spread boolean, bytes binary")
 
 
 def suffix_order(data: np.ndarray, ends: np.ndarray, depth: int) -> np.ndarray:
@@ -214,12 +236,15 @@ def equal_strings(data: np.ndarray, places: np.ndarray, size: int) -> np.ndarray
     return np.cumsum(np.r_[0, ~same])
 
 
-REMOVED = "doc long, start int, end int, string binary"
+REMOVED = "doc binary, start int, end int, string binary"
 
 
 def _shard(table: pa.Table, size: int) -> pa.Table:
     """Removed runs of one shard, and earliest strings of seeds that other shards also have."""
-    docs = table.column("doc").to_numpy()
+    keys = table.column("doc").to_pylist()
+    names = sorted(set(keys))
+    ranks = {k: i for i, k in enumerate(names)}
+    docs = np.array([ranks[k] for k in keys], np.int64)
     starts = table.column("start").to_numpy().astype(np.int64)
     bodies = table.column("bytes").to_pylist()
     spread = table.column("spread").to_numpy(zero_copy_only=False)
@@ -254,7 +279,7 @@ def _shard(table: pa.Table, size: int) -> pa.Table:
         out_string.append(data[p : p + size].tobytes())
     return pa.table(
         {
-            "doc": pa.array(out_doc, pa.int64()),
+            "doc": pa.array(names, pa.binary()).take(pa.array(out_doc, pa.int64())),
             "start": pa.array(out_start, pa.int32()),
             "end": pa.array(out_end, pa.int32()),
             "string": pa.array(out_string, pa.binary()),
@@ -280,13 +305,13 @@ def _merged(heads: DataFrame) -> DataFrame:
                     gone.append(i)
             yield batch.select(["doc", "start", "end"]).take(pa.array(gone, pa.int64()))
 
-    return ranged.mapInArrow(run, "doc long, start int, end int")
+    return ranged.mapInArrow(run, "doc binary, start int, end int")
 
 
-def _to_texts(docs: DataFrame, side: DataFrame, values: str) -> DataFrame:
+def _to_texts(docs: DataFrame, side: DataFrame, values: str, on: str) -> DataFrame:
     """``docs`` left-joined with per-document arrays: broadcast if they are few, else the texts are shuffled."""
     size = side.agg(F.sum(F.size(values) + 4)).first()[0] or 0
-    return docs.join(F.broadcast(side) if size <= BROADCAST_VALUES else side, "doc_id", "left")
+    return docs.join(F.broadcast(side) if size <= BROADCAST_VALUES else side, on, "left")
 
 
 def _runs(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -300,34 +325,38 @@ def _runs(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _joined_runs(removed: DataFrame) -> DataFrame:
-    """Per document the maximal runs, as a flat array of starts and ends."""
+    """Per document, with its id, the maximal runs as a flat array of starts and ends."""
     per = removed.groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("runs"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             flat = [[x for r in _runs([(p["start"], p["end"]) for p in found]) for x in r] for found in batch.column("runs").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(flat, pa.list_(pa.int32()))], names=["doc_id", "runs"])
+            ids = pa.array(map(_id_of, batch.column("doc").to_pylist()), pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), ids, pa.array(flat, pa.list_(pa.int32()))], names=["doc", "doc_id", "runs"])
 
-    return per.mapInArrow(run, "doc_id long, runs array<int>")
+    return per.mapInArrow(run, "doc binary, doc_id long, runs array<int>")
 
 
 def removed_runs(docs: DataFrame, size: int = SIZE, shard_segments: int = SHARD_SEGMENTS, hot_seed: int = HOT_SEED) -> tuple[DataFrame, DataFrame]:
     """For (doc_id, text): documents that copy an earlier one whole, and removed byte runs of others."""
-    digest = F.sha2(F.encode("text", "UTF-8"), 256)
-    marked = docs.filter(F.octet_length("text") >= size).select("doc_id", digest.alias("d"))
-    heads = marked.groupBy("d").agg(F.min("doc_id").alias("head"), F.max("doc_id").alias("tail")).filter("head < tail")
-    copies = marked.join(heads, "d").filter("doc_id > head").select("doc_id").distinct()
-    copies = cut_lineage(copies)
+    long = _keyed(docs.filter(F.octet_length("text") >= size))
+    bare = F.max(F.col("doc_id").isNull())
+    heads = long.groupBy("digest").agg(F.min("doc_id").alias("head"), F.max("doc_id").alias("tail"), bare.alias("bare"))
+    heads = heads.filter("head < tail or bare and tail is not null")
+    copies = long.select("doc_id", "digest", "doc").join(heads, "digest").filter("doc_id > head or bare and doc_id is not null")
+    copies = cut_lineage(copies.select("doc").distinct())
     few = copies.count() <= 1_000_000
-    alone = docs.filter(F.octet_length("text") >= size).join(F.broadcast(copies) if few else copies, "doc_id", "left_anti")
-    often = _seed_counts(alone, size).groupBy("seed").agg(F.sum("n").alias("n")).filter("n > 1")
+    alone = long.join(F.broadcast(copies) if few else copies, "doc", "left_anti")
+    alone = alone.select("doc", "text", F.xxhash64("doc").alias("row"))
+    often = _seed_counts(alone.select("text"), size).groupBy("seed").agg(F.sum("n").alias("n")).filter("n > 1")
     often = cut_lineage(often.select("seed", F.ceil(F.col("n") / hot_seed).cast("int").alias("parts"), "n"))
     total = often.agg(F.sum("n")).first()[0] or 0
     shards = max(1, -(-total // shard_segments))
     found = _seed_places(alone, size).join(often.select("seed", "parts"), "seed")
-    places = found.groupBy("doc").agg(F.collect_list(F.struct("place", "parts")).alias("p"))
-    places = cut_lineage(places.select(F.col("doc").alias("doc_id"), F.col("p.place").alias("places"), F.col("p.parts").alias("parts")))
-    segments = _segments(_to_texts(alone, places, "places").filter("places is not null"), size, shards)
+    found = found.withColumn("mark", F.col("seed").bitwiseAND(F.lit(127)).cast("byte"))
+    places = found.groupBy("row").agg(F.collect_list(F.struct("place", "parts", "mark")).alias("p"))
+    places = cut_lineage(places.select("row", F.col("p.place").alias("places"), F.col("p.parts").alias("parts"), F.col("p.mark").alias("marks")))
+    segments = _segments(_to_texts(alone, places, "places", "row").filter("places is not null"), size, shards)
     results = cut_lineage(segments.groupBy("shard").applyInArrow(lambda t: _shard(t, size), REMOVED))
     release(often, places)
     merged = _merged(results.filter("string is not null"))
@@ -338,11 +367,11 @@ def removed_runs(docs: DataFrame, size: int = SIZE, shard_segments: int = SHARD_
 
 def remove_repeats(docs: DataFrame, size: int = SIZE, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: ``doc_id``, ``n_bytes``, ``kept`` (the bytes left), and ``removed`` (byte runs)."""
-    named = id_and_text(docs, key, text).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
+    named = id_and_text(docs, key, text)
     copies, runs = removed_runs(named, size)
     whole = copies.withColumn("whole", F.lit(True))
     few = whole.count() <= 1_000_000
-    joined = _to_texts(named, runs, "runs").join(F.broadcast(whole) if few else whole, "doc_id", "left")
+    joined = _to_texts(_keyed(named), runs.drop("doc_id"), "runs", "doc").join(F.broadcast(whole) if few else whole, "doc", "left")
     long = F.octet_length("text") >= size
     joined = joined.withColumn("whole", F.coalesce(F.col("whole") & long, F.lit(False)))
     joined = joined.withColumn("runs", F.when(F.col("whole"), F.array(F.lit(0), F.octet_length("text"))).otherwise(F.col("runs")))
@@ -356,7 +385,7 @@ def remove_repeats(docs: DataFrame, size: int = SIZE, key: str = "doc_id", text:
                 spans = [(a, min(b, len(body))) for a, b in zip(flat[::2], flat[1::2], strict=True)]
                 edges = [0, *(x for s in spans for x in s), len(body)]
                 kept = b"".join(body[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
-                rows.append((None if doc == NO_ID else doc, len(body), kept, [{"start": a, "end": b} for a, b in spans]))
+                rows.append((doc, len(body), kept, [{"start": a, "end": b} for a, b in spans]))
             kinds = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))]
             columns = zip(*rows, strict=True) if rows else [[], [], [], []]
             yield pa.RecordBatch.from_arrays(

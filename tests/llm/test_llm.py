@@ -1,5 +1,6 @@
 """Operators against plain versions, and the stated results of odd inputs."""
 
+import hashlib
 import os
 import re
 
@@ -190,6 +191,25 @@ def test_suffix_dedup_of_hot_seeds(spark):
     assert copies.count() == 0
 
 
+def test_suffix_dedup_of_null_and_shared_ids(spark):
+    rng = np.random.default_rng(8)
+    own = ["".join(chr(97 + x) for x in rng.integers(0, 26, n)) for n in (900, 300, 150, 700, 160)]
+    docs = [
+        (None, own[0] + own[1]), (None, own[2]), (None, own[1] + "é" * 20), (None, own[2]), (None, None), (7, own[3] + own[0][:250]),
+        (7, own[4]), (7, own[2]), (8, own[4] + own[3][500:]), (9, own[1][:99]), (-(1 << 63), own[2]), (None, "short"),
+    ]
+    rank = lambda d: (d[0] is not None, d[0] or 0, hashlib.sha256((d[1] or "").encode()).hexdigest())
+    ranks = {key: i for i, key in enumerate(sorted({rank(d) for d in docs}))}
+    plain = brute.removed_bytes([(ranks[rank(d)], d[1]) for d in docs])
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    found = []
+    for r in suffix_dedup.remove_repeats(frame).collect():
+        spans = r["removed"]
+        found.append((r["doc_id"], r["n_bytes"], sum(x["end"] - x["start"] for x in spans), len(spans), hashlib.sha256(r["kept"]).hexdigest()))
+    ids = {i: key[1] if key[0] else None for key, i in ranks.items()}
+    assert sorted(found, key=str) == sorted([(ids[r[0]], *r[1:]) for r in plain], key=str)
+
+
 def test_jaccard_join(spark, tables):
     assert got(spark, "op10_ngram_jaccard_join") == sorted(brute.components(tables[0]))
 
