@@ -211,14 +211,15 @@ def links_and_components(docs: DataFrame, size: int, percent: int) -> tuple[Data
     """Row profiles, and (node, component) of every linked document.
 
     Documents of one and the same set are linked to the first of them; only that
-    one takes part in the join.
+    one takes part in the join, and those that have a set of their own as well.
     """
     rows = cut_lineage(profiles(docs, size))
     known = rows.filter("n > 0 and doc_id is not null").dropDuplicates(["doc_id", "digest"])
     heads = known.groupBy("digest").agg(F.min("doc_id").alias("head"))
-    copies = known.join(heads, "digest").filter("doc_id != head").select(F.col("doc_id").alias("a"), F.col("head").alias("b"))
-    copies = cut_lineage(copies)
-    alone = docs.join(_limited(copies.select(F.col("a").alias("doc_id")).distinct()), "doc_id", "left_anti")
+    headed = cut_lineage(known.join(heads, "digest").select("doc_id", "head"))
+    copies = headed.filter("doc_id != head").select(F.col("doc_id").alias("a"), F.col("head").alias("b"))
+    only = headed.groupBy("doc_id").agg(F.bool_and(F.col("doc_id") != F.col("head")).alias("only")).filter("only")
+    alone = docs.join(_limited(only.select("doc_id")), "doc_id", "left_anti")
     entries = cut_lineage(prefix_entries(alone, size, percent, frequency_table(docs, size)))
     often = entries.groupBy("shingle").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("shingle")
     open_ = cut_lineage(entries.join(often, "shingle"))
@@ -265,7 +266,7 @@ def links_and_components(docs: DataFrame, size: int, percent: int) -> tuple[Data
         parts = cut_lineage(parts)
         if older is not None:
             release(older)
-    release(*links, *tried)
+    release(headed, *links, *tried)
     return rows, parts
 
 

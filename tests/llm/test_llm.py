@@ -224,6 +224,14 @@ def test_jaccard_join_of_a_chain_and_odd_rows(spark, odd):
     assert found[3] == (0, 3) and found[4] == (0, 4) and found[5] == (0, 5) and found[8] == (1, 8)
 
 
+def test_jaccard_join_of_an_id_with_two_texts(spark):
+    own, other = (" ".join(f"{c}{i}" for i in range(40)) for c in "vw")
+    docs = [(1, own), (2, own), (2, other), (3, other + " end"), (4, own), (5, "lone text of four")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    found = sorted((r["doc_id"], r["component_id"]) for r in jaccard_join.components(frame, 4, 85).collect())
+    assert found == [(1, 1), (2, 1), (2, 1), (3, 1), (4, 1), (5, 5)]
+
+
 def test_toxicity_on_held_out_rows(spark):
     rng = np.random.default_rng(1)
     filler = ["".join(chr(97 + x) for x in rng.integers(0, 20, 6)) for _ in range(300)]
