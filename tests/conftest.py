@@ -24,7 +24,3 @@ def spark():
     yield session
     drop_scratch(session)
     session.stop()
-
-
-def rows(df, *order):
-    return [tuple(r) for r in (df.orderBy(*order) if order else df).collect()]

@@ -1,7 +1,7 @@
 from datetime import date, datetime
 
 import pytest
-from conftest import rows
+from support import rows
 from pyspark.sql import functions as F
 
 from lodestock.functions import dates, numbers, text

@@ -1,6 +1,6 @@
 from datetime import date, datetime, timedelta
 
-from conftest import rows
+from support import rows
 from pyspark.sql import functions as F, types as T
 
 from lodestock.operators import audit, contract

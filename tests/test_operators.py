@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import rows
+from support import rows
 from pyspark.sql import functions as F, types as T
 
 from lodestock.operators import aggregates, columns as cols, contract, hierarchy, joins, lists, load, picks, profiling, reshape

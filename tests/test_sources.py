@@ -2,7 +2,7 @@ import os
 from datetime import datetime
 
 import pytest
-from conftest import rows
+from support import rows
 from pyspark.sql import functions as F, types as T
 
 from lodestock.operators import audit
