@@ -251,6 +251,64 @@ def test_toxicity_on_held_out_rows(spark):
     assert toxicity.fit(texts[:3], [0, 0, 0]) is None
 
 
+INSULTS = {
+    "Cyrillic": ("дурак", "книга дорога вода школа город лето письмо", "д.у.р.а.к", "дуркак"),
+    "CJK": ("馬鹿野郎め", "日本語の長い文章です 今日は天気がいい 図書館に行きました", "馬鹿・野郎め", "今馬鹿野郎め日"),
+    "umlauts": ("dämlack", "bücher straße grüße häuser köln über möglich", "d-ä-m-l-a-c-k", "dämmlack"),
+}
+
+
+@pytest.mark.parametrize("script", INSULTS)
+def test_toxicity_in_other_scripts(script):
+    """The same shape of document, with and without the insult, in the letters of one script."""
+    insult, words, inserted, doubled = INSULTS[script]
+    words = words.split()
+    texts = [" ".join(words[(i + j) % len(words)] for j in range(3 + i % 3)) for i in range(120)]
+    labels = [int(i % 3 == 0) for i in range(120)]
+    texts = [f"{t[: len(t) // 2]} {insult} {t[len(t) // 2 :]}" if y else t for t, y in zip(texts, labels)]
+    model = toxicity.fit([t.encode() for t in texts], labels)
+    asked = [f"{words[0]} {x}. {words[1]}" for x in (insult, insult.upper(), inserted, doubled)] + [" ".join(words), words[0], ""]
+    scores = toxicity._Scorer().scores(model, [t.encode() for t in asked])
+    assert (scores[:4] >= 0.7).all() and (scores[4:] < 0.5).all(), scores
+
+
+def test_toxicity_of_two_ordinary_words():
+    """Both words are common in clean texts, only their meeting in one sentence is not."""
+    rng = np.random.default_rng(3)
+    words = ["brick", "head", "house", "garden", "winter", "little", "yellow", "river", "carpet", "window"]
+    texts, labels = [], []
+    for i in range(300):
+        chosen = [words[j] for j in rng.integers(0, len(words), 14)]
+        pairs = list(zip(chosen, chosen[1:]))
+        chosen = ["garden" if ("brick", "head") == p else c for c, p in zip(chosen, [*pairs, None])]
+        if i % 3 == 0:
+            chosen[6:8] = ["brick", "head"]
+        texts.append(" ".join(chosen).encode())
+        labels.append(int(i % 3 == 0))
+    model = toxicity.fit(texts[:200], labels[:200])
+    scores = toxicity._Scorer().scores(model, texts[200:])
+    assert ((scores >= 0.7) == (np.array(labels[200:]) == 1)).mean() > 0.95
+    apart = [b"you brick head", b"a brick. Head on", b"head brick", b"brick house", b"little head"]
+    scores = toxicity._Scorer().scores(model, apart)
+    assert scores[0] >= 0.7 and (scores[1:] < 0.5).all(), scores
+
+
+def test_sentences_and_units():
+    read = toxicity.sentences_of
+    assert read("One, t-w-o.  THREE! s p a c e d x\nline".encode()) == [["one", "two"], ["three"], ["s", "p", "a", "c", "e", "d", "x"], ["line"], ["spacedx"]]
+    assert read("Ärger über Écoles…".encode()) == [["arger", "uber", "ecoles"]] and read(None) == [] == read(b"12 34 !")
+    assert read(b"\xff broken") == [["broken"]] and all(len(u) <= 40 for s in read(b"x" * 5000) for u in s)
+    assert len(read("馬鹿野郎".encode())[0]) == 1 and len(read(("馬鹿野郎" * 5).encode())[0]) > 3
+
+
+def test_scores_do_not_depend_on_blocks():
+    texts = [b"zwyxvu here", b"plain words only. more", b"", b"zw yx vu", "é à ü".encode()]
+    model = toxicity.fit(texts * 30, [1, 0, 0, 0, 0] * 30)
+    whole = toxicity._Scorer().scores(model, texts)
+    one = toxicity._Scorer()
+    assert np.allclose(whole, [one.scores(model, [t])[0] for t in texts]) and len(one.scores(model, [])) == 0
+
+
 def test_empty_tables(spark, odd):
     empty = odd.limit(0).drop("n_words")
     labels = spark.createDataFrame([], "doc_id long, toxic int")
