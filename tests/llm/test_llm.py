@@ -130,39 +130,6 @@ def test_quality(spark, tables):
     assert [r[:7] for r in got(spark, "op8_quality_rules")] == sorted(brute.quality(tables[0]))
 
 
-def test_line_dedup(spark, odd):
-    rows = {r["doc_id"]: r for r in line_dedup.remove_repeats(odd).collect()}
-    assert rows[1]["text"] == LINE + "\n" and [tuple(x) for x in rows[1]["removed"]] == [(len(LINE) + 1, 2 * len(LINE) + 1)]
-    assert rows[2]["n_removed"] == 0 and rows[3]["text"] is None and rows[4]["n_units"] == 1
-
-
-def test_line_dedup_of_short_lines(spark):
-    long = "日本語の長い行は空白なしで一つの語になる"
-    docs = [
-        (1, f"Menu\n\n{long}\nown one\n\n"), (2, f" menu \nown two\n{long}\n\n \n"), (3, "own three\nx\nX"), (4, "MENU"),
-        (5, "own five\n" + long),
-    ]
-    frame = spark.createDataFrame(docs, "doc_id long, text string")
-    rows = {r["doc_id"]: r for r in line_dedup.remove_repeats(frame).collect()}
-    assert {k: r["text"] for k, r in rows.items()} == {1: docs[0][1], 2: "own two\n\n \n", 3: "own three\nx\n", 4: "", 5: "own five\n"}
-    assert [rows[k]["n_removed"] for k in (1, 2, 3, 4, 5)] == [0, 2, 1, 1, 1]
-    floor = {r["doc_id"]: r["text"] for r in line_dedup.remove_repeats(frame, min_chars=5).collect()}
-    assert floor[2] == " menu \nown two\n\n \n" and floor[3] == docs[2][1] and floor[5] == "own five\n"
-
-
-def test_line_dedup_of_all_lines(spark, tables):
-    seen, plain = set(), []
-    for doc, text in sorted(tables[0]):
-        kept = []
-        for line in re.findall(r"[^\n]*\n|[^\n]+", text or ""):
-            key = " ".join(line.lower().split())
-            if not key or key not in seen:
-                kept.append(line)
-            seen.add(key)
-        plain.append((doc, "".join(kept)))
-    assert [r[:2] for r in got(spark, "op2_substring_dedup")] == plain
-
-
 def test_pseudonyms(spark, odd):
     out = pseudonyms.pseudonymise(odd)
     rows = {r["doc_id"]: r for r in out.collect()}
