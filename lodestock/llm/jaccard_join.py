@@ -35,8 +35,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators.similarity import connected_components
-from ..session import cut_lineage, release
-from .batches import as_bytes, blocks, id_and_text
+from ..session import cut_lineage, known_size, release
+from .batches import as_bytes, blocks, id_and_text, in_own_columns
 
 CLASSES = 64
 TABLE_BITS = 18
@@ -285,10 +285,47 @@ def components(
     return joined.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
 
+def _with_nodes(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``docs`` with ``_node``: the id, or a hash of id and text for rows without an id or with one of several texts."""
+    own = docs.withColumn("_id", F.col(f"`{key}`").cast("long")).withColumn("_text_hash", F.xxhash64(F.col(f"`{text}`").cast("string")))
+    several = own.filter("_id IS NOT NULL").groupBy("_id").agg(F.min("_text_hash").alias("_low"), F.max("_text_hash").alias("_high"))
+    several = known_size(several.filter("_low <> _high").select(F.col("_id").alias("_several")))
+    joined = own.join(several, F.col("_id") == F.col("_several"), "left")
+    plain = F.col("_id").isNotNull() & F.col("_several").isNull()
+    node = F.when(plain, F.col("_id")).otherwise(F.xxhash64("_id", "_text_hash"))
+    return joined.withColumn("_node", node).drop("_several", "_text_hash")
+
+
 def drop_near_duplicates(
     docs: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """``docs`` with one document of each component, the one of the smallest id; texts without words stay."""
-    found = components(docs, size, percent, key, text)
-    gone = found.filter("component_id != doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[key].cast("long") == gone["_gone"], "left_anti")
+    """``docs`` with one row of each component; texts without words stay.
+
+    The row of the smallest id stays, one without an id only if no other has one.
+    Rows without an id, and different texts of one id, are documents of their
+    own; of repeated rows one stays, that of the least hash over all columns.
+    """
+    return in_own_columns(docs, ["_id", "_text_hash", "_node"], lambda own: _one_of_each(own, size, percent, key, text))
+
+
+def _one_of_each(docs: DataFrame, size: int, percent: int, key: str, text: str) -> DataFrame:
+    named = _with_nodes(docs, key, text)
+    found = components(named.select(F.col("_node").alias("doc_id"), F.col(f"`{text}`").alias("text")), size, percent)
+    parts = found.filter("n_shingles > 0").select(F.col("doc_id").alias("_node"), "component_id")
+    ids = named.select("_node", "_id")
+    rows = cut_lineage(parts.groupBy("_node", "component_id").agg(F.count(F.lit(1)).alias("n")))
+    # Few rows have a node that is not their id; the head of a component is its smallest real id.
+    unnamed = known_size(ids.filter("_id IS NULL OR _id <> _node").distinct())
+    ranked = rows.join(unnamed.withColumn("_own", F.lit(True)), "_node", "left")
+    rank = F.struct((F.col("_own").isNotNull() & F.col("_id").isNull()).alias("bare"), F.coalesce("_id", "_node").alias("id"), F.col("_node").alias("node"))
+    heads = ranked.groupBy("component_id").agg(F.min(rank).alias("head"), F.count(F.lit(1)).alias("k")).filter("k > 1")
+    gone = rows.join(heads, "component_id").filter(F.col("_node") != F.col("head.node")).select("_node")
+    left = named.join(cut_lineage(gone), "_node", "left_anti")
+    repeated = cut_lineage(rows.filter("n > 1").select("_node"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    once = left.join(repeated, "_node", "left_anti").select(*columns)
+    if repeated.isEmpty():
+        return once
+    order = F.xxhash64(F.to_json(F.struct(*columns)))
+    again = left.join(repeated, "_node", "left_semi").groupBy("_node").agg(F.min_by(F.struct(*columns), order).alias("_kept"))
+    return once.unionByName(again.select("_kept.*"))

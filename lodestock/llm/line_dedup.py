@@ -15,10 +15,9 @@ a repeat a passage: shorter repeats (a heading, a common phrase) stay.  ``line``
 
 The rank is (document id, place in the document).  A block of documents emits
 each digest once per document; heads are counted with a map-side combine.  The
-occurrences meet the heads of repeated digests by digest; a digest that is in
-more than a 4096th of all occurrences is dealt to ``SALTS`` parts, so a line that
-a third of all documents share is no hot key.  Such digests are at most 4096, so
-their list is broadcast.
+occurrences meet the heads of repeated digests by digest; hot digests are dealt to
+several tasks (see ``hot_keys``), so a line that a third of all documents share
+is no hot key.
 
 Defined results: a null text stays null and has no units; a blank unit is never
 cut; rows of equal id are one document, whose equal units count as one
@@ -40,11 +39,11 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..session import cut_lineage
 from .batches import add_columns, as_bytes, blocks, without
+from .hot_keys import join_heads
 
 SEPARATORS = {"line": re.compile(rb"\n"), "paragraph": re.compile(rb"\n[ \t\r]*\n")}
 PASSAGE_CHARS = 200
 EACH_WORD = 6
-HOT_SHARE, SALTS = 4096, 64
 OFFSETS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
 COMPUTED = ["removed", "n_units", "n_removed", "_later", "_doc", "_mark", "_body"]
 
@@ -128,13 +127,7 @@ def later_units(docs: DataFrame, unit: str) -> DataFrame:
     low = {name: F.min(name).alias(f"_low{name}") for name in ("_doc", "_mark")}
     counted = _occurrences(docs, unit).groupBy(*digest).agg(*low.values(), F.count(F.lit(1)).alias("_n"))
     heads = cut_lineage(counted.filter("_n > 1"))
-    total = heads.agg(F.sum("_n")).first()[0] or 0
-    hot = F.broadcast(heads.filter(F.col("_n") * HOT_SHARE > total).select(*digest, F.lit(True).alias("_hot")))
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64("_doc", "_mark"), F.lit(SALTS))).otherwise(F.lit(0)).cast("int")
-    rows = _occurrences(docs, unit).join(hot, digest, "left").select("_doc", "_mark", *digest, salt.alias("_salt"))
-    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    spread = heads.join(hot, digest, "left").select(*digest, "_low_doc", "_low_mark", F.explode(salts).alias("_salt"))
-    met = rows.join(spread.hint("shuffle_hash"), [*digest, "_salt"])
+    met = join_heads(_occurrences(docs, unit), heads, digest, "_n", ["_doc", "_mark"], "shuffle_hash")
     first = F.when(F.col("_low_mark").isNotNull(), F.col("_mark").eqNullSafe(F.col("_low_mark"))).otherwise(F.col("_doc") == F.col("_low_doc"))
     return met.filter(~first).groupBy("_doc", "_mark").agg(F.collect_list("_digest").alias("_later"))
 

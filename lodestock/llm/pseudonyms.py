@@ -26,7 +26,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .batches import without
 
-KEY = "lodestock-demo-key"
 ROUNDS = 4
 COMPUTED = ["n_replaced", "_found", "_new"]
 
@@ -210,7 +209,7 @@ def _mail(value: Column, key: str) -> Column:
     return F.concat(F.lit("u"), name, F.substr(value, F.length(local) + 1, F.length(value)))
 
 
-def pseudonym(value: Column, key: str = KEY, back: bool = False) -> Column:
+def pseudonym(value: Column, key: str, back: bool = False) -> Column:
     """The pseudonym of one found value; ``back`` undoes it, but for mail names."""
     is_kind = {k.name: value.rlike(f"^(?:{k.pattern})$") for k in KINDS}
     month = F.regexp_extract(value, r"^\d{2}.(\d{2})", 1).cast("int")
@@ -226,7 +225,7 @@ def pseudonym(value: Column, key: str = KEY, back: bool = False) -> Column:
     )
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY, text: str = "text", back: bool = False) -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str, text: str = "text", back: bool = False) -> DataFrame:
     """``docs`` with every found value in ``text`` replaced; ``n_replaced`` counts changed ones."""
     kept = without(docs, COMPUTED)
     body = F.col(text).cast("string")

@@ -111,7 +111,8 @@ def packed_matrices(
     dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)).cast("int"))
 
     def fill(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("doc_id", "ascending"), ("piece", "ascending")])
+        # By the ids as well: texts of one id have a fixed order, so a task that is run again places them alike.
+        table = table.sort_by([("doc_id", "ascending"), ("piece", "ascending"), ("ids", "ascending")])
         shard = table.column("shard")[0].as_py()
         lengths = table.column("length").to_numpy().astype(np.int64)
         ranks, seen = np.zeros(len(lengths), np.int64), defaultdict(int)

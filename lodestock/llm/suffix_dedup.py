@@ -19,9 +19,9 @@ document of smaller id, or earlier in the same one) is removed.
 Whole copies of an earlier document are removed without any of this.
 
 A document is a distinct pair of id and text.  Its key ranks by id and then by
-the text's digest; the places of its seeds come back by a 64-bit hash of the key,
-each with seven bits of its seed, so that places of another text under the same
-hash fall out or add strings that are compared for nothing.
+the text's digest; the places of its seeds come back by a 64-bit hash of the key.
+Places of another text under the same hash only add strings that are compared for
+nothing.  Joins by seed and by text deal out their hot keys.
 
 Defined results: a null text has no bytes; null ids rank first; rows of equal id
 and text are one document, so they come out alike; different texts of one id, or
@@ -40,6 +40,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import cut_lineage, release
 from .batches import as_bytes, blocks, id_and_text
+from .hot_keys import join_heads
 
 SIZE, SEED = 100, 32
 SHARD_SEGMENTS = 6_000
@@ -108,37 +109,32 @@ def _id_of(doc: bytes) -> int | None:
     return int.from_bytes(doc[1:9]) + LEAST_ID if doc[0] else None
 
 
-def _seed_counts(docs: DataFrame, size: int) -> DataFrame:
-    """Seeds and how often a block has them."""
+def _seed_rows(docs: DataFrame, size: int) -> DataFrame:
+    """Every seed of every document: the first of the strings that have it at one place, and how many they are.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "text", BLOCK):
-            _, places, hashes, _, _ = strings_of([t or b"" for t in as_bytes(block.column("text"))], size)
-            seeds, counts = np.unique(hashes[np.unique(places)], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(seeds.view(np.int64)), pa.array(counts.astype(np.int32))], names=["seed", "n"])
-
-    return docs.mapInArrow(run, "seed long, n int")
-
-
-def _seed_places(docs: DataFrame, size: int) -> DataFrame:
-    """Every seed of every document with its place."""
+    Strings with their seed at one place follow each other, so this is all that
+    later steps need; the texts are hashed once.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text", BLOCK):
             rows = block.column("row").to_numpy()
-            _, places, hashes, owners, firsts = strings_of([t or b"" for t in as_bytes(block.column("text"))], size)
-            places, at = np.unique(places, return_index=True)
-            owners = owners[at]
+            starts, places, hashes, owners, firsts = strings_of([t or b"" for t in as_bytes(block.column("text"))], size)
+            if not len(starts):
+                continue
+            edge = np.flatnonzero(np.r_[True, (np.diff(places) != 0) | (np.diff(owners) != 0) | (np.diff(starts) != 1)])
+            owners = owners[edge]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(hashes[places].view(np.int64)),
+                    pa.array(hashes[places[edge]].view(np.int64)),
                     pa.array(rows[owners]),
-                    pa.array((places - firsts[owners]).astype(np.int32)),
+                    pa.array((starts[edge] - firsts[owners]).astype(np.int32)),
+                    pa.array(np.diff(np.r_[edge, len(starts)]).astype(np.int32)),
                 ],
-                names=["seed", "row", "place"],
+                names=["seed", "row", "start", "strings"],
             )
 
-    return docs.select("text", "row").mapInArrow(run, "seed long, row long, place int")
+    return docs.select("text", "row").mapInArrow(run, "seed long, row long, start int, strings int")
 
 
 def _segments(docs: DataFrame, size: int, shards: int) -> DataFrame:
@@ -147,31 +143,15 @@ def _segments(docs: DataFrame, size: int, shards: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text", BLOCK):
-            texts = [t or b"" for t in as_bytes(block.column("text"))]
-            keys = block.column("doc").to_pylist()
-            starts, places, hashes, owners, firsts = strings_of(texts, size)
-            if not len(starts):
-                continue
-            parts = np.zeros(len(hashes), np.int32)  # in how many shards a seed place's segments go
-            for i, found in enumerate(zip(*(block.column(c).to_pylist() for c in ("places", "parts", "marks")), strict=True)):
-                at, n, marks = (np.array(x, np.int64) for x in found)
-                at = at + firsts[i]
-                own = at < min(len(hashes), firsts[i] + len(texts[i]))
-                own[own] = (hashes[at[own]] & np.uint64(127)).astype(np.int64) == marks[own]
-                parts[at[own]] = n[own]
-            chosen = parts[places] > 0
-            edge = np.flatnonzero(
-                np.r_[True, (np.diff(places) != 0) | (np.diff(owners) != 0) | (np.diff(starts) != 1)]
-            )
-            last = np.r_[edge[1:], len(starts)] - 1
-            keep = chosen[edge]
             rows = []
-            for a, b in zip(edge[keep].tolist(), last[keep].tolist(), strict=True):
-                owner, seed, many = int(owners[a]), int(hashes[places[a]]), int(parts[places[a]])
-                begin = int(starts[a] - firsts[owner])
-                part = hash((zlib.crc32(keys[owner]), begin)) % many
-                shard = hash((seed, part)) % shards
-                rows.append((shard, keys[owner], begin, many > 1, texts[owner][begin : begin + int(b - a) + size]))
+            found = (block.column(c).to_pylist() for c in ("doc", "starts", "strings", "parts", "bases"))
+            for text, doc, *runs in zip(as_bytes(block.column("text")), *found, strict=True):
+                mark, length = zlib.crc32(doc), len(text)
+                for start, strings, many, base in zip(*runs, strict=True):
+                    end = start + strings - 1 + size
+                    if end <= length:  # not so only for another text of the same row hash
+                        part = hash((mark, start)) % many if many > 1 else 0
+                        rows.append((hash((base, part)) % shards, doc, start, many > 1, text[start:end]))
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
@@ -341,24 +321,30 @@ def removed_runs(docs: DataFrame, size: int = SIZE, shard_segments: int = SHARD_
     """For (doc_id, text): documents that copy an earlier one whole, and removed byte runs of others."""
     long = _keyed(docs.filter(F.octet_length("text") >= size))
     bare = F.max(F.col("doc_id").isNull())
-    heads = long.groupBy("digest").agg(F.min("doc_id").alias("head"), F.max("doc_id").alias("tail"), bare.alias("bare"))
-    heads = heads.filter("head < tail or bare and tail is not null")
-    copies = long.select("doc_id", "digest", "doc").join(heads, "digest").filter("doc_id > head or bare and doc_id is not null")
-    copies = cut_lineage(copies.select("doc").distinct())
+    heads = long.groupBy("digest").agg(
+        F.min("doc_id").alias("head"), F.max("doc_id").alias("tail"), bare.alias("bare"), F.count(F.lit(1)).alias("n")
+    )
+    heads = cut_lineage(heads.filter("head < tail or bare and tail is not null"))
+    copies = join_heads(long.select("doc_id", "digest", "doc"), heads, ["digest"], "n", ["doc"])
+    copies = cut_lineage(copies.filter("doc_id > head or bare and doc_id is not null").select("doc").distinct())
     few = copies.count() <= 1_000_000
     alone = long.join(F.broadcast(copies) if few else copies, "doc", "left_anti")
     alone = alone.select("doc", "text", F.xxhash64("doc").alias("row"))
-    often = _seed_counts(alone.select("text"), size).groupBy("seed").agg(F.sum("n").alias("n")).filter("n > 1")
+    seeds = cut_lineage(_seed_rows(alone, size))
+    often = seeds.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     often = cut_lineage(often.select("seed", F.ceil(F.col("n") / hot_seed).cast("int").alias("parts"), "n"))
     total = often.agg(F.sum("n")).first()[0] or 0
     shards = max(1, -(-total // shard_segments))
-    found = _seed_places(alone, size).join(often.select("seed", "parts"), "seed")
-    found = found.withColumn("mark", F.col("seed").bitwiseAND(F.lit(127)).cast("byte"))
-    places = found.groupBy("row").agg(F.collect_list(F.struct("place", "parts", "mark")).alias("p"))
-    places = cut_lineage(places.select("row", F.col("p.place").alias("places"), F.col("p.parts").alias("parts"), F.col("p.mark").alias("marks")))
-    segments = _segments(_to_texts(alone, places, "places", "row").filter("places is not null"), size, shards)
+    found = join_heads(seeds, often, ["seed"], "n", ["row", "start"])
+    base = F.pmod(F.xxhash64("seed"), F.lit((1 << 31) - 1)).cast("int").alias("base")
+    places = found.groupBy("row").agg(F.collect_list(F.struct("start", "strings", "parts", base)).alias("p"))
+    places = cut_lineage(
+        places.select("row", *[F.col(f"p.{c}").alias(f"{c}s" if c in ("start", "base") else c) for c in ("start", "strings", "parts", "base")])
+    )
+    release(seeds)
+    segments = _segments(_to_texts(alone, places, "starts", "row").filter("starts is not null"), size, shards)
     results = cut_lineage(segments.groupBy("shard").applyInArrow(lambda t: _shard(t, size), REMOVED))
-    release(often, places)
+    release(heads, often, places)
     merged = _merged(results.filter("string is not null"))
     runs = cut_lineage(_joined_runs(results.filter("string is null").select("doc", "start", "end").unionByName(merged)))
     release(results)

@@ -6,7 +6,7 @@ import re
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from lodestock.llm import line_dedup
+from lodestock.llm import hot_keys, line_dedup
 from lodestock.llm.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -154,11 +154,11 @@ def test_texts_without_an_id(spark):
 @pytest.mark.parametrize("salts", [3, 64])
 def test_hot_lines(spark, monkeypatch, salts):
     """A line that all documents share, beyond the share that is dealt out."""
-    monkeypatch.setattr(line_dedup, "SALTS", salts)
+    monkeypatch.setattr(hot_keys, "SALTS", salts)
     docs = [(i, f"{LINE}\n{words(i, 12)}\n" + (f"{words(1000 + i // 2, 12)}\n" if i % 3 else "")) for i in range(90)]
     frame = spark.createDataFrame(docs, "doc_id long, text string")
     for hot in (1, 4096):
-        monkeypatch.setattr(line_dedup, "HOT_SHARE", hot)
+        monkeypatch.setattr(hot_keys, "HOT_SHARE", hot)
         found = line_dedup.remove_repeats(frame, "line").collect()
         assert {r["doc_id"]: (r["text"], r["n_removed"]) for r in found} == plain_cut(docs, "line", 1)
 

@@ -3,6 +3,7 @@
 import hashlib
 import os
 import re
+from datetime import date
 
 import brute
 import numpy as np
@@ -131,12 +132,12 @@ def test_quality(spark, tables):
 
 
 def test_pseudonyms(spark, odd):
-    out = pseudonyms.pseudonymise(odd)
+    out = pseudonyms.pseudonymise(odd, "key")
     rows = {r["doc_id"]: r for r in out.collect()}
     assert rows[6]["n_replaced"] == 3 and rows[6]["text"] != ODD[6][1] and rows[3]["text"] is None
     digits = [int(c) for c in rows[6]["text"].split()[1]][::-1]
     assert sum(d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(digits)) % 10 == 0
-    back = {r["doc_id"]: r["text"] for r in pseudonyms.pseudonymise(out, back=True).collect()}
+    back = {r["doc_id"]: r["text"] for r in pseudonyms.pseudonymise(out, "key", back=True).collect()}
     assert back == {r[0]: r[1] for r in ODD}
 
 
@@ -199,6 +200,94 @@ def test_jaccard_join_of_an_id_with_two_texts(spark):
     assert found == [(1, 1), (2, 1), (2, 1), (3, 1), (4, 1), (5, 5)]
 
 
+def test_near_duplicates_leave_one_row_each(spark):
+    """Rows without an id, repeated rows, and different texts of one id."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    docs = [
+        (None, a, "p"), (None, a, "p"), (7, a + " end", "q"), (9, a, "r"), (9, b, "s"), (9, b, "s"), (None, b + " end", "t"), (None, c, "u"),
+        (None, c + " end", "v"), (3, "", "w"), (3, None, "x"), (None, "", "y"), (None, "", "y"), (4, c.upper() + " more of this", "z"), (4, "own", "z"),
+    ]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, _node string")
+    left = jaccard_join.drop_near_duplicates(frame)
+    assert left.columns == frame.columns
+    kept = sorted((tuple(r) for r in left.collect()), key=str)
+    wanted = [(7, a + " end", "q"), (9, b, "s"), (3, "", "w"), (3, None, "x"), (None, "", "y"), (None, "", "y"), (4, c.upper() + " more of this", "z"), (4, "own", "z")]
+    assert kept == sorted(wanted, key=str)
+
+
+def luhn(text):
+    digits = [int(x) for x in text if x.isdigit()][::-1]
+    return sum(d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(digits)) % 10 == 0
+
+
+VALUES = {
+    "date": (["1987-02-28", "2004/02/29", "1999.12.31"], lambda v: date.fromisoformat(re.sub(r"\D", "-", v))),
+    "day first": (["28.02.1987", "01/12/2001"], lambda v: date(*map(int, re.split(r"\D", v)[::-1]))),
+    "address": (["152.143.123.131", "10.0.0.1"], lambda v: all(int(p) < 256 and str(int(p)) == p for p in v.split("."))),
+    "phone": (["+1 (415) 555-2671", "+44 20 7946 0958"], lambda v: True),
+    "social": (["536-22-8765"], lambda v: True),
+    "card": (["4785380592391139", "4785 3805 9239 1139", "3782-822463-10005"], luhn),
+}
+
+
+@pytest.mark.parametrize("kind", VALUES)
+def test_pseudonyms_keep_the_format_and_link(spark, kind):
+    """A value has one pseudonym in all documents, of its own format, another one under another key."""
+    values, valid = VALUES[kind]
+    docs = [(10 * i + j, f"at {v}, {'x' * j} ({v}) end.") for i, v in enumerate(values) for j in range(3)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    made = pseudonyms.pseudonymise(frame, "first").collect()
+    other = {r["doc_id"]: r["text"] for r in pseudonyms.pseudonymise(frame, "second").collect()}
+    back = {r["doc_id"]: r["text"] for r in pseudonyms.pseudonymise(spark.createDataFrame(made), "first", back=True).collect()}
+    assert back == dict(docs)
+    for i, v in enumerate(values):
+        rows = [r for r in made if r["doc_id"] // 10 == i]
+        found = {m for r in rows for m in re.findall(r"at (.+?), x* ?\((.+)\) end", r["text"])}
+        new = {x for pair in found for x in pair}
+        assert len(new) == 1 and {r["n_replaced"] for r in rows} == {2}, (v, rows)
+        name = new.pop()
+        assert name != v and re.sub(r"\d+" if kind == "address" else r"\d", "#", name) == re.sub(r"\d+" if kind == "address" else r"\d", "#", v)
+        assert valid(name) and name not in other[10 * i]
+
+
+def test_pseudonyms_of_odd_texts(spark, hard_folder):
+    docs = spark.read.parquet(f"{hard_folder}/documents.parquet").withColumn("N_Replaced", F.lit("own"))
+    rows = pseudonyms.pseudonymise(docs, "key").collect()
+    assert sorted((r["doc_id"], r["text"] or "") for r in rows) == sorted((r[0], r[1] or "") for r in HARD)  # nothing to hide
+    assert {r["n_replaced"] for r in rows} == {0} and "N_Replaced" not in rows[0].__fields__
+    with pytest.raises(TypeError):
+        pseudonyms.pseudonymise(docs)
+
+
+def plain_best_fit(lengths, capacity):
+    """Best-fit-decreasing by trying every bin: bins used."""
+    room = []
+    for x in sorted(lengths, reverse=True):
+        fits = [i for i, r in enumerate(room) if r >= x]
+        if fits:
+            room[min(fits, key=lambda i: room[i])] -= x
+        else:
+            room.append(capacity - x)
+    return len(room)
+
+
+@pytest.mark.parametrize("shard_tokens", [6_000, 1 << 30])
+def test_matrices_use_the_rows_of_plain_best_fit(spark, tables, shard_tokens):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text")
+    shards = {}
+    for r in sequences.packed_matrices(docs, shard_tokens=shard_tokens).collect():
+        shards.setdefault(r["shard"], []).append(np.diff(r["cu_seqlens"]).tolist())
+    for rows in shards.values():
+        assert len(rows) == plain_best_fit([x for r in rows for x in r], 2048)
+
+
+def test_matrices_of_texts_that_share_an_id(spark):
+    """Ties go by the ids, whatever the order of the rows."""
+    docs = [(1, "same id, one text " * 9), (1, "same id, another text " * 9), (None, "no id"), (None, "no id at all"), (2, ""), (2, None)]
+    made = [sequences.packed_matrices(spark.createDataFrame(x, "doc_id long, text string")).collect() for x in (docs, docs[::-1])]
+    assert [r.asDict() for r in made[0]] == [r.asDict() for r in made[1]] and len(made[0][0]["doc_ids"]) == 6
+
+
 def test_toxicity_on_held_out_rows(spark):
     rng = np.random.default_rng(1)
     filler = ["".join(chr(97 + x) for x in rng.integers(0, 20, 6)) for _ in range(300)]
@@ -282,7 +371,7 @@ def test_empty_tables(spark, odd):
     assert toxicity.score(odd, toxicity.train(odd, labels)).filter("score != 0").count() == 0
     for made in (
         token_counts.count_tokens(empty), sequences.pack_best_two_fit(empty), sequences.packed_matrices(empty),
-        quality.judge(empty), line_dedup.remove_repeats(empty), pseudonyms.pseudonymise(empty),
+        quality.judge(empty), line_dedup.remove_repeats(empty), pseudonyms.pseudonymise(empty, "key"),
         suffix_dedup.remove_repeats(empty), jaccard_join.components(empty),
     ):
         assert made.count() == 0
@@ -364,6 +453,7 @@ def test_stages_keep_columns_named_like_findings(spark, hard_folder):
 
 def test_null_ids(spark):
     docs = spark.createDataFrame([(None, LINE), (None, LINE), (1, LINE), (None, None)], "doc_id long, text string")
-    assert len(jaccard_join.components(docs).collect()) == 4 and jaccard_join.drop_near_duplicates(docs).count() == 4
+    assert len(jaccard_join.components(docs).collect()) == 4
+    assert {tuple(r) for r in jaccard_join.drop_near_duplicates(docs).collect()} == {(1, LINE), (None, None)}
     assert suffix_dedup.remove_repeats(docs).count() == 4 and line_dedup.remove_repeats(docs).count() == 4
     assert sequences.pack_best_two_fit(docs).count() == 4 and toxicity.score(docs, None).count() == 4
