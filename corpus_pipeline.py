@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lodestock.llm import decontaminate, jaccard_join, pseudonyms, sequences, toxicity
 from lodestock.llm.batches import in_own_columns
+from lodestock.llm.queries import SAMPLE_KEY
 from lodestock.session import scratch_path
 
 # No SQL for the whole: tested against brute force.
@@ -24,7 +25,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays."""
+    """Of each group of near duplicates the document with the smallest id stays, of repeated rows one."""
     return jaccard_join.drop_near_duplicates(docs, SHINGLE_WORDS, SIMILAR_PERCENT)
 
 
@@ -34,8 +35,13 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Validated numbers and dates become pseudonyms; every document stays."""
-    return in_own_columns(docs, pseudonyms.COMPUTED, pseudonyms.pseudonymise)
+    """Validated numbers and dates become pseudonyms; every document stays.
+
+    The key is the session's ``lodestock.pseudonym.key``; without it a sample key
+    is used, which anyone who has this code can turn back.
+    """
+    key = spark.conf.get("lodestock.pseudonym.key", SAMPLE_KEY)
+    return in_own_columns(docs, pseudonyms.COMPUTED, lambda own: pseudonyms.pseudonymise(own, key))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
