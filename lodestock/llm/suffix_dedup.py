@@ -31,8 +31,8 @@ without an id, are documents in the order of their digests; shorter texts than
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +48,8 @@ HOT_SEED = 2_000
 BLOCK = 1 << 20
 BROADCAST_VALUES = 12_000_000
 LEAST_ID = -(1 << 63)
+# A run's shard is told apart up to 2^25; beyond as many shards, they grow.
+BASE_BITS = 25
 
 _RNG = np.random.default_rng(9)
 _BYTE = _RNG.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -144,14 +146,16 @@ def _segments(docs: DataFrame, size: int, shards: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text", BLOCK):
             rows = []
-            found = (block.column(c).to_pylist() for c in ("doc", "starts", "strings", "parts", "bases"))
-            for text, doc, *runs in zip(as_bytes(block.column("text")), *found, strict=True):
-                mark, length = zlib.crc32(doc), len(text)
-                for start, strings, many, base in zip(*runs, strict=True):
+            entries = block.column("entries")
+            ends, flat = np.diff(entries.offsets.to_numpy()), entries.flatten().to_numpy()
+            fields = ((flat >> 33 & 0x7FFFFFFF), (flat >> 26 & 127), (flat >> 1 & (1 << BASE_BITS) - 1) % shards, flat & 1 == 1)
+            runs = iter(zip(*(f.tolist() for f in fields), strict=True))
+            for text, doc, n in zip(as_bytes(block.column("text")), block.column("doc").to_pylist(), ends.tolist(), strict=True):
+                length = len(text)
+                for start, strings, shard, spread in islice(runs, n):
                     end = start + strings - 1 + size
                     if end <= length:  # not so only for another text of the same row hash
-                        part = hash((mark, start)) % many if many > 1 else 0
-                        rows.append((hash((base, part)) % shards, doc, start, many > 1, text[start:end]))
+                        rows.append((shard, doc, start, spread, text[start:end]))
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
@@ -319,6 +323,8 @@ def _joined_runs(removed: DataFrame) -> DataFrame:
 
 def removed_runs(docs: DataFrame, size: int = SIZE, shard_segments: int = SHARD_SEGMENTS, hot_seed: int = HOT_SEED) -> tuple[DataFrame, DataFrame]:
     """For (doc_id, text): documents that copy an earlier one whole, and removed byte runs of others."""
+    if not SEED < size < SEED + 127:
+        raise ValueError(f"strings must have {SEED + 1} to {SEED + 126} bytes")
     long = _keyed(docs.filter(F.octet_length("text") >= size))
     bare = F.max(F.col("doc_id").isNull())
     heads = long.groupBy("digest").agg(
@@ -334,15 +340,16 @@ def removed_runs(docs: DataFrame, size: int = SIZE, shard_segments: int = SHARD_
     often = seeds.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     often = cut_lineage(often.select("seed", F.ceil(F.col("n") / hot_seed).cast("int").alias("parts"), "n"))
     total = often.agg(F.sum("n")).first()[0] or 0
-    shards = max(1, -(-total // shard_segments))
+    shards = min(max(1, -(-total // shard_segments)), 1 << BASE_BITS)
     found = join_heads(seeds, often, ["seed"], "n", ["row", "start"])
-    base = F.pmod(F.xxhash64("seed"), F.lit((1 << 31) - 1)).cast("int").alias("base")
-    places = found.groupBy("row").agg(F.collect_list(F.struct("start", "strings", "parts", base)).alias("p"))
-    places = cut_lineage(
-        places.select("row", *[F.col(f"p.{c}").alias(f"{c}s" if c in ("start", "base") else c) for c in ("start", "strings", "parts", "base")])
-    )
+    # One number per run: its start, its strings, the shard's number, and whether the seed is in several shards.
+    part = F.when(F.col("parts") > 1, F.pmod(F.xxhash64("row", "start"), F.col("parts"))).otherwise(F.lit(0))
+    base = F.pmod(F.xxhash64("seed", part), F.lit(1 << BASE_BITS))
+    low = F.shiftleft(F.col("strings").cast("long"), 26).bitwiseOR(F.shiftleft(base, 1)).bitwiseOR((F.col("parts") > 1).cast("long"))
+    entry = F.shiftleft(F.col("start").cast("long"), 33).bitwiseOR(low)
+    places = cut_lineage(found.select("row", entry.alias("entry")).groupBy("row").agg(F.collect_list("entry").alias("entries")))
     release(seeds)
-    segments = _segments(_to_texts(alone, places, "starts", "row").filter("starts is not null"), size, shards)
+    segments = _segments(_to_texts(alone, places, "entries", "row").filter("entries is not null"), size, shards)
     results = cut_lineage(segments.groupBy("shard").applyInArrow(lambda t: _shard(t, size), REMOVED))
     release(heads, often, places)
     merged = _merged(results.filter("string is not null"))
