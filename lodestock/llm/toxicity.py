@@ -35,6 +35,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from array import array
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -169,7 +170,7 @@ class Units(dict):
 
     def read(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """Unit numbers of all texts in order, -1 after each sentence and each text, and where texts start."""
-        ids, starts = [], []
+        ids, starts = array("i"), []
         number = self.__getitem__
         for text in texts:
             starts.append(len(ids))
@@ -187,11 +188,11 @@ class Units(dict):
             tail[places] = _number(*np.hstack([short, codes])[:, -3:].T)
             head[places] = _number(*np.hstack([codes, short + END - START])[:, :3].T)
         self.norm, self.tail, self.head = (np.concatenate(x) for x in ((self.norm, norm), (self.tail, tail), (self.head, head)))
-        return np.array(ids, np.int64), np.array(starts, np.int64)
+        return np.array(ids, np.int32), np.array(starts, np.int64)
 
     def pairs(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places whose unit and the next one are in one sentence, and the numbers of the letters between."""
-        at = np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0))
+        at = np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0)).astype(np.int32)
         return at, self.tail[ids[at]] << 3 * BITS | self.head[ids[at + 1]]
 
 
@@ -215,12 +216,12 @@ def _svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-5,
         gram, right = ridge * weight.sum() * np.eye(size), np.zeros(size)
         for part in parts:
             rows = np.flatnonzero(active[part])
-            za = np.hstack([z[part][rows], np.ones((len(rows), 1))])
+            za = np.hstack([z[part][rows].astype(np.float64), np.ones((len(rows), 1))])
             weighted = za * weight[part][rows, None]
             gram += weighted.T @ za
             right += weighted.T @ y[part][rows]
         w = np.linalg.solve(gram, right)
-        now = y * (z @ w[:-1] + w[-1]) < 1
+        now = np.concatenate([y[part] * (z[part] @ w[:-1] + w[-1]) < 1 for part in parts])
         if (now == active).all():
             break
         active = now
@@ -235,19 +236,28 @@ class Sample:
         self.ids, self.starts = self.units.read(texts)
         self.ends = np.r_[self.starts[1:], len(self.ids)]
         self.at, keys = self.units.pairs(self.ids)
-        self.keys, self.key_of = np.unique(keys, return_inverse=True)
+        self.keys, key_of = np.unique(keys, return_inverse=True)
+        self.key_of = key_of.astype(np.int32)
         # Sentences: from after a -1 to the next one.
         self.stops = np.flatnonzero(self.ids < 0)
-        self.text_of = np.repeat(np.arange(len(texts)), self.ends - self.starts)
 
     def windows(self, places: np.ndarray, double: np.ndarray) -> np.ndarray:
         """(unit, next unit or -1) of the windows that begin at the places."""
         second = np.where(double, self.ids[np.minimum(places + 1, len(self.ids) - 1)], -1)
-        return np.stack([self.ids[places], second], axis=1)
+        return np.stack([self.ids[places], second], axis=1).astype(np.int64)
+
+    def pair_scores(self, units: np.ndarray, between: np.ndarray, norms: np.ndarray, least: float, chunk: int = 1 << 17) -> np.ndarray:
+        """For each pair the sums of both units and of the letters between them, over the root of its norm; in chunks."""
+        out = np.empty(len(self.at), np.float32)
+        for i in range(0, len(out), chunk):
+            at = self.at[i : i + chunk]
+            left, right = self.ids[at], self.ids[at + 1]
+            out[i : i + chunk] = (units[left] + units[right] + between[self.key_of[i : i + chunk]]) / np.sqrt(norms[left] + norms[right] + least)
+        return out
 
     def best(self, single: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The higher score at each place of its two windows, and whether that is the pair's."""
-        value = np.where(self.ids >= 0, single[self.ids], -np.inf)
+        value = np.r_[single, -np.inf].astype(np.float32)[self.ids]  # -1 reads the last one
         double = np.zeros(len(value), bool)
         double[self.at] = pair > value[self.at]
         value[self.at] = np.maximum(value[self.at], pair)
@@ -257,9 +267,7 @@ class Sample:
         """``best`` under a table of triple weights."""
         u = self.units
         raw, between = unit_sums(u.names, table), across_sums(self.keys, table)
-        left, right = self.ids[self.at], self.ids[self.at + 1]
-        pair = (raw[left] + raw[right] + between[self.key_of]) / np.sqrt(u.norm[left] + u.norm[right] + ACROSS_NORM)
-        return self.best(raw / np.sqrt(u.norm) + bias, pair + bias)
+        return self.best(raw / np.sqrt(u.norm) + bias, self.pair_scores(raw, between, u.norm, ACROSS_NORM) + np.float32(bias))
 
     def sentences(self, texts: np.ndarray, value: np.ndarray, most: int, least: float = -np.inf) -> np.ndarray:
         """Of each text, the places of the best windows of its highest ``most`` sentences above ``least``."""
@@ -329,10 +337,9 @@ class Sample:
         inner = _runs_inside(u.names)
         between = _runs_across(self.keys)
         seen = np.zeros((2, RUN_PLACES))
-        unit, pair = np.zeros((2, len(u.names))), {}
-        names = self.ids[self.at] * len(u.names) + self.ids[self.at + 1]
-        kinds, kind_of = np.unique(names, return_inverse=True)
-        pair = np.zeros((2, len(kinds)))
+        unit = np.zeros((2, len(u.names)))
+        kinds, kind_of = np.unique(self.ids[self.at].astype(np.int64) * len(u.names) + self.ids[self.at + 1], return_inverse=True)
+        kind_of, pair = kind_of.astype(np.int32), np.zeros((2, len(kinds)), np.float32)
         for label, texts in ((0, clean), (1, toxic)):
             for t in texts.tolist():
                 ids = np.unique(self.ids[self.starts[t] : self.ends[t]])
@@ -349,8 +356,7 @@ class Sample:
         value = np.where((surprise > 3) & (odds(seen) > 3), surprise, 0.0)
         total = np.array([value[r].sum() for r in inner])
         count = np.array([max(1, len(r)) for r in inner])
-        left, right = self.ids[self.at], self.ids[self.at + 1]
-        both = (total[left] + total[right] + value[between].sum(axis=1)[self.key_of]) / np.sqrt(count[left] + count[right] + between.shape[1])
+        both = self.pair_scores(total, value[between].sum(axis=1), count, between.shape[1])
         # A clean word may have a run of an insult.
         return np.where(odds(unit) > 1, total / np.sqrt(count), 0.0), np.where(odds(pair)[kind_of] > 1, both, 0.0)
 
@@ -402,7 +408,7 @@ def _fit_margins(sample: Sample, toxic: np.ndarray, clean: np.ndarray) -> Model:
             some = np.array([p for p in some if sample.ids[p] >= 0], np.int64)
             follows = np.isin(some, sample.at) & (np.arange(len(some)) % 2 == 0)
             negative = np.vstack([negative, sample.windows(some, follows)])
-            marks = np.vstack([sample.spread(_ranked(positive)[:800], LANDMARKS * 2 // 3), sample.spread(_ranked(negative)[:800], LANDMARKS // 3)])
+            marks = np.vstack([sample.spread(_ranked(positive)[:500], LANDMARKS * 2 // 3), sample.spread(_ranked(negative)[:500], LANDMARKS // 3)])
             marks = np.unique(marks, axis=0)
             own = sample.triples(marks)
             column = np.full(TRIPLES, -1, np.int32)
@@ -415,10 +421,12 @@ def _fit_margins(sample: Sample, toxic: np.ndarray, clean: np.ndarray) -> Model:
         same = {tuple(w) for w in positive.tolist()}
         negative = known[[tuple(w) not in same for w in known.tolist()]] if turn == 0 else known
         rows = np.vstack([positive, negative])
-        kernel = np.vstack([sample.features(rows[i : i + 500], column, len(own)) @ phi.T for i in range(0, len(rows), 500)])
+        mapped = np.empty((len(rows), whiten.shape[1]), np.float32)
+        for i in range(0, len(rows), 500):
+            mapped[i : i + 500] = sample.features(rows[i : i + 500], column, len(own)) @ phi.T @ whiten
         y = np.r_[np.ones(len(positive)), -np.ones(len(negative))]
         shares = np.r_[np.full(len(positive), 0.5 / len(positive)), np.full(len(negative), 0.5 / max(1, len(negative)))]
-        w = _svm(kernel @ whiten, y, shares)
+        w = _svm(mapped, y, shares)
         table = np.zeros(TRIPLES)
         table[own] = phi.T @ (whiten @ w[:-1])
         model = Model(table, float(w[-1]), 1.0, 0.0)
@@ -520,7 +528,7 @@ class _Scorer:
             return np.empty(0)
         self.raw = np.r_[self.raw, unit_sums(units.names[len(self.raw) :], model.table)]
         floor = np.full(1, -np.inf)
-        single = np.r_[self.raw / np.sqrt(units.norm), floor]  # -1 reads the last one
+        single = np.r_[self.raw / np.sqrt(units.norm), floor]
         value = single[ids]
         at, keys = units.pairs(ids)
         if len(at):
