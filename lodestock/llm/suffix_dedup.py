@@ -233,13 +233,12 @@ def _shard(table: pa.Table, size: int) -> pa.Table:
     bodies = table.column("bytes").to_pylist()
     spread = table.column("spread").to_numpy(zero_copy_only=False)
     order = np.lexsort((starts, docs))
-    out_doc, out_start, out_end, out_string = [], [], [], []
+    copied: list[int] = []
     first: dict[bytes, int] = {}
     for i in order.tolist():
         j = first.setdefault(bodies[i], i)
         if (docs[i], starts[i]) != (docs[j], starts[j]):  # a copy of an earlier segment: all of it goes
-            out_doc.append(int(docs[i])), out_start.append(int(starts[i])), out_end.append(int(starts[i]) + len(bodies[i]))
-            out_string.append(None)
+            copied.append(i)
     rows = np.array(list(first.values()))
     lengths = np.array([len(bodies[i]) for i in rows])
     ends = np.cumsum(lengths)
@@ -255,22 +254,37 @@ def _shard(table: pa.Table, size: int) -> pa.Table:
     lead = np.repeat(np.flatnonzero(head), np.diff(np.r_[np.flatnonzero(head), len(by)]))
     later = (doc[by] != doc[by[lead]]) | (start[by] != start[by[lead]])
     gone = by[later]
-    for d, s in zip(doc[gone].tolist(), start[gone].tolist(), strict=True):
-        out_doc.append(d), out_start.append(s), out_end.append(s + size), out_string.append(None)
-    for i in by[head & spread[seg[by]]].tolist():
-        p = int(places[i])
-        out_doc.append(int(doc[i])), out_start.append(int(start[i])), out_end.append(int(start[i]) + size)
-        out_string.append(data[p : p + size].tobytes())
+    sizes = np.array([len(bodies[i]) for i in copied], np.int64)
+    out_doc, out_start, out_end = joined_runs(
+        np.r_[docs[copied], doc[gone]], np.r_[starts[copied], start[gone]], np.r_[starts[copied] + sizes, start[gone] + size]
+    )
+    # Earliest strings of seeds that other shards have too.
+    heads = by[head & spread[seg[by]]]
+    strings = [None] * len(out_doc) + [data[p : p + size].tobytes() for p in places[heads].tolist()]
     return pa.table(
         {
-            "doc": pa.array(names, pa.binary()).take(pa.array(out_doc, pa.int64())),
-            "start": pa.array(out_start, pa.int32()),
-            "end": pa.array(out_end, pa.int32()),
-            "string": pa.array(out_string, pa.binary()),
+            "doc": pa.array(names, pa.binary()).take(pa.array(np.r_[out_doc, doc[heads]])),
+            "start": pa.array(np.r_[out_start, start[heads]].astype(np.int32)),
+            "end": pa.array(np.r_[out_end, start[heads] + size].astype(np.int32)),
+            "string": pa.array(strings, pa.binary()),
         }
     )
 
 
+def joined_runs(docs: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs (document, start, end) that overlap or touch, as one each."""
+    if not len(docs):
+        return docs, starts, ends
+    order = np.lexsort((starts, docs))
+    docs, starts, ends = docs[order], starts[order], ends[order]
+    base = docs * (int(ends.max()) + 1)  # so that the running maximum begins anew in each document
+    reach = np.maximum.accumulate(base + ends)
+    head = np.r_[True, (docs[1:] != docs[:-1]) | (base[1:] + starts[1:] > reach[:-1])]
+    at = np.flatnonzero(head)
+    last = np.r_[at[1:], len(docs)] - 1
+    return docs[at], starts[at], (reach - base)[last]
+
+
 def _merged(heads: DataFrame) -> DataFrame:
     """Strings that are not the first of their equals over all shards."""
     ranged = heads.repartitionByRange("string").sortWithinPartitions("string", "doc", "start")

@@ -145,6 +145,17 @@ def test_suffix_dedup(spark, tables):
     assert got(spark, "op9_suffix_array_dedup") == sorted(brute.removed_bytes(tables[0]))
 
 
+def test_runs_are_joined():
+    rng = np.random.default_rng(4)
+    docs, starts = rng.integers(0, 4, 200), rng.integers(0, 400, 200)
+    ends = starts + rng.integers(1, 12, 200)
+    covered = {(d, x) for d, a, b in zip(docs, starts, ends) for x in range(a, b)}
+    found = list(zip(*suffix_dedup.joined_runs(docs, starts, ends)))
+    assert {(d, x) for d, a, b in found for x in range(a, b)} == covered
+    assert all((d, b) not in covered and (d, a - 1) not in covered for d, a, b in found)
+    assert len(suffix_dedup.joined_runs(docs[:0], starts[:0], ends[:0])[0]) == 0
+
+
 def test_suffix_dedup_of_hot_seeds(spark):
     rng = np.random.default_rng(5)
     passage = "".join(chr(97 + x) for x in rng.integers(0, 26, 180))
