@@ -14,7 +14,11 @@ from ..sources.na_values import DEFAULT_NA_VALUES
 HTML_ENTITIES = {name: chr(code) for name, code in name2codepoint.items()} | {"nbsp": " ", "apos": "'"}
 ENTITY = "&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 LAST_CODE = 0x10FFFF
-
+# Replaced one after the other, the ampersand last so that nothing is decoded twice.
+COMMON = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&#39;": "'", "&copy;": "\u00a9", "&middot;": "\u00b7", "&amp;": "&"}
+OTHER_ENTITY = f"(?!{'|'.join(COMMON)}){ENTITY}"
+# The rest of a tag: quoted values, which may hold ``>``, only after an equals sign.
+TAG = r"""(?s)<[!/a-zA-Z](?:[^>"'=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|["'=])*+>"""
 
 
 def _col(c: Column | str) -> Column:
@@ -82,18 +86,25 @@ def html_to_text(c: Column | str) -> Column:
     """Text content of markup: scripts, comments and tags out, entities decoded."""
     out = F.regexp_replace(_col(c), r"(?is)<(script|style)\b.*?</\1\s*>", "")
     out = F.regexp_replace(out, r"(?s)<!--.*?-->", "")
-    out = F.regexp_replace(out, r"(?s)<[!/a-zA-Z][^>]*>", "")
+    out = F.regexp_replace(out, TAG, "")
     return decode_entities(out)
 
 
 def decode_entities(c: Column | str) -> Column:
-    """Named and numeric entities as their characters, each decoded once; unknown ones stay."""
+    """Named and numeric entities as their characters, each decoded once; unknown ones stay.
+
+    Most texts have only common entities, which plain replacement decodes; the
+    look-up in the whole table is for texts with others.
+    """
     c = _col(c)
+    simple = c
+    for entity, sign in COMMON.items():
+        simple = F.replace(simple, F.lit(entity), F.lit(sign))
     parts = F.split(c, ENTITY)
     names = F.regexp_extract_all(c, F.lit(ENTITY), F.lit(1))
     plain = F.transform(names, lambda n: F.coalesce(_entity(n), F.concat(F.lit("&"), n, F.lit(";"))))
     joined = F.array_join(F.flatten(F.zip_with(parts, plain, lambda p, e: F.array(p, F.coalesce(e, F.lit(""))))), "")
-    return F.when(c.contains("&"), joined).otherwise(c)
+    return F.when(~c.contains("&"), c).when(c.rlike(OTHER_ENTITY), joined).otherwise(simple)
 
 
 def _entity(name: Column) -> Column:

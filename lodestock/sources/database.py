@@ -51,9 +51,13 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str, batch_rows: int =
     writer.option("truncate", mode == "overwrite").mode(mode).save()
 
 
-def land_by_year(df: DataFrame, path: str, year_column: str) -> None:
-    """Land an extract partitioned by year, so later reads touch only their years."""
-    df.write.mode("overwrite").partitionBy(year_column).parquet(path)
+def land_by_year(df: DataFrame, path: str, year_column: str, files_per_year: int = 8) -> None:
+    """Land an extract partitioned by year, so later reads touch only their years.
+
+    Rows are dealt by year and a row hash: a year is a few files, not one of every task.
+    """
+    spread = df.repartition(F.col(year_column), F.pmod(F.xxhash64(*df.columns), F.lit(files_per_year)))
+    spread.write.mode("overwrite").partitionBy(year_column).parquet(path)
 
 
 def read_years(spark: SparkSession, path: str, year_column: str, years: Sequence[int]) -> DataFrame:

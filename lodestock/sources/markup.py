@@ -10,13 +10,61 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.text import html_to_text
 
 
-def _inner(text: Column, tag: str) -> Column:
+# The rest of a tag: quoted values, which may hold ``>``, only after an equals sign.
+ATTRIBUTES = r"""(?:[^>"'=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|["'=])*+"""
+ELEMENT = "struct<start: int, end: int, depth: int>"
+
+
+def elements(text: Column, tag: str) -> Column:
+    """The elements of a tag, in order of their beginnings: ``inner`` text, and ``depth`` inside others of the tag.
+
+    Opening and closing tags pair up by a running stack, so equal tags may lie in
+    each other.  Comments and CDATA sections are skipped; ``<tag/>`` is empty; an
+    element that is never closed ends with the text; a closing tag without an
+    opening one is ignored.
+    """
     name = re.escape(tag)
-    return F.regexp_extract_all(text, F.lit(rf"(?s)<{name}(?:\s[^>]*)?>(.*?)</{name}>"), F.lit(1))
+    mark = rf"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|</{name}\s*>|<{name}(?=[\s/>]){ATTRIBUTES}>"
+    marks = F.regexp_extract_all(text, F.lit(mark), F.lit(0))
+    pairs = F.arrays_zip(F.slice(F.split(text, mark), F.lit(1), F.size(marks)).alias("gap"), marks.alias("mark"))
+
+    def found(start: Column, end: Column, depth: Column) -> Column:
+        return F.struct(start.cast("int").alias("start"), end.cast("int").alias("end"), depth.cast("int").alias("depth")).cast(ELEMENT)
+
+    def step(acc: Column, pair: Column) -> Column:
+        begin = acc["at"] + F.length(pair["gap"])
+        after = begin + F.length(pair["mark"])
+        other, closing, empty = (pair["mark"].startswith("<!"), pair["mark"].startswith("</"), pair["mark"].endswith("/>"))
+        deep = F.size(acc["open"])
+        ends = closing & (deep > 0)
+        opened = F.when(other | empty, acc["open"]).when(~closing, F.concat(acc["open"], F.array(after.cast("int"))))
+        opened = opened.when(ends, F.slice(acc["open"], F.lit(1), deep - 1)).otherwise(acc["open"])
+        out = F.when(~other & empty, F.concat(acc["out"], F.array(found(after, after, deep))))
+        out = out.when(~other & ends, F.concat(acc["out"], F.array(found(F.element_at(acc["open"], -1), begin, deep - 1)))).otherwise(acc["out"])
+        return F.struct(after.cast("int").alias("at"), opened.alias("open"), out.alias("out"))
+
+    start = F.struct(
+        F.lit(0).alias("at"), F.array().cast("array<int>").alias("open"), F.array().cast(f"array<{ELEMENT}>").alias("out")
+    )
+    rest = lambda acc: F.transform(acc["open"], lambda at, i: found(at, F.length(text), i))
+    spans = F.aggregate(pairs, start, step, lambda acc: F.array_sort(F.concat(acc["out"], rest(acc))))
+    inner = lambda e: F.struct(F.substr(text, e["start"] + 1, e["end"] - e["start"]).alias("inner"), e["depth"].alias("depth"))
+    return F.transform(spans, inner)
+
+
+def _inner(text: Column, tag: str) -> Column:
+    return F.transform(elements(text, tag), lambda e: e["inner"])
+
+
+def _outer(text: Column, tag: str) -> Column:
+    return F.transform(F.filter(elements(text, tag), lambda e: e["depth"] == 0), lambda e: e["inner"])
 
 
 def feed_items(df: DataFrame, body: str, fields: Mapping[str, str], item: str = "item") -> DataFrame:
-    """One row per item; ``fields`` maps a tag to a column.  Absent tags are null."""
+    """One row per item, those inside others included; ``fields`` maps a tag to a column.
+
+    A column has its tag's first element in the item.  Absent tags are null.
+    """
     rest = [c for c in df.columns if c != body]
     items = df.select(*rest, F.posexplode(_inner(F.col(body), item)).alias("item_pos", "_item"))
     cells = [F.get(_inner(F.col("_item"), tag), F.lit(0)).alias(name) for tag, name in fields.items()]
@@ -24,8 +72,8 @@ def feed_items(df: DataFrame, body: str, fields: Mapping[str, str], item: str =
 
 
 def table_rows(df: DataFrame, body: str, names: Sequence[str]) -> DataFrame:
-    """Rows of HTML tables: the n-th cell of each row under the n-th name."""
+    """Rows of HTML tables: the n-th cell of each row under the n-th name; a table in a cell is part of the cell."""
     rest = [c for c in df.columns if c != body]
-    rows = df.select(*rest, F.posexplode(_inner(F.col(body), "tr")).alias("row_pos", "_row"))
-    cells = _inner(F.col("_row"), "td")
+    rows = df.select(*rest, F.posexplode(_outer(F.col(body), "tr")).alias("row_pos", "_row"))
+    cells = _outer(F.col("_row"), "td")
     return rows.select(*rest, "row_pos", *[html_to_text(F.get(cells, F.lit(i))).alias(n) for i, n in enumerate(names)])
