@@ -23,8 +23,13 @@ def stop_words(columns_in: str, column_out: str, words: list[str] | None = None)
     return StopWordsRemover(inputCol=columns_in, outputCol=column_out, stopWords=words, caseSensitive=True)
 
 
-def count_stages(column: str, vocabulary: int = 1 << 16, min_documents: float = 2.0) -> list[Estimator]:
-    """Counts over a vocabulary of bounded size, then inverse document weights."""
+def count_stages(column: str, vocabulary: int, min_documents: float) -> list[Estimator]:
+    """Counts over a vocabulary, then inverse document weights.
+
+    The vocabulary is kept on the driver, so the caller states how many tokens it
+    may have and in how many documents a token must be; ``hashed_stages`` and
+    ``document_frequencies`` have no such bounds.
+    """
     counts = CountVectorizer(inputCol=column, outputCol="term_counts", vocabSize=vocabulary, minDF=min_documents)
     return [counts, IDF(inputCol="term_counts", outputCol="features")]
 

@@ -58,5 +58,7 @@ def last_refresh(log: DataFrame, scope: str | None = None, data_area: str | None
         done = done.filter(F.col("scope") == scope)
     if data_area is not None:
         done = done.filter(F.col("data_area") == data_area)
-    w = Window.partitionBy("log_source", "data_area").orderBy(F.desc("entry_date"))
+    # Entries of one time: the larger count, then the later texts, so that one row always wins.
+    ties = [F.desc(c) for c in sorted(log.columns) if c not in ("log_source", "data_area", "entry_date")]
+    w = Window.partitionBy("log_source", "data_area").orderBy(F.desc("entry_date"), *ties)
     return done.withColumn("latest", F.row_number().over(w)).filter("latest = 1").drop("latest")

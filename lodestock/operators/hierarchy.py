@@ -1,4 +1,4 @@
-"""Bill-of-materials trees as repeated joins of an edge table."""
+"""Bill-of-materials trees as repeated joins of an edge table, or as one recursive query."""
 
 from __future__ import annotations
 
@@ -6,7 +6,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, release
+from .columns import quoted
 
 
 def flatten_tree(
@@ -70,3 +71,61 @@ def first_matching_level(
             "root", F.col("_c").alias("_node"), F.coalesce(name, F.when(F.col("_hit"), F.col("_c"))).alias(name)
         )
     return path.filter(F.col(name).isNotNull()).select("root", name).distinct()
+
+
+ROW_LIMIT = "spark.sql.cteRecursionRowLimit"
+
+
+def flatten_tree_recursive(
+    edges: DataFrame, roots: DataFrame, parent: str = "parent", child: str = "child", max_depth: int = 3
+) -> DataFrame:
+    """``flatten_tree`` as one ``WITH RECURSIVE`` query; the same rows.
+
+    A path never enters a node twice.  Spark stops a recursion at a million rows
+    unless told otherwise, so the result is written while that limit is lifted.
+    """
+    spark = edges.sparkSession
+    extra = [c for c in edges.columns if c not in (parent, child)]
+    steps = edges.select(
+        F.col(quoted(parent)).alias("_parent"), F.col(quoted(child)).alias("_child"), *[F.col(quoted(c)).alias(f"_x{i}") for i, c in enumerate(extra)]
+    )
+    names = "".join(f", _x{i}" for i in range(len(extra)))
+    taken = "".join(f", e._x{i}" for i in range(len(extra)))
+    statement = f"""
+        WITH RECURSIVE flat(root, _parent, _child, depth, path{names}) AS (
+            SELECT r.root, e._parent, e._child, 1, array(r.root, e._child){taken}
+            FROM {{roots}} r JOIN {{steps}} e ON e._parent = r.root WHERE e._child <> r.root
+            UNION ALL
+            SELECT f.root, e._parent, e._child, f.depth + 1, array_append(f.path, e._child){taken}
+            FROM flat f JOIN {{steps}} e ON e._parent = f._child
+            WHERE f.depth < {int(max_depth)} AND NOT array_contains(f.path, e._child))
+        SELECT root, _parent, _child, depth{names} FROM flat
+    """
+    before = spark.conf.get(ROW_LIMIT)
+    spark.conf.set(ROW_LIMIT, "-1")
+    try:
+        found = cut_lineage(spark.sql(statement, roots=roots.select("root"), steps=steps))
+    finally:
+        spark.conf.set(ROW_LIMIT, before)
+    return found.select(
+        "root", F.col("_parent").alias(parent), F.col("_child").alias(child), *[F.col(f"_x{i}").alias(c) for i, c in enumerate(extra)], "depth"
+    )
+
+
+def cyclic_edges(edges: DataFrame, parent: str = "parent", child: str = "child") -> DataFrame:
+    """Distinct edges that lie on a cycle, or lead from one cycle to another.
+
+    Edges from nodes that none enters, and into nodes that none leaves, are trimmed
+    until all that is left is entered and left again; a tree leaves nothing.  The
+    rounds are as many as the longest path to or from a cycle has edges.
+    """
+    left = cut_lineage(edges.select(F.col(quoted(parent)).alias("_p"), F.col(quoted(child)).alias("_c")).dropna().distinct())
+    size = left.count()
+    while size:
+        entered, leaving = left.select(F.col("_c").alias("_p")).distinct(), left.select(F.col("_p").alias("_c")).distinct()
+        before, left = left, cut_lineage(left.join(entered, "_p", "left_semi").join(leaving, "_c", "left_semi").select("_p", "_c"))
+        release(before)
+        size, earlier = left.count(), size
+        if size == earlier:
+            break
+    return left.select(F.col("_p").alias(parent), F.col("_c").alias(child))

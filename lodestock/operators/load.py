@@ -19,7 +19,8 @@ def write_version(df: DataFrame, path: str) -> None:
     """Replace a table: the new rows are written beside it and renamed into place.
 
     Until the rename the old table stays whole, so a failed write loses nothing,
-    and ``df`` may read the table that it replaces.
+    and ``df`` may read the table that it replaces.  Between the two renames a
+    reader finds no table.
     """
     spark = df.sparkSession
     base, tag = path.rstrip("/"), uuid.uuid4().hex
@@ -43,8 +44,18 @@ def full_refresh(df: DataFrame, path: str) -> None:
     write_version(df, path)
 
 
-def append_snapshot(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+def append_snapshot(df: DataFrame, path: str, load_id: str | None = None) -> None:
+    """Add rows to a table.
+
+    With a ``load_id`` the rows are a slice of their own, named by it in a column
+    ``load_id``: a load that is run again replaces what its first run had written
+    and adds nothing twice.  Without one a repeated call repeats the rows.
+    """
+    if load_id is None:
+        df.write.mode("append").parquet(path)
+        return
+    _folder_text(load_id)
+    replace_slice(df.withColumn("load_id", F.lit(load_id)), path, ["load_id"], cleared=[[load_id]])
 
 
 def replace_slice(
@@ -119,8 +130,9 @@ def load_table(
     categorical: Sequence[str] = (),
     truncate: bool = True,
     entry_date=None,
+    load_id: str | None = None,
 ) -> bool:
-    """Conform, check, write and audit.
+    """Conform, check, write and audit.  An appended load with a ``load_id`` may be run again.
 
     A contract error is audited, not raised; any other failure is audited and
     raised.
@@ -133,7 +145,7 @@ def load_table(
         if truncate:
             write_version(ready, path)
         else:
-            append_snapshot(ready, path)
+            append_snapshot(ready, path, load_id)
     except Exception as error:
         append_audit(error_row(spark, scope, log_source, data_area, error, entry_date), audit_path)
         if isinstance(error, ContractError):

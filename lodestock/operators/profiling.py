@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .columns import quoted
+from .quantiles import quantiles_of
 
 
 def column_profile(df: DataFrame) -> DataFrame:
@@ -61,58 +61,9 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
 
 
-def values_at_ranks(
-    values: DataFrame, ranks: Sequence[int], n: int, low: float, high: float, below: int = 0,
-    small: int = 1_000_000, buckets: int = 4096,
-) -> dict[int, float]:
-    """The values of the given ranks (from zero) in column ``v``.
-
-    ``n`` values lie between ``low`` and ``high`` and ``below`` values before
-    them.  While they are many, one pass counts them per equal-width bucket and
-    each rank goes on inside its bucket, as a range filter that reaches the
-    scan.  So no task ever holds the distinct values of the whole column.
-    """
-    if low == high:
-        return {r: low for r in ranks}
-    inside = values.filter((F.col("v") >= low) & (F.col("v") <= high))
-    if n <= small:
-        up_to = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        counts = inside.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-        ends = counts.withColumn("end", F.sum("n").over(up_to) + below)
-        found = ends.agg(*[F.min(F.when(F.col("end") > r, F.col("v"))) for r in ranks]).first()
-        return dict(zip(ranks, found))
-    # Scaled before subtracting, so that an extreme range cannot overflow.
-    share = (F.col("v") / buckets - low / buckets) / (high / buckets - low / buckets)
-    index = F.least(F.floor(share * buckets), F.lit(buckets - 1))
-    histogram = inside.groupBy(index.alias("i")).agg(
-        F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high")
-    )
-    # At most ``buckets`` rows reach this window.
-    before = Window.orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
-    running = histogram.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)) + below)
-    bucket = F.struct("start", "n", "low", "high")
-    holds = [(F.col("start") <= r) & (F.col("start") + F.col("n") > r) for r in ranks]
-    hits = running.agg(*[F.max(F.when(h, bucket)) for h in holds]).first()
-    out: dict[int, float] = {}
-    for hit in set(hits):
-        mine = [r for r, h in zip(ranks, hits) if h == hit]
-        out.update(values_at_ranks(values, mine, hit["n"], hit["low"], hit["high"], hit["start"], small, buckets))
-    return out
-
-
 def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float]) -> list[float | None]:
     """Exact interpolated quantiles of a numeric column; null and NaN are skipped."""
-    values = df.select(F.col(quoted(column)).cast("double").alias("v"))
-    values = values.filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    n, low, high = values.agg(F.count("v"), F.min("v"), F.max("v")).first()
-    if n == 0:
-        return [None] * len(probabilities)
-    places = [p * (n - 1) for p in probabilities]
-    ranks = sorted({math.floor(at) for at in places} | {math.ceil(at) for at in places})
-    found = values_at_ranks(values, ranks, n, low, high)
-    return [
-        found[math.floor(at)] + (found[math.ceil(at)] - found[math.floor(at)]) * (at - math.floor(at)) for at in places
-    ]
+    return quantiles_of(df, {column: probabilities})[column]
 
 
 def exact_quantile(df: DataFrame, column: str, p: float) -> float | None:
@@ -120,8 +71,8 @@ def exact_quantile(df: DataFrame, column: str, p: float) -> float | None:
 
 
 def fill_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Nulls replaced by their column's exact median."""
-    medians = {c: exact_quantile(df, c, 0.5) for c in columns}
+    """Nulls replaced by their column's exact median; all medians are found together."""
+    medians = {c: m for c, (m,) in quantiles_of(df, {c: [0.5] for c in columns}).items()}
     return df.fillna({c: m for c, m in medians.items() if m is not None})
 
 

@@ -11,13 +11,16 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import cut_lineage, release
+from .name_search import Groups, bucket_links
 
 WILDCARD = "\x00"
 STAR_BUDGET = 2
 FORM_BATCH = 64
+CELL_NAMES = 20_000
 
 
 def edit_budget(length: int, threshold: int) -> int:
@@ -105,8 +108,8 @@ def long_name_edges(names: DataFrame, threshold: int) -> DataFrame:
     any ``b + 1`` parts does.  Only its ``b + 1`` rarest parts are indexed: a
     prefix shared by a third of all names is a key for none of them, as long as
     it fills less than half of the name.  The longer name looks up every part a
-    name of each length in reach could leave in it.  Pairs that meet are
-    checked by edit distance.
+    name of each length in reach could leave in it.  Names that meet are
+    searched in a trie, which gives a dense group about as many edges as names.
     """
     length, budget = F.col("length"), F.col("budget")
     sized = names.select("name", F.length("name").alias("length"))
@@ -144,14 +147,52 @@ def long_name_edges(names: DataFrame, threshold: int) -> DataFrame:
         "part",
         _piece(F.col("name"), length, parts, F.col("part"), F.col("move")).alias("piece"),
     )
-    pairs = (
-        probe.join(index.select(F.col("name").alias("b"), *key), key)
-        .filter(F.col("a") != F.col("b"))
-        .select("a", "b")
-        .distinct()
-    )
-    reach = F.floor(F.greatest(F.length("a"), F.length("b")) * loss / 100)
-    return pairs.filter(F.levenshtein("a", "b") <= reach)
+    return _bucket_edges(
+        index.select(F.col("name"), *key).withColumn("asks", F.lit(False)).unionByName(
+            probe.select(F.col("a").alias("name"), *key).withColumn("asks", F.lit(True))
+        ),
+        key, threshold,
+    )
+
+
+def _bucket_edges(entries: DataFrame, key: list[str], threshold: int, most: int = CELL_NAMES) -> DataFrame:
+    """Edges between the searching names (``asks``) of each bucket and its indexed ones.
+
+    Buckets share tasks by hash.  A bucket beyond ``most`` names on a side is cut in
+    parts; every part of its index meets every part of its searches in a cell of
+    its own, so no task holds a whole hot bucket.
+    """
+    cores = entries.sparkSession.sparkContext.defaultParallelism
+    entries = cut_lineage(entries.distinct().withColumn("bucket", F.xxhash64(*key)))
+    sizes = entries.groupBy("bucket").agg(F.count_if(F.col("asks")).alias("_asked"), F.count_if(~F.col("asks")).alias("_held"))
+    # A bucket is of use if both sides have names; most have one name that meets only itself.
+    sizes = cut_lineage(sizes.filter("_asked > 0 AND _held > 0 AND _asked + _held > 2"))
+    parts = lambda c: F.ceil(F.col(c) / most).cast("int")
+    used = entries.join(sizes.select("bucket", parts("_held").alias("_rows"), parts("_asked").alias("_columns")), "bucket")
+    own = lambda c: F.array(F.pmod(F.xxhash64("name"), F.col(c)).cast("int"))
+    every = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
+    spread = used.withColumn("_row", F.explode(F.when(F.col("asks"), every("_rows")).otherwise(own("_rows"))))
+    spread = spread.withColumn("_column", F.explode(F.when(F.col("asks"), own("_columns")).otherwise(every("_columns"))))
+    total = sizes.agg(F.sum(F.col("_asked") + F.col("_held"))).first()[0] or 0
+    tasks = max(cores, -(-total // most))
+    alone = (F.col("_rows") == 1) & (F.col("_columns") == 1)
+    cell = F.when(alone, F.struct(F.pmod("bucket", F.lit(tasks)).alias("a"), F.lit(0).alias("b"), F.lit(0).alias("c")))
+    cell = cell.otherwise(F.struct(F.col("bucket").alias("a"), (F.col("_row") + 1).alias("b"), F.col("_column").alias("c")))
+
+    def reach(name: str) -> int:
+        return edit_budget(len(name), threshold)
+
+    def run(table: pa.Table) -> pa.Table:
+        buckets: dict[int, tuple[list[str], list[str]]] = {}
+        for bucket, name, asks in zip(*(table.column(c).to_pylist() for c in ("bucket", "name", "asks")), strict=True):
+            buckets.setdefault(bucket, ([], []))[asks].append(name)
+        groups, edges = Groups(), []
+        for held, asked in buckets.values():
+            edges += bucket_links(sorted(asked), sorted(held), reach, groups)
+        a, b = zip(*edges, strict=True) if edges else ((), ())
+        return pa.table({"a": pa.array(a, pa.string()), "b": pa.array(b, pa.string())})
+
+    return spread.select("bucket", "name", "asks", cell.alias("_cell")).groupBy("_cell").applyInArrow(run, "a string, b string")
 
 
 def similar_edges(names: DataFrame, threshold: int = 90) -> DataFrame:

@@ -23,8 +23,10 @@ def price_column_labels(cells: DataFrame, prices: DataFrame) -> DataFrame:
     ``cells``: document, table, row, column, value; ``prices``: item, price.
     """
     rows = [*TABLE, "row"]
-    named = cells.join(prices, F.col("value") == F.col("item")).select(*rows, "price")
-    votes = cells.join(named, rows).filter(money("value") == F.col("price")).select(*TABLE, "column")
+    named = cells.join(prices, F.col("value") == F.col("item")).select(*rows, F.col("price").alias("_money"))
+    # Only cells that are money can vote, and they meet a price of their row by its value.
+    amounts = cells.select(*rows, "column", money("value").alias("_money")).filter("_money IS NOT NULL")
+    votes = amounts.join(named, [*rows, "_money"]).select(*TABLE, "column")
     winners = most_frequent(votes, TABLE, "column").select(*TABLE, F.col("column").alias("winner"))
     columns = distinct_counts(cells, [*TABLE, "column"], "value", "n_values")
     label = (

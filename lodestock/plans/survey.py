@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.columns import quoted
+from ..session import known_size
 
 # The agreement scale.
 AGREEMENT = {
@@ -42,22 +43,24 @@ def decode_answers(
 ) -> DataFrame:
     """Codes to labels, in place.
 
-    The labels are as many as the survey has choices, so they travel as one
-    map, fetched by a scalar subquery; the answers are never shuffled.
+    The labels of a question are joined to its column by code, so a survey may have
+    any number of choices; of two labels for one code the first by text counts.
     ``other_text`` names the text column that answers a question's "other"
     code.  A blank stays blank; an unknown code becomes ``unknown``.
     """
-    entry = F.struct(F.concat("question", F.lit("|"), "code"), "label")
-    lookup = labels.agg(F.map_from_entries(F.collect_list(entry)).alias("m")).scalar()
+    known = known_size(labels.groupBy("question", "code").agg(F.min("label").alias("label")))
     decoded = {}
-    for column in choice_columns:
-        c = F.col(quoted(column))
-        label = F.coalesce(F.try_element_at(lookup, F.concat(F.lit(column.split(" ")[0] + "|"), c)), F.lit(unknown))
+    for i, column in enumerate(choice_columns):
+        c, label = F.col(quoted(column)), f"_label_{i}"
+        own = known.filter(F.col("question") == column.split(" ")[0]).select(F.col("code").alias(f"_code_{i}"), F.col("label").alias(label))
+        answers = answers.join(own, c == F.col(f"_code_{i}"), "left").drop(f"_code_{i}")
+        text_of = F.coalesce(F.col(label), F.lit(unknown))
         for (question, code), text in other_text.items():
             if question == column:
-                label = F.when(c == code, F.col(quoted(text))).otherwise(label)
-        decoded[column] = F.when(c.isNotNull(), label)
+                text_of = F.when(c == code, F.col(quoted(text))).otherwise(text_of)
+        decoded[column] = F.when(c.isNotNull(), text_of)
     scale = F.create_map(*[F.lit(x) for pair in AGREEMENT.items() for x in pair])
     for column in agreement_columns:
         decoded[column] = F.try_element_at(scale, F.col(quoted(column)))
-    return answers.withColumns(decoded).drop(*other_text.values())
+    labelled = [f"_label_{i}" for i in range(len(choice_columns))]
+    return answers.withColumns(decoded).drop(*other_text.values(), *labelled)

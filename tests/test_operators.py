@@ -1,10 +1,12 @@
+import math
 import random
 
 import pytest
 from support import rows
+import numpy as np
 from pyspark.sql import functions as F, types as T
 
-from lodestock.operators import aggregates, columns as cols, contract, hierarchy, joins, lists, load, picks, profiling, reshape
+from lodestock.operators import aggregates, columns as cols, contract, hierarchy, joins, lists, load, picks, profiling, quantiles, reshape
 from lodestock.operators import rows as row_ops, scopes
 from lodestock.operators.similarity import connected_components, edit_budget, group_similar
 from lodestock.session import scratch_path
@@ -277,15 +279,30 @@ def test_scopes(spark):
 # --- quantiles and similarity ---------------------------------------------
 
 
-def test_exact_quantiles_while_narrowing(spark):
+def test_exact_quantiles_of_several_columns(spark):
     random.seed(4)
-    values = [random.choice([0.0, 1e12, random.random()]) for _ in range(999)]
-    df = frame(spark, "x double", *[(v,) for v in values])
-    ordered = sorted(values)
-    got = profiling.values_at_ranks(df.select(F.col("x").alias("v")), [0, 300, 500, 501, 998], 999, ordered[0], ordered[-1], small=10, buckets=8)
-    assert got == {r: ordered[r] for r in (0, 300, 500, 501, 998)}
+    values = [random.choice([0.0, -0.0, 1e300, -5e-324, 1e12, random.random(), -random.random() * 1e9]) for _ in range(999)]
+    df = frame(spark, "x double, n long, none double", *[(v if i % 50 else None, i, None) for i, v in enumerate(values)])
+    ordered = sorted(v for i, v in enumerate(values) if i % 50)
+
+    def plain(p):
+        at = p * (len(ordered) - 1)
+        a, b = math.floor(at), math.ceil(at)
+        return ordered[a] + (ordered[b] - ordered[a]) * (at - a)
+
+    shares = [0.0, 0.001, 0.25, 0.5, 0.731, 1.0]
+    got = quantiles.quantiles_of(df.repartition(5), {"x": shares, "n": [0.5], "none": [0.1, 0.9]})
+    assert got == {"x": [plain(p) for p in shares], "n": [499.0], "none": [None, None]}
     even = frame(spark, "x double", (1.0,), (2.0,), (4.0,), (9.0,), (None,), (float("nan"),))
     assert profiling.exact_quantiles(even, "x", [0.5, 1.0]) == [3.0, 9.0]
+    assert quantiles.quantiles_of(even.limit(0), {"x": [0.5]}) == {"x": [None]}
+
+
+def test_keys_of_doubles_keep_their_order():
+    values = np.array([-np.inf, -1e308, -1.5, -1.0, -5e-324, 0.0, 5e-324, 1.0, 1.5, np.inf])
+    keys = quantiles.ordered_keys(values)
+    assert (np.diff(keys.astype(object)) > 0).all() and [quantiles.value_of(int(k)) for k in keys] == values.tolist()
+    assert quantiles.ordered_keys(np.array([-0.0])) == quantiles.ordered_keys(np.array([0.0]))
 
 
 def _edits(a, b):
