@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import hierarchy, joins, picks, scopes
+from ..operators import asof, hierarchy, joins, picks, scopes
 from ..operators.similarity import group_similar
 from ..plans.lateness import late_lines_by_supplier
 from ..session import known_size
@@ -295,6 +295,28 @@ def tree_edges(spark, sf):
     return nation.unionByName(supplier).unionByName(parts)
 
 
+@query(
+    "values_at_last_known_rates",
+    "O-64 O-19",
+    """
+    WITH r AS (SELECT l_suppkey % 5 AS area, CAST(l_shipdate AS DATE) AS day, CAST(count(*) AS INTEGER) AS rate FROM lineitem
+               WHERE day(l_shipdate) = 1 GROUP BY ALL),
+    o AS (SELECT o_orderkey, o_custkey % 5 AS area, CAST(o_orderdate AS DATE) AS day, o_totalprice FROM orders)
+    SELECT o_orderkey, rate, round(o_totalprice * rate, 2) AS value
+    FROM o ASOF LEFT JOIN r ON o.area = r.area AND o.day >= r.day
+    """,
+)
+def values_at_last_known_rates(spark, sf):
+    """Order values at the rate that was in force on the day: the last one set on or before it."""
+    lines = table(spark, sf, "lineitem", "l_suppkey", "l_shipdate").filter(F.dayofmonth("l_shipdate") == 1)
+    rates = lines.groupBy((F.col("l_suppkey") % 5).alias("area"), F.to_date("l_shipdate").alias("day")).agg(F.count(F.lit(1)).cast("int").alias("rate"))
+    orders = table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice").select(
+        "o_orderkey", (F.col("o_custkey") % 5).alias("area"), F.to_date("o_orderdate").alias("day"), "o_totalprice"
+    )
+    valued = asof.as_of_join(orders, rates, ["area"], "day", "day", ["rate"], strict=False)
+    return valued.select("o_orderkey", "rate", F.round(F.col("o_totalprice") * F.col("rate"), 2).alias("value"))
+
+
 @query(
     "flattened_tree",
     "O-65",
@@ -311,6 +333,42 @@ def flattened_tree(spark, sf):
     return hierarchy.flatten_tree(tree_edges(spark, sf), roots).distinct()
 
 
+@query(
+    "tree_by_recursion",
+    "O-65",
+    "WITH RECURSIVE" + TREE_SQL + """,
+    flat AS (
+      SELECT parent AS root, parent, child, qty, 1 AS depth FROM edges WHERE parent IN (SELECT 'R' || r_regionkey FROM region)
+      UNION ALL
+      SELECT f.root, e.parent, e.child, e.qty, f.depth + 1 FROM flat f JOIN edges e ON e.parent = f.child WHERE f.depth < 3)
+    SELECT DISTINCT root, parent, child, qty, depth FROM flat
+    """,
+)
+def tree_by_recursion(spark, sf):
+    roots = table(spark, sf, "region", "r_regionkey").select(F.concat(F.lit("R"), "r_regionkey").alias("root"))
+    return hierarchy.flatten_tree_recursive(tree_edges(spark, sf), roots).distinct()
+
+
+@query(
+    "cycles_in_part_links",
+    "O-65",
+    """
+    WITH RECURSIVE e AS (
+      SELECT p_partkey AS parent, p_partkey // 10 * 10 + (p_partkey % 10 * (p_partkey % 10) + 1) % 10 AS child FROM part WHERE p_partkey % 7 <> 3
+      UNION ALL SELECT p_partkey, -p_partkey FROM part),
+    r AS (SELECT parent, child FROM e UNION SELECT r.parent, e.child FROM r JOIN e ON r.child = e.parent)
+    SELECT DISTINCT e.parent, e.child FROM e JOIN r ON r.parent = e.child AND r.child = e.parent
+    """,
+)
+def cycles_in_part_links(spark, sf):
+    """Parts that name each other in rings of their ten, with tails and leaves; some rings are broken."""
+    parts = table(spark, sf, "part", "p_partkey").select(F.col("p_partkey").alias("parent"))
+    own = F.col("parent") % 10
+    ring = parts.filter("parent % 7 <> 3").withColumn("child", F.expr("parent div 10 * 10") + (own * own + 1) % 10)
+    leaves = parts.withColumn("child", -F.col("parent"))
+    return hierarchy.cyclic_edges(ring.unionByName(leaves))
+
+
 @query(
     "first_wanted_level",
     "O-66",

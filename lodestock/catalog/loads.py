@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F, types as T
 
-from ..operators import audit, columns as cols, contract, load
+from ..operators import asof, audit, columns as cols, contract, load
 from ..session import scratch_path
 from ..streaming.pickup import pick_up_new_files, replace_slices
 from .registry import day_text, query, table
@@ -202,6 +202,37 @@ def ids_filled_from_earlier_records(spark, sf):
     return filled.select("o_orderkey", "o_orderpriority")
 
 
+@query(
+    "ids_filled_as_of_each_date",
+    "O-19",
+    """
+    WITH e AS (SELECT event_id, user_id, ts, CASE WHEN event_type = 'view' THEN NULL ELSE event_type END AS kind FROM events)
+    SELECT event_id, coalesce(kind, (SELECT max(struct_pack(ts := h.ts, id := h.event_id, kind := h.kind)).kind FROM e h
+      WHERE h.user_id = e.user_id AND h.ts < e.ts AND h.kind IS NOT NULL)) AS kind FROM e
+    """,
+)
+def ids_filled_as_of_each_date(spark, sf):
+    """Missing kinds from the user's latest earlier event, for all report times in one run."""
+    kind = F.when(F.col("event_type") != "view", F.col("event_type")).alias("kind")
+    events = table(spark, sf, "events", "event_id", "user_id", "ts", "event_type").select("event_id", "user_id", "ts", kind)
+    return asof.fill_as_of(events, events, ["user_id"], "kind", "ts", "ts", tie=["event_id"]).select("event_id", "kind")
+
+
+@query(
+    "appended_twice_under_one_id",
+    "O-13 O-09",
+    "SELECT o_orderstatus, count(*) AS orders, 'week-1' AS load_id FROM orders GROUP BY 1 UNION ALL SELECT 'F', count(*), 'week-2' FROM orders WHERE o_orderstatus = 'F'",
+)
+def appended_twice_under_one_id(spark, sf):
+    """A load that is run again after a failure adds nothing twice."""
+    path, orders = scratch_path(spark, "appended"), table(spark, sf, "orders", "o_orderkey", "o_orderstatus")
+    load.append_snapshot(orders, path, load_id="week-1")
+    load.append_snapshot(orders.filter("o_orderstatus = 'F'"), path, load_id="week-2")
+    load.append_snapshot(orders, path, load_id="week-1")
+    read = spark.read.option("partitionOverwriteMode", "dynamic").parquet(path)
+    return read.groupBy("o_orderstatus", F.col("load_id").cast("string").alias("load_id")).agg(F.count(F.lit(1)).alias("orders"))
+
+
 @query(
     "nulls_updated_after_load",
     "O-20",

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -16,7 +17,7 @@ from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
 from ..functions.numbers import box_cox
-from ..ml import features, models, text as words
+from ..ml import features, models, stems, text as words
 from ..operators import profiling
 from ..session import cut_wide, scratch_path
 from ..sources.delimited import write_csv
@@ -267,6 +268,87 @@ def lateness_grid_search(spark, sf):
     return models.confusion(best.transform(test))
 
 
+RULE_COLUMNS = ["l_quantity", "is_returned"]
+LEARNERS = {
+    "random_forest": {"numTrees": 5, "maxDepth": 4, "featureSubsetStrategy": "all"},
+    "logistic": {"maxIter": 60},
+    "decision_tree": {"maxDepth": 3},
+    "linear_svm": {"maxIter": 60},
+    "boosting": {"maxIter": 5, "maxDepth": 3},
+}
+
+
+def _rule_parts(spark, sf):
+    """Order lines labelled by a rule that every classifier can express, in a training and a held-out part."""
+    lines = table(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
+    returned = (F.col("l_returnflag") == "R").cast("double")
+    label = ((F.col("l_quantity") > 20) | (F.col("l_returnflag") == "R")).cast("double")
+    df = lines.select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("double").alias("l_quantity"), returned.alias("is_returned"), label.alias("label"))
+    vectors = VectorAssembler(inputCols=RULE_COLUMNS, outputCol="features").transform(df)
+    train, test = features.train_test(vectors, ["l_orderkey", "l_linenumber"], 0.7, seed=5)
+    return cut_wide(train), cut_wide(test)
+
+
+RULE_TEST_SQL = f"""
+    WITH t AS (SELECT CAST(l_quantity > 20 OR l_returnflag = 'R' AS DOUBLE) AS label FROM lineitem
+               WHERE {SHARE_SQL.format(key="CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR)", seed=5)} >= 0.7)
+"""
+
+
+@query(
+    "rule_learned_by_classifiers",
+    "O-107 O-108 O-102",
+    RULE_TEST_SQL
+    + f"""
+    SELECT unnest([{", ".join(f"'{k}'" for k in sorted(LEARNERS))}]) AS model, (SELECT count(*) FROM t) AS rows, true AS learned
+    """,
+)
+def rule_learned_by_classifiers(spark, sf):
+    """Each classifier, on held-out lines: at least 99 of 100 by the rule it was shown."""
+    train, test = _rule_parts(spark, sf)
+    cards = []
+    for kind, params in sorted(LEARNERS.items()):
+        card = models.score_card(models.classifier(kind, **params).fit(train).transform(test))
+        learned = (F.col("accuracy") >= 0.99) & (F.col("precision") >= 0.98) & (F.col("recall") >= 0.98)
+        cards.append(card.select(F.lit(kind).alias("model"), "rows", learned.alias("learned")))
+    return reduce(lambda a, b: a.unionByName(b), cards)
+
+
+@query(
+    "class_means_of_naive_bayes",
+    "O-107",
+    """
+    WITH t AS (SELECT CAST(l_returnflag = 'R' AS INTEGER) AS label, l_quantity, l_discount, l_tax FROM lineitem),
+    m AS (SELECT label, count(*) AS n, avg(l_quantity) AS a, var_pop(l_quantity) AS va, avg(l_discount) AS b, var_pop(l_discount) AS vb, avg(l_tax) AS c, var_pop(l_tax) AS vc FROM t GROUP BY 1),
+    u AS (SELECT label, n, unnest(['l_quantity', 'l_discount', 'l_tax']) AS feature, unnest([a, b, c]) AS mean, unnest([va, vb, vc]) AS variance FROM m)
+    SELECT label, feature, round(n / (SELECT count(*) FROM t), 9) AS prior, round(mean, 7) AS mean, round(variance, 5) AS variance FROM u
+    """,
+)
+def class_means_of_naive_bayes(spark, sf):
+    """What the fitted model holds: the share of each class, and mean and variance of each feature in it."""
+    columns = ["l_quantity", "l_discount", "l_tax"]
+    lines = table(spark, sf, "lineitem", "l_returnflag", *columns).withColumn("label", (F.col("l_returnflag") == "R").cast("double"))
+    vectors = VectorAssembler(inputCols=columns, outputCol="features").transform(lines)
+    model = models.classifier("naive_bayes", modelType="gaussian").fit(vectors)
+    pi, theta, sigma = model.pi.toArray(), model.theta.toArray(), model.sigma.toArray()
+    # Spark adds a share of the largest variance to each, which the oracle does not have.
+    rows = [
+        (label, c, round(float(np.exp(pi[label])), 9), round(float(theta[label, i]), 7), round(float(sigma[label, i]), 5))
+        for label in (0, 1) for i, c in enumerate(columns)
+    ]
+    return spark.createDataFrame(rows, "label int, feature string, prior double, mean double, variance double")
+
+
+@query("grid_search_finds_the_rule", "O-110", RULE_TEST_SQL + "SELECT label, label AS prediction, count(*) AS n FROM t GROUP BY 1")
+def grid_search_finds_the_rule(spark, sf):
+    """Of trees too shallow and deep enough for the rule, folds choose one that makes no mistake."""
+    train, test = _rule_parts(spark, sf)
+    tree = models.classifier("decision_tree", seed=1)
+    grid = ParamGridBuilder().addGrid(tree.maxDepth, [1, 3]).addGrid(tree.maxBins, [64]).build()
+    best = models.grid_search(train, [tree], grid, ["l_orderkey", "l_linenumber"], folds=2)
+    return models.confusion(best.transform(test))
+
+
 OPEN_THRESHOLD = 0.44
 
 
@@ -335,6 +417,14 @@ def token_counts(spark, sf):
     return kept.select("doc_id", F.size("kept").cast("long").alias("tokens"), F.size(F.array_distinct("kept")).cast("long").alias("kinds"))
 
 
+@query("stem_weights", "O-113")
+def stem_weights(spark, sf):
+    """Documents and weight of every stem, stop words left out; tested against a plain version."""
+    df = table(spark, sf, "documents", "doc_id", "text").select("doc_id", words.tokens(F.lower("text")).alias("tokens"))
+    kept = words.stop_words("tokens", "kept").transform(df)
+    return stems.stem_frequencies(kept, "doc_id", "kept").withColumn("weight", F.round("weight", 9))
+
+
 @query(
     "token_weights",
     "O-113",

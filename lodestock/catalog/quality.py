@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F, types as T
 
 from ..operators import contract, profiling
+from ..operators.quantiles import quantiles_of
 from .registry import query, table
 
 LINE_TARGET = T.StructType(
@@ -112,3 +113,22 @@ def line_quantiles(spark, sf):
 def line_correlations(spark, sf):
     names = ["l_quantity", "l_extendedprice", "l_discount"]
     return profiling.correlations(table(spark, sf, "lineitem", *names), names).withColumn("r", F.round("r", 9))
+
+
+QUANTILE_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@query(
+    "quantiles_of_all_columns",
+    "O-54 O-36",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, unnest([0.0, 0.1, 0.5, 0.9, 1.0])::DOUBLE AS p, round(unnest(quantile_cont({c}, [0.0, 0.1, 0.5, 0.9, 1.0])), 6)::DOUBLE AS value FROM lineitem"
+        for c in QUANTILE_COLUMNS
+    ),
+)
+def quantiles_of_all_columns(spark, sf):
+    """All ranks of all columns in the same four readings of the table."""
+    shares = [0.0, 0.1, 0.5, 0.9, 1.0]
+    found = quantiles_of(table(spark, sf, "lineitem", *QUANTILE_COLUMNS), {c: shares for c in QUANTILE_COLUMNS})
+    rows = [(c, p, round(v, 6)) for c, values in found.items() for p, v in zip(shares, values, strict=True)]
+    return spark.createDataFrame(rows, "column_name string, p double, value double")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import load
-from ..sources import database, delimited, documents, incremental, markup, records
+from ..sources import database, delimited, documents, incremental, markup, paged, records
 from ..session import scratch_path
 from .registry import query, table
 
@@ -55,6 +55,33 @@ def sheet_with_numbered_rows(spark, sf):
     )
 
 
+@query(
+    "sheets_with_quoted_lines",
+    "O-01 O-02",
+    """
+    SELECT p_brand AS brand, count(*) AS parts, CAST(sum(length(p_name) + length(p_type) + 3) AS BIGINT) AS note_chars,
+           CAST(sum(CASE WHEN p_partkey % 2 = 0 THEN p_size END) AS BIGINT) AS sizes, max(md5(p_name || chr(10) || p_type || ' "x')) AS last_note
+    FROM part GROUP BY 1
+    """,
+)
+def sheets_with_quoted_lines(spark, sf):
+    """Two files of one folder with their columns in another order; notes hold line breaks and quotes."""
+    note = F.concat("p_name", F.lit("\n"), "p_type", F.lit(' "x'))
+    df = table(spark, sf, "part", "p_partkey", "p_name", "p_type", "p_brand", "p_size")
+    path = scratch_path(spark, "quoted")
+    even = df.filter("p_partkey % 2 = 0").select(F.col("p_brand").alias("Brand"), note.alias("Note"), F.col("p_size").alias("Size"))
+    odd = df.filter("p_partkey % 2 = 1").select(note.alias("Note"), F.col("p_brand").alias("Brand"))
+    for part, name in ((even, "even"), (odd, "odd")):
+        part.write.option("header", True).option("escape", '"').option("quoteAll", True).csv(f"{path}/{name}")
+    sheet = delimited.read_sheet(spark, f"{path}/*/*.csv")
+    return sheet.groupBy(F.col("Brand").alias("brand")).agg(
+        F.count(F.lit(1)).alias("parts"),
+        F.sum(F.length("Note") - 1).cast("long").alias("note_chars"),
+        F.sum(F.col("Size").try_cast("long")).alias("sizes"),
+        F.max(F.md5("Note")).alias("last_note"),
+    )
+
+
 @query(
     "query_over_views",
     "O-03",
@@ -128,6 +155,45 @@ def pages_merged_on_key(spark, sf):
     return merged.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"), F.round(F.sum("value"), 2).alias("total"))
 
 
+PAGES_SQL = """
+    SELECT event_type, count(*) AS events, round(sum(value), 2) AS total, count(DISTINCT event_id // 500) AS pages FROM events GROUP BY 1
+"""
+
+
+def _land_pages(spark, sf, path, first=None, last=None):
+    """Events as the pages of a service, 500 records each."""
+    page = (F.floor(F.col("event_id") / 500) + 1).alias("page")
+    events = table(spark, sf, "events", "event_id", "event_type", "value")
+    bodies = events.groupBy(page).agg(F.to_json(F.struct(F.collect_list(F.struct("event_id", "event_type", "value")).alias("elements"))).alias("body"))
+    if first is not None:
+        bodies = bodies.filter(F.col("page").between(first, last))
+    bodies.repartition("page").write.mode("append").partitionBy("page").text(path)
+
+
+def _page_totals(pages):
+    items = records.explode_records(pages, "body", "event_id: bigint, event_type: string, value: double")
+    return items.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("events"), F.round(F.sum("value"), 2).alias("total"), F.count_distinct("page").alias("pages")
+    )
+
+
+@query("pages_from_their_source", "O-06", PAGES_SQL)
+def pages_from_their_source(spark, sf):
+    path = scratch_path(spark, "pages")
+    _land_pages(spark, sf, path)
+    return _page_totals(paged.read_pages(spark, path, pages_per_task=4))
+
+
+@query("new_pages_only", "O-06 O-18", PAGES_SQL)
+def new_pages_only(spark, sf):
+    """Two runs of a stream over one folder: the second reads what has landed in between."""
+    path, target, checkpoint = (scratch_path(spark, x) for x in ("pages", "read", "offsets"))
+    for first, last in ((1, 2), (3, 1 << 40)):
+        _land_pages(spark, sf, path, first, last)
+        paged.load_new_pages(spark, path, target, checkpoint)
+    return _page_totals(spark.read.schema(paged.SCHEMA).parquet(target))
+
+
 @query(
     "items_from_markup",
     "O-07",
@@ -145,6 +211,47 @@ def items_from_markup(spark, sf):
     )
 
 
+@query(
+    "nested_list_items",
+    "O-07",
+    """
+    WITH c AS (SELECT n_nationkey, n_name, n_regionkey, count(c_custkey) AS customers FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY ALL),
+    i AS (SELECT n_regionkey, r_name AS link, true AS holds_others, 2 AS weight FROM region JOIN nation ON r_regionkey = n_regionkey GROUP BY ALL
+      UNION ALL SELECT n_regionkey, n_name, customers > 0, 1 FROM c
+      UNION ALL SELECT c.n_regionkey, c_name, false, 1 FROM c JOIN customer ON c_nationkey = c.n_nationkey)
+    SELECT n_regionkey AS region, count(*) AS items, count(*) FILTER (holds_others) AS lists, min(link) AS first_link, max(link) AS last_link
+    FROM i GROUP BY 1
+    """,
+)
+def nested_list_items(spark, sf):
+    """Lists in lists, with comments and signs that look like tags; every item counts, with its own link."""
+    customers = table(spark, sf, "customer", "c_nationkey", "c_name").groupBy("c_nationkey").agg(F.array_sort(F.collect_list("c_name")).alias("names"))
+    item = lambda name, rest: F.concat(F.lit("<li title=\"a > b\"><a href='x?y>z'>"), name, F.lit("</a><!-- <li> -->"), rest, F.lit("</li>"))
+    listed = lambda items: F.concat(F.lit("<ul>"), F.array_join(items, ""), F.lit("</ul>"))
+    nations = table(spark, sf, "nation", "n_nationkey", "n_name", "n_regionkey").join(customers, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    inner = F.coalesce(listed(F.transform("names", lambda n: item(n, F.lit("")))), F.lit(""))
+    lists = nations.groupBy("n_regionkey").agg(listed(F.array_sort(F.collect_list(item(F.col("n_name"), inner)))).alias("nations"))
+    regions = table(spark, sf, "region", "r_regionkey", "r_name").join(lists, F.col("r_regionkey") == F.col("n_regionkey"))
+    pages = regions.select(F.col("r_regionkey").cast("int").alias("region"), listed(F.array(item(F.col("r_name"), F.col("nations")))).alias("body"))
+    items = markup.feed_items(pages, "body", {"a": "link", "ul": "inside"}, item="li")
+    return items.groupBy("region").agg(
+        F.count(F.lit(1)).alias("items"), F.count("inside").alias("lists"), F.min("link").alias("first_link"), F.max("link").alias("last_link")
+    )
+
+
+@query(
+    "text_files_of_one_document",
+    "O-08",
+    "SELECT md5(text || chr(10)) AS digest, CAST(length(text) + 1 AS INTEGER) AS chars, count(*) AS files FROM documents GROUP BY ALL",
+)
+def text_files_of_one_document(spark, sf):
+    """Every document in a file of its own; a row is a whole file."""
+    path = scratch_path(spark, "texts")
+    table(spark, sf, "documents", "text").write.option("maxRecordsPerFile", 1).text(path)
+    read = documents.read_documents(spark, path)
+    return read.groupBy(F.md5("text").alias("digest"), F.length("text").alias("chars")).agg(F.count(F.lit(1)).alias("files"))
+
+
 @query(
     "text_folder_documents",
     "O-08",

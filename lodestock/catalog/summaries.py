@@ -67,12 +67,12 @@ def joined_line_flags(spark, sf):
     "joined_user_history",
     "O-71",
     """
-    SELECT user_id, left(string_agg(event_type, ', ' ORDER BY ts, event_type), 500) AS history FROM events GROUP BY 1
+    SELECT user_id, string_agg(event_type, ', ' ORDER BY ts, event_type) AS history FROM events GROUP BY 1
     """,
 )
 def joined_user_history(spark, sf):
     df = table(spark, sf, "events", "user_id", "ts", "event_type")
-    return aggregates.join_texts(df, ["user_id"], "event_type", ["ts"], "history", max_chars=500)
+    return aggregates.join_texts(df, ["user_id"], "event_type", ["ts"], "history")
 
 
 @query(
