@@ -45,6 +45,25 @@ def test_stem_frequencies(spark):
     assert found == {"cat": (2, 2, 1.510826), "hope": (2, 4, 1.510826)}
 
 
+def test_stem_weights_of_the_whole_table(spark):
+    from collections import Counter
+
+    from pyspark.ml.feature import StopWordsRemover
+
+    from lodestock.catalog import QUERIES
+    from lodestock.ml import text
+
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select(text.tokens(F.lower("text")).alias("t")).collect()
+    stop, held, times = set(StopWordsRemover.loadDefaultStopWords("english")), Counter(), Counter()
+    for r in docs:
+        found = [stems.stem(w) for w in r["t"] if w not in stop]
+        times.update(found)
+        held.update(set(found))
+    got = {r["stem"]: (r["documents"], r["n"]) for r in QUERIES["stem_weights"].build(spark, folder).collect()}
+    assert got == {s: (held[s], times[s]) for s in held}
+
+
 PHRASES = ["the", "of the", "net price", "a b a", "price", "naïve", "x_y", "..", "the"]
 
 
