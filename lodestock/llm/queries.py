@@ -11,6 +11,7 @@ from . import (
     exact_dedup,
     jaccard_join,
     line_dedup,
+    oracles,
     pseudonyms,
     quality,
     sequences,
@@ -43,7 +44,7 @@ def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{folder}/{name}.parquet").select(*columns)
 
 
-@query()
+@query(oracles.DECONTAMINATION)
 def op1_benchmark_decontamination(spark, folder):
     """Hit words and items of every document, against all benchmark items."""
     found = decontaminate.find_contamination(
@@ -87,7 +88,7 @@ def op7_best_fit_packing(spark, folder):
     )
 
 
-@query()
+@query(oracles.QUALITY)
 def op8_quality_rules(spark, folder):
     """Measures and verdict of every document."""
     judged = quality.judge(table(spark, folder, "documents", "doc_id", "text"))
@@ -109,7 +110,7 @@ def op5_pii_pseudonyms(spark, folder):
     return pseudonyms.pseudonymise(table(spark, folder, "documents", "doc_id", "text"), SAMPLE_KEY)
 
 
-@query()
+@query(oracles.JACCARD)
 def op10_ngram_jaccard_join(spark, folder):
     """Component of every document under links of 85 % of shared four-word shingles."""
     return jaccard_join.components(table(spark, folder, "documents", "doc_id", "text"), size=4, percent=85)
@@ -128,7 +129,7 @@ def op4_toxicity(spark, folder):
     )
 
 
-@query()
+@query(oracles.SUFFIXES)
 def op9_suffix_array_dedup(spark, folder):
     """Bytes removed from every document as repeats of earlier 100-byte strings."""
     cut = suffix_dedup.remove_repeats(table(spark, folder, "documents", "doc_id", "text"))
@@ -142,7 +143,7 @@ def op9_suffix_array_dedup(spark, folder):
     )
 
 
-@query()
+@query(oracles.SPELLING)
 def op11_spelling_variants(spark, folder):
     """Every word of at least five letters and three occurrences, with its form and root."""
     return spelling.variants(table(spark, folder, "documents", "doc_id", "text"))
