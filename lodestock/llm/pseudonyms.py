@@ -1,15 +1,18 @@
 """Format-preserving pseudonyms of personal numbers and dates.
 
 A validated value is permuted by a keyed Feistel network within its own format:
-digits stay digits in their places, punctuation stays, a card number still
-passes its check digit, an address's parts stay 0 to 255, a date stays a date.
+digits stay digits in their places, punctuation and letters stay, a card or
+account number still passes its check digits, an address's parts stay 0 to 255,
+a date stays a date.
 The same value has the same pseudonym in every document, so links survive, and
 the key holder can turn numbers, and dates that do not name the month first,
 back.  A mail name becomes a keyed digest.  Everything is column expressions.
 
 The network works on a number below a modulus a * b, as a pair of halves of
 which one is added to by a keyed digest of the other; every round is a
-bijection, and so is the whole.
+bijection, and so is the whole.  Dates whose day or month has one digit move
+among those of their widths: a place that is no day of the calendar is moved on,
+at most ``WALKS`` times (one value in 10^8 needs more, and stays).
 
 Defined results: a null or empty text stays as it is; values that fail their
 validation (check digit, part range, calendar) stay; of overlapping values the
@@ -40,14 +43,23 @@ class Kind:
     pattern: str
 
 
-# In order of precedence at one place.  Phone numbers need a country code or an
-# area in brackets.
+# What is written into a longer row of digits and marks is no date and no phone.
+ALONE, NO_MORE = r"(?<![0-9A-Za-z+]|[0-9A-Za-z][/.-])", r"(?![0-9A-Za-z]|[/.-][0-9])"
+# Account numbers in one run, or in groups of four and a last one of digits.
+ACCOUNT = "[A-Z]{2}[0-9]{2}(?:[0-9A-Z]{11,30}|(?: [0-9A-Z]{4}){2,7}(?: [0-9]{1,3})?)"
+
+
+# In order of precedence at one place.  Phone numbers need a country code, an
+# area in brackets, or three groups of 3, 3 and 4 digits with one mark.
 KINDS = (
     Kind("date", rf"{EDGE}[0-9]{{4}}[-/.][0-9]{{2}}[-/.][0-9]{{2}}{END}"),
     Kind("day_first", rf"{EDGE}[0-9]{{2}}[/.-][0-9]{{2}}[/.-][0-9]{{4}}{END}"),
     Kind("address", rf"(?<![0-9A-Za-z.])[0-9]{{1,3}}(?:\.[0-9]{{1,3}}){{3}}(?![0-9A-Za-z]|\.[0-9])"),
     Kind("phone", r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ -]?)?\([0-9]{2,4}\)[ -]?[0-9]{3,4}[ -][0-9]{3,4}(?![0-9A-Za-z])"),
     Kind("phone_plain", r"(?<![0-9A-Za-z+])\+[0-9]{1,3}(?:[ -][0-9]{2,4}){2,4}(?![0-9A-Za-z])"),
+    Kind("phone_local", rf"{ALONE}(?:[0-9]{{3}}-[0-9]{{3}}-[0-9]{{4}}|[0-9]{{3}}\.[0-9]{{3}}\.[0-9]{{4}}){NO_MORE}"),
+    Kind("short_date", rf"{ALONE}(?:[0-9][/.-][0-9]{{1,2}}|[0-9]{{2}}[/.-][0-9])[/.-][0-9]{{4}}{NO_MORE}"),
+    Kind("account", rf"{EDGE}{ACCOUNT}{END}"),
     Kind("social", rf"{EDGE}[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}{END}"),
     Kind("card", rf"{EDGE}{CARD}{END}"),
     Kind("mail", r"(?<![0-9A-Za-z._%+-])[0-9A-Za-z._%+-]{1,64}@[0-9A-Za-z-]+(?:\.[0-9A-Za-z-]+)+"),
@@ -56,6 +68,7 @@ ANY = "|".join(f"(?:{k.pattern})" for k in KINDS)
 # Cheap test before the patterns: a digit pair or an at-sign.
 HINT = "[0-9][0-9]|[0-9]\\.[0-9]|@"
 EPOCH, DAYS = "1900-01-01", 73_049  # 1900-01-01 up to 2099-12-31
+FIRST_YEAR, YEARS, WALKS = 1900, 200, 5
 
 
 def _bind(value: Column, use) -> Column:
@@ -69,8 +82,8 @@ def _digest(key: str, label: Column, turn: int, half: Column) -> Column:
     return F.conv(F.substring(F.sha2(parts, 256), 1, 15), 16, 10).cast("long")
 
 
-def permute(value: Column, a: Column, b: Column, key: str, label: Column, back: bool = False) -> Column:
-    """Keyed bijection of 0 .. a*b-1, for long columns."""
+def _turned(state: Column, a: Column, b: Column, key: str, label: Column, back: bool, use) -> Column:
+    """``use`` of a pair of halves below a and b after all rounds."""
     sign = F.lit(-1 if back else 1)
 
     def move_left(turn: int):
@@ -83,11 +96,16 @@ def permute(value: Column, a: Column, b: Column, key: str, label: Column, back:
             s["left"].alias("left"), F.pmod(s["right"] + sign * (_digest(key, label, turn, s["left"]) % b), b).alias("right")
         )
 
-    state = F.struct(F.call_function("div", value, b).alias("left"), (value % b).alias("right"))
     moves = [move_right(t) if t % 2 else move_left(t) for t in range(ROUNDS)]
     for move in reversed(moves) if back else moves:
         state = _bind(state, move)
-    return _bind(state, lambda s: s["left"] * b + s["right"])
+    return _bind(state, use)
+
+
+def permute(value: Column, a: Column, b: Column, key: str, label: Column, back: bool = False) -> Column:
+    """Keyed bijection of 0 .. a*b-1, for long columns."""
+    state = F.struct(F.call_function("div", value, b).alias("left"), (value % b).alias("right"))
+    return _turned(state, a, b, key, label, back, lambda s: s["left"] * b + s["right"])
 
 
 def _digits(value: Column) -> Column:
@@ -95,12 +113,26 @@ def _digits(value: Column) -> Column:
 
 
 def permute_digits(digits: Column, key: str, label: str, back: bool = False) -> Column:
-    """A digit text of 1 to 18 digits, as another one of its length."""
-    n = F.length(digits)
-    half = F.floor(n / 2)
-    a, b = F.pow(F.lit(10.0), n - half).cast("long"), F.pow(F.lit(10.0), half).cast("long")
-    out = permute(digits.cast("long"), a, b, key, F.concat(F.lit(label), n.cast("string")), back)
-    return F.lpad(out.cast("string"), n, F.lit("0"))
+    """A digit text of 1 to 36 digits, as another one of its length."""
+    power = lambda n: F.pow(F.lit(10.0), n).cast("long")
+    number = lambda x: F.coalesce(F.nullif(x, F.lit("")).cast("long"), F.lit(0).cast("long"))
+
+    def halves(d: Column) -> Column:
+        n = F.length(d)
+        half = F.floor(n / 2).cast("int")
+        return F.struct(
+            (n - half).alias("n"), half.alias("m"), power(n - half).alias("a"), power(half).alias("b"),
+            F.concat(F.lit(label), n.cast("string")).alias("label"),
+            F.struct(number(F.substr(d, F.lit(1), n - half)).alias("left"), number(F.substr(d, n - half + 1, half)).alias("right")).alias("state"),
+        )
+
+    def use(c: Column) -> Column:
+        def text(s: Column) -> Column:
+            return F.concat(F.lpad(s["left"].cast("string"), c["n"], F.lit("0")), F.lpad(s["right"].cast("string"), c["m"], F.lit("0")))
+
+        return _turned(c["state"], c["a"], c["b"], key, c["label"], back, text)
+
+    return _bind(_bind(digits, halves), use)
 
 
 def luhn_sum(digits: Column, doubled: int) -> Column:
@@ -139,6 +171,30 @@ def _card(value: Column, key: str, back: bool) -> Column:
     return _bind(_digits(value), use)
 
 
+def account_check(country: Column, body: Column) -> Column:
+    """The two check digits that an account number of this country and body has."""
+
+    def step(acc: Column, c: Column) -> Column:
+        return F.when(c.rlike("[0-9]"), acc * 10 + F.try_to_number(c, F.lit("9")).cast("int")).otherwise(acc * 100 + F.ascii(c) - 55) % 97
+
+    whole = F.split(F.concat(body, country, F.lit("00")), "")
+    left = F.aggregate(F.filter(whole, lambda c: c != ""), F.lit(0), step)
+    return F.lpad((98 - left).cast("string"), 2, "0")
+
+
+def _account(value: Column, key: str, back: bool) -> Column:
+    """An account number that passes its check: country and letters stay, the check digits are made anew."""
+
+    def use(shut: Column) -> Column:
+        country, check, body = F.substr(shut, F.lit(1), F.lit(2)), F.substr(shut, F.lit(3), F.lit(2)), F.substr(shut, F.lit(5), F.length(shut))
+        digits = _digits(body)
+        moved = _bind(permute_digits(digits, key, "account", back), lambda d: F.struct(d.alias("d"), _put_digits(body, d).alias("body")))
+        again = _bind(moved, lambda m: _put_digits(value, F.concat(account_check(country, m["body"]), m["d"])))
+        return F.when((check == account_check(country, body)) & (F.length(digits) > 0), again).otherwise(value)
+
+    return _bind(F.translate(value, " ", ""), use)
+
+
 def _plain(value: Column, key: str, label: str, back: bool) -> Column:
     return _put_digits(value, permute_digits(_digits(value), key, label, back))
 
@@ -202,6 +258,59 @@ def _month_first(value: Column, key: str, back: bool) -> Column:
     return _bind(swap(value), lambda v: swap(_date(v, key, False, back)))
 
 
+def _short_date(value: Column, key: str, back: bool) -> Column:
+    """A date whose day or month has one digit, as another one of the same widths.
+
+    The day comes first, unless the second field can only be a day; such a day
+    stays above 12, so it is still read as one.
+    """
+
+    def form(p: Column) -> Column:
+        """Lowest value and number of values of both fields."""
+        first, second = F.get(p, F.lit(0)), F.get(p, F.lit(1))
+        month_first = second.cast("int") > 12
+        one, one_more = F.length(first) == 1, F.length(second) == 1
+        return F.struct(
+            month_first.alias("month_first"),
+            F.when(one, 1).otherwise(10).alias("low"),
+            F.when(one, 9).when(month_first, 3).otherwise(22).cast("long").alias("span"),
+            F.when(month_first, 13).when(one_more, 1).otherwise(10).alias("low_second"),
+            F.when(month_first, 19).when(one_more, 9).otherwise(3).cast("long").alias("span_second"),
+            first.cast("int").alias("first"), second.cast("int").alias("second"), F.get(p, F.lit(2)).cast("int").alias("year"),
+        )
+
+    def is_day(c: Column, first: Column, second: Column, year: Column) -> Column:
+        day, month = F.when(c["month_first"], second).otherwise(first), F.when(c["month_first"], first).otherwise(second)
+        return F.try_to_date(F.format_string("%04d-%02d-%02d", year, month, day), "yyyy-MM-dd").isNotNull()
+
+    def use(c: Column) -> Column:
+        pairs = c["span"] * c["span_second"]
+        label = F.concat(F.lit("short"), (c["low"] * 10_000 + c["span"] * 100 + c["low_second"]).cast("string"))
+
+        def fields(n: Column) -> list[Column]:
+            rest = n % pairs
+            ahead, after = rest % c["span"] + c["low"], F.call_function("div", rest, c["span"]) + c["low_second"]
+            return [x.cast("int") for x in (ahead, after, F.call_function("div", n, pairs) + FIRST_YEAR)]
+
+        def walk(n: Column, turn: Column) -> Column:
+            moved = permute(n, F.lit(YEARS).cast("long"), pairs, key, label, back)
+            return F.when((turn > 0) & is_day(c, *fields(n)), n).otherwise(moved)
+
+        number = (c["year"] - FIRST_YEAR) * pairs + (c["second"] - c["low_second"]) * c["span"] + c["first"] - c["low"]
+        place = F.aggregate(F.sequence(F.lit(0), F.lit(WALKS)), number.cast("long"), walk)
+        marks = [F.regexp_extract(value, r"^\d+(.)\d+(.)", i) for i in (1, 2)]
+
+        def text(n: Column) -> Column:
+            first, second, year = fields(n)
+            whole = F.concat(first.cast("string"), marks[0], second.cast("string"), marks[1], year.cast("string"))
+            return F.when(is_day(c, first, second, year), whole).otherwise(value)
+
+        in_range = c["year"].between(FIRST_YEAR, FIRST_YEAR + YEARS - 1) & (c["first"] >= c["low"]) & (c["second"] >= c["low_second"])
+        return F.when(in_range & is_day(c, c["first"], c["second"], c["year"]), _bind(place, text)).otherwise(value)
+
+    return _bind(_bind(F.split(value, "[/.-]"), form), use)
+
+
 def _mail(value: Column, key: str) -> Column:
     """The local part becomes a keyed name of letters and digits; the domain stays."""
     local = F.substring_index(value, "@", 1)
@@ -220,6 +329,9 @@ def pseudonym(value: Column, key: str, back: bool = False) -> Column:
         .when(is_kind["day_first"], _date(value, key, False, back))
         .when(is_kind["address"], _address(value, key, back))
         .when(is_kind["phone"] | is_kind["phone_plain"], _phone(value, key, back))
+        .when(is_kind["phone_local"], _plain(value, key, "phone", back))
+        .when(is_kind["short_date"], _short_date(value, key, back))
+        .when(is_kind["account"], _account(value, key, back))
         .when(is_kind["social"], _plain(value, key, "social", back))
         .otherwise(_card(value, key, back))
     )
