@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -33,18 +35,42 @@ def in_own_columns(docs: DataFrame, names: list[str], work: Callable[[DataFrame]
     return done.select(*[F.col(f"`{aside.get(c, c)}`").alias(c) for c in docs.columns])
 
 
+@cache
+def _trim() -> Callable[[int], int] | None:
+    """The C library's call that returns freed memory to the system; none where it has no such call."""
+    return getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Return freed memory to the system.
+
+    Workers outlive their tasks, and the C library keeps what a long text took;
+    without this an executor's idle workers hold some hundred MB each.
+    """
+    if (trim := _trim()) is not None:
+        trim(0)
+
+
 def blocks(batches: Iterator[pa.RecordBatch], text: str, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Runs of rows with about ``limit`` bytes of text, one row at least."""
+    """Runs of rows with about ``limit`` bytes of text, one row at least.
+
+    Freed memory goes back after a text longer than that, and after the last block.
+    """
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
         start, held = 0, 0
         for i, size in enumerate(sizes):
             if held and held + size > limit:
                 yield batch.slice(start, i - start)
+                if held > limit:
+                    give_back()
                 start, held = i, 0
             held += int(size)
         if batch.num_rows > start:
             yield batch.slice(start)
+            if held > limit:
+                give_back()
+    give_back()
 
 
 def as_bytes(column: pa.Array) -> list[bytes | None]:
