@@ -57,7 +57,9 @@ def expand_scopes(
     Both sides unfold to (code, marked) pairs and meet in an equi-join on the
     sheet (``within``), code and mark, so no request is ever compared with a
     machine it does not mean.  A machine owning two named codes counts once: at
-    the first of the request's pairs that it owns.
+    the first of the request's pairs that it owns.  The planner counts an unfolded
+    row as one, so it would take a side many times too large for small enough to
+    broadcast; both sides are shuffled.
     """
     left = requests.withColumn("_terms", scope_terms(F.col(scope))).withColumn("_term", F.explode("_terms"))
     right = machines.select(*within, machine).distinct().withColumn("_owned", machine_terms(F.col(machine)))
@@ -68,4 +70,4 @@ def expand_scopes(
     for i, w in enumerate(within):
         same = same & (F.col(w) == F.col(f"_in_{i}"))
     first = F.get(F.filter("_terms", lambda t: F.array_contains("_owned", t)), F.lit(0))
-    return left.join(right, same).filter(F.col("_term") == first).select(*requests.columns, machine)
+    return left.hint("merge").join(right, same).filter(F.col("_term") == first).select(*requests.columns, machine)

@@ -276,6 +276,14 @@ def test_scopes(spark):
     assert got == {s: sorted(m) for s, m in expected.items()}
 
 
+def test_scopes_broadcast_no_unfolded_side(spark):
+    requests = spark.range(40).selectExpr("id", "id % 4 AS sheet", "'All Processes' AS scope")
+    grid = spark.range(8).selectExpr("id % 4 AS sheet", "concat('M', id, ' 1272') AS machine")
+    out = scopes.expand_scopes(requests, grid, "scope", "machine", ["sheet"])
+    assert out.count() == 80
+    assert "BroadcastExchange" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 # --- quantiles and similarity ---------------------------------------------
 
 
