@@ -330,7 +330,7 @@ def values_at_last_known_rates(spark, sf):
 )
 def flattened_tree(spark, sf):
     roots = table(spark, sf, "region", "r_regionkey").select(F.concat(F.lit("R"), "r_regionkey").alias("root"))
-    return hierarchy.flatten_tree(tree_edges(spark, sf), roots).distinct()
+    return hierarchy.distinct_edges(hierarchy.flatten_tree(tree_edges(spark, sf), roots))
 
 
 @query(
@@ -346,7 +346,7 @@ def flattened_tree(spark, sf):
 )
 def tree_by_recursion(spark, sf):
     roots = table(spark, sf, "region", "r_regionkey").select(F.concat(F.lit("R"), "r_regionkey").alias("root"))
-    return hierarchy.flatten_tree_recursive(tree_edges(spark, sf), roots).distinct()
+    return hierarchy.distinct_edges(hierarchy.flatten_tree_recursive(tree_edges(spark, sf), roots))
 
 
 @query(

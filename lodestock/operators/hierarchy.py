@@ -83,12 +83,14 @@ def flatten_tree_recursive(
 
     A path never enters a node twice.  Spark stops a recursion at a million rows
     unless told otherwise, so the result is written while that limit is lifted.
+    The edges are written first: every level would compute them again.
     """
     spark = edges.sparkSession
     extra = [c for c in edges.columns if c not in (parent, child)]
     steps = edges.select(
         F.col(quoted(parent)).alias("_parent"), F.col(quoted(child)).alias("_child"), *[F.col(quoted(c)).alias(f"_x{i}") for i, c in enumerate(extra)]
     )
+    steps = cut_lineage(steps)
     names = "".join(f", _x{i}" for i in range(len(extra)))
     taken = "".join(f", e._x{i}" for i in range(len(extra)))
     statement = f"""
@@ -107,11 +109,21 @@ def flatten_tree_recursive(
         found = cut_lineage(spark.sql(statement, roots=roots.select("root"), steps=steps))
     finally:
         spark.conf.set(ROW_LIMIT, before)
+    release(steps)
     return found.select(
         "root", F.col("_parent").alias(parent), F.col("_child").alias(child), *[F.col(f"_x{i}").alias(c) for i, c in enumerate(extra)], "depth"
     )
 
 
+PART_ROWS = 1 << 18
+
+
+def distinct_edges(found: DataFrame, parent: str = "parent", child: str = "child") -> DataFrame:
+    """Distinct rows of a flattened tree, in as many parts as its rows ask for, so a task's memory stays the same."""
+    parts = max(1, -(-found.count() // PART_ROWS))
+    return found.repartition(parts, F.col(quoted(parent)), F.col(quoted(child))).distinct()
+
+
 def cyclic_edges(edges: DataFrame, parent: str = "parent", child: str = "child") -> DataFrame:
     """Distinct edges that lie on a cycle, or lead from one cycle to another.
 
