@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from lodestock.ml import stems
 from lodestock.operators import hierarchy
+from lodestock.plans import contracts
 from support import rows
 
 
@@ -48,3 +49,12 @@ def test_one_file_a_document_in_folders(spark, tmp_path, monkeypatch):
     found = sources.text_files_of_one_document(spark, str(tmp_path))
     assert sorted(r["files"] for r in found.collect()) == [1, 2]
     assert not list((tmp_path / "texts").glob("*.txt")) and len(list((tmp_path / "texts").glob("folder=*/*.txt"))) == 3
+
+
+def test_a_cell_meets_the_prices_of_its_item_as_arrays(spark, monkeypatch):
+    monkeypatch.setattr(contracts, "PRICES_HELD", 2)
+    prices = spark.createDataFrame([("i", 1.0), ("i", 2.0), ("i", 3.0), ("j", 3.0), (None, 1.0), ("k", None), ("zz", 9.0)], "item string, price double")
+    assert sorted(rows(contracts.priced_items(prices))) == [("i", [1.0, 2.0]), ("i", [3.0]), ("j", [3.0]), ("zz", [9.0])]
+    cells = [("D", 1, 1, 1, "i"), ("D", 1, 1, 2, "$3.0"), ("D", 1, 1, 3, "2.0"), ("D", 1, 2, 1, "j"), ("D", 1, 2, 2, "3"), ("E", 1, 1, 1, "i"), ("E", 1, 1, 2, "99"), ("E", 1, None, 1, "3")]
+    out = contracts.price_column_labels(spark.createDataFrame(cells, "document string, table int, row int, column int, value string"), prices)
+    assert rows(out, "document", "column") == [("D", 1, 1, 2, "NotPrice"), ("D", 1, 2, 2, "Price"), ("D", 1, 3, 1, "NotPrice"), ("E", 1, 1, 2, "Other"), ("E", 1, 2, 1, "Other")]
