@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -16,10 +19,10 @@ from pyspark.ml.classification import (
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
+from pyspark.ml.tuning import CrossValidatorModel
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import cut_wide
+from ..session import cut_wide, release
 from .features import split_share
 
 
@@ -61,21 +64,57 @@ def apply_threshold(scored: DataFrame, threshold: float, name: str = "decision")
     return scored.withColumns({"p_positive": p, name: (p >= threshold).cast("int")})
 
 
+def _ready(df: DataFrame, stages: Sequence[Estimator]) -> DataFrame:
+    """``df`` written with what the stages read; of several stages that is not known, so all of it."""
+    if len(stages) == 1:
+        params = [p for p in ("featuresCol", "labelCol", "weightCol") if stages[0].hasParam(p) and stages[0].isDefined(p)]
+        df = df.select(*dict.fromkeys(c for c in map(stages[0].getOrDefault, params) if c))
+    return cut_wide(df)
+
+
 def grid_search(
     train: DataFrame, stages: Sequence[Transformer | Estimator], grid: list[dict], keys: Sequence[str], folds: int = 3,
     metric: str = "f1", parallelism: int = 4,
 ) -> CrossValidatorModel:
-    """k-fold search with folds fixed by the row key."""
+    """k-fold search with folds fixed by the row key.
+
+    The leading stages that ``grid`` leaves alone are fitted once per fold and
+    once on all rows, as their result is the same for every setting; what they
+    make is written, so the fits of a fold read it instead of making it again.
+    """
     fold = F.least(F.floor(split_share(keys, 17) * folds), F.lit(folds - 1)).cast("int")
-    search = CrossValidator(
-        estimator=Pipeline(stages=list(stages)),
-        estimatorParamMaps=grid,
-        evaluator=MulticlassClassificationEvaluator(metricName=metric),
-        numFolds=folds,
-        foldCol="_fold",
-        parallelism=parallelism,
-    )
-    return search.fit(train.withColumn("_fold", fold))
+    rows = train.withColumn("_fold", fold)
+    varied = {p.parent for params in grid for p in params}
+    lead = next((i for i, s in enumerate(stages) if s.uid in varied or i == len(stages) - 1), 0)
+    fixed, searched = list(stages[:lead]), Pipeline(stages=list(stages[lead:]))
+    evaluator = MulticlassClassificationEvaluator(metricName=metric)
+    run_on = inheritable_thread_target(train.sparkSession)
+
+    def made(part: DataFrame) -> tuple[PipelineModel, DataFrame]:
+        encoder = fit(part, fixed)
+        return encoder, _ready(encoder.transform(part), stages[lead:])
+
+    @run_on
+    def score(ready: DataFrame, held_out: DataFrame, params: dict) -> float:
+        return evaluator.evaluate(searched.fit(ready, params).transform(held_out))
+
+    scores: list[list[float]] = []
+    with ThreadPoolExecutor(parallelism) as pool:
+        for k in range(folds):
+            learnt, kept_out = rows.filter(F.col("_fold") != k), rows.filter(F.col("_fold") == k)
+            for name, part in (("training", learnt), ("validation", kept_out)):
+                if part.isEmpty():
+                    raise ValueError(f"The {name} data at fold {k} is empty.")
+            encoder, ready = made(learnt)
+            held_out = _ready(encoder.transform(kept_out), stages[lead:])
+            scores.append(list(pool.map(score, [ready] * len(grid), [held_out] * len(grid), grid)))
+            release(ready, held_out)
+    means = [float(np.mean(of)) for of in zip(*scores, strict=True)]
+    best = int((np.argmax if evaluator.isLargerBetter() else np.argmin)(means))
+    encoder, ready = made(rows)
+    model = PipelineModel([*encoder.stages, *searched.fit(ready, grid[best]).stages])
+    release(ready)
+    return CrossValidatorModel(model, means, [], [float(np.std(of)) for of in zip(*scores, strict=True)])
 
 
 def clustered_groups(df: DataFrame, key: str, value: str, values: Sequence[str], share: float = 0.75, seed: int = 1) -> DataFrame:
