@@ -22,7 +22,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidatorModel
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import cut_wide, release
+from ..session import cut_wide
 from .features import split_share
 
 
@@ -65,11 +65,14 @@ def apply_threshold(scored: DataFrame, threshold: float, name: str = "decision")
 
 
 def _ready(df: DataFrame, stages: Sequence[Estimator]) -> DataFrame:
-    """``df`` written with what the stages read; of several stages that is not known, so all of it."""
+    """``df`` kept with what the stages read; of several stages that is not known, so all of it.
+
+    Trees take their split points from a sample by partition, which a cache leaves in place.
+    """
     if len(stages) == 1:
         params = [p for p in ("featuresCol", "labelCol", "weightCol") if stages[0].hasParam(p) and stages[0].isDefined(p)]
         df = df.select(*dict.fromkeys(c for c in map(stages[0].getOrDefault, params) if c))
-    return cut_wide(df)
+    return df.persist()
 
 
 def grid_search(
@@ -80,7 +83,7 @@ def grid_search(
 
     The leading stages that ``grid`` leaves alone are fitted once per fold and
     once on all rows, as their result is the same for every setting; what they
-    make is written, so the fits of a fold read it instead of making it again.
+    make is cached, so the fits of a fold read it instead of making it again.
     """
     fold = F.least(F.floor(split_share(keys, 17) * folds), F.lit(folds - 1)).cast("int")
     rows = train.withColumn("_fold", fold)
@@ -108,12 +111,13 @@ def grid_search(
             encoder, ready = made(learnt)
             held_out = _ready(encoder.transform(kept_out), stages[lead:])
             scores.append(list(pool.map(score, [ready] * len(grid), [held_out] * len(grid), grid)))
-            release(ready, held_out)
+            ready.unpersist()
+            held_out.unpersist()
     means = [float(np.mean(of)) for of in zip(*scores, strict=True)]
     best = int((np.argmax if evaluator.isLargerBetter() else np.argmin)(means))
     encoder, ready = made(rows)
     model = PipelineModel([*encoder.stages, *searched.fit(ready, grid[best]).stages])
-    release(ready)
+    ready.unpersist()
     return CrossValidatorModel(model, means, [], [float(np.std(of)) for of in zip(*scores, strict=True)])
 
 
