@@ -75,6 +75,15 @@ def _ready(df: DataFrame, stages: Sequence[Estimator]) -> DataFrame:
     return df.persist()
 
 
+def fit_encoded(train: DataFrame, stages: Sequence[Transformer | Estimator]) -> PipelineModel:
+    """``fit`` that encodes the rows once: the last stage reads them many times."""
+    encoder = fit(train, stages[:-1])
+    ready = _ready(encoder.transform(train), stages[-1:])
+    model = PipelineModel([*encoder.stages, stages[-1].fit(ready)])
+    ready.unpersist()
+    return model
+
+
 def grid_search(
     train: DataFrame, stages: Sequence[Transformer | Estimator], grid: list[dict], keys: Sequence[str], folds: int = 3,
     metric: str = "f1", parallelism: int = 4,
