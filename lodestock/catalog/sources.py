@@ -247,12 +247,10 @@ def nested_list_items(spark, sf):
 def text_files_of_one_document(spark, sf):
     """Every document in a file of its own; a row is a whole file.
 
-    Files lie in folders: the driver moves a folder at once when the write ends, and
-    tasks list the folders.
+    Files lie in folders, which tasks list.
     """
     path = scratch_path(spark, "texts")
-    folder = F.shiftright(F.monotonically_increasing_id(), 10)
-    table(spark, sf, "documents", "text").withColumn("folder", folder).write.option("maxRecordsPerFile", 1).partitionBy("folder").text(path)
+    documents.write_documents(table(spark, sf, "documents", "text"), "text", path)
     read = documents.read_documents(spark, path)
     return read.groupBy(F.md5("text").alias("digest"), F.length("text").alias("chars")).agg(F.count(F.lit(1)).alias("files"))
 

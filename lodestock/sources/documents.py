@@ -2,8 +2,16 @@
 
 from __future__ import annotations
 
+import os
+from collections.abc import Iterator
+from urllib.parse import unquote, urlsplit
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+FOLDER_FILES = 1024
+
 
 def read_documents(spark: SparkSession, path: str, suffix: str = ".txt") -> DataFrame:
     """File name without suffix, whole text, and any folder columns."""
@@ -12,3 +20,42 @@ def read_documents(spark: SparkSession, path: str, suffix: str = ".txt") -> Data
     doc = F.regexp_replace(name, suffix.replace(".", r"\.") + "$", "")
     folders = [c for c in files.columns if c != "value"]
     return files.select(doc.alias("doc"), F.col("value").alias("text"), *folders)
+
+
+def write_documents(df: DataFrame, column: str, path: str) -> None:
+    """A file per text of ``df``, its value and a line end, in folders of up to ``FOLDER_FILES``.
+
+    In a shared folder that is mounted, tasks write the files themselves: without its
+    native library Hadoop starts a process for the rights of every file.  A file gets its
+    name when it is whole, and the same one from every attempt of its task.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    texts = df.select(F.col(column).alias("text"))
+    if texts.rdd.getNumPartitions() < cores:
+        texts = texts.repartition(cores)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    whole = target.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(target).toUri().toString()
+    if urlsplit(whole).scheme != "file":
+        folder = F.floor(F.monotonically_increasing_id() / FOLDER_FILES)
+        texts.withColumn("folder", folder).write.option("maxRecordsPerFile", 1).partitionBy("folder").text(path)
+        return
+    top = unquote(urlsplit(whole).path)
+    os.makedirs(top)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, n = TaskContext.get(), 0
+        for batch in batches:
+            for text in batch.column(0):
+                place = f"{task.partitionId():05}-{n:010}"
+                folder = f"{top}/folder={(task.partitionId() << 23) + n // FOLDER_FILES}"
+                if n % FOLDER_FILES == 0:
+                    os.makedirs(folder, exist_ok=True)
+                open_name = f"{folder}/.{place}-{task.taskAttemptId()}"
+                with open(open_name, "wb") as out:
+                    out.write((text.as_py() or "").encode() + b"\n")
+                os.replace(open_name, f"{folder}/part-{place}.txt")
+                n += 1
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["files"])
+
+    texts.mapInArrow(run, "files long").agg(F.sum("files")).collect()
